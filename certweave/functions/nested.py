@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from certweave import schema as S
@@ -105,3 +105,13 @@ def first_value(items: Column) -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Name an intermediate array expression inside a lambda so that it is evaluated once."""
     return F.transform(F.array(value), body)[0]
+
+
+def with_computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters do not look through.
+
+    A filter on a value that came out of several repair steps would be pushed
+    below all of them, with each step's expression copied into it. A one-item
+    ``explode`` keeps the value as it is; it costs one row copy.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))

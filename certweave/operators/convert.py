@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from certweave.functions.nested import with_computed
 from certweave.operators import filters, repair
 from certweave.operators.clean import WARNING_COUNTERS
 
@@ -57,12 +58,14 @@ def convert_records(df: DataFrame, overrides: DataFrame | None = None, options:
     if options.levels is not None:
         df = repair.map_levels(df, options.levels)
     df = repair.mark_branches(df)
-    df = df.withColumn("disposition", filters.disposition(
+    reason = filters.disposition(
         inactive=options.omit_inactive,
         outside_region=options.omit_outside_region,
         invalid_ogrn=options.omit_invalid_ogrn,
         blocked_ids=None if options.blocked_ids is None else list(options.blocked_ids),
-    ))
+    )
+    # only the OGRN test reads a repaired value; the others may be pushed down to the scan
+    df = with_computed(df, "disposition", reason) if options.omit_invalid_ogrn else df.withColumn("disposition", reason)
     absent = [c for c in [*REPAIR_COUNTERS, *WARNING_COUNTERS] if c not in df.columns]
     return df.withColumns({c: F.lit(0) for c in absent}) if absent else df
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from certweave.functions import text as X
-from certweave.functions.nested import effective_root
+from certweave.functions.nested import effective_root, with_computed
 from certweave.operators.repair import EXCLUDED_STATUSES
 
 # Fixed values of the register.
@@ -57,6 +57,11 @@ def omit_blocked(df: DataFrame, blocked: DataFrame) -> DataFrame:
     return df.withColumn("_token", X.uid_token(F.col("Id"))).join(ids, "_token", "left_anti").drop("_token")
 
 
+def omit_invalid_ogrn(df: DataFrame) -> DataFrame:
+    """Only records whose effective OGRN is digits."""
+    return with_computed(df, "_keep", ~has_invalid_ogrn()).where("_keep").drop("_keep")
+
+
 def limit_per_file(df: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows of every source file, in file order.
 

@@ -22,7 +22,7 @@ def level_list(sup: Column) -> Column:
     return F.array_distinct(F.filter(levels, lambda x: x != ""))
 
 
-def _program_entries(sup: Column) -> Column:
+def program_entries(sup: Column) -> Column:
     def entry(p: Column) -> Column:
         code = p["ProgrammCode"]
         level = F.coalesce(N.effective(p, "EduLevelName"), F.lit(""))
@@ -52,7 +52,7 @@ def runs(items: Column, key: Callable[[Column], Column]) -> Column:
     return F.transform(ordered, lambda g: g["members"])
 
 
-def _distinct_programs(entries: Column) -> Column:
+def distinct_programs(entries: Column) -> Column:
     """First entry per (code, level)."""
     return F.transform(runs(entries, lambda e: F.struct(e["code"], e["edu_level"])), lambda g: g[0])
 
@@ -90,7 +90,7 @@ def branches(sups: Column) -> Column:
             D.display_name(card["FullName"], card["ShortName"]).alias("display_name"),
             levels.alias("edu_levels"),
             _short_levels(levels).alias("edu_levels_short"),
-            _distinct_programs(F.flatten(F.transform(g, lambda r: _program_entries(r["s"])))).alias("programs"),
+            distinct_programs(F.flatten(F.transform(g, lambda r: program_entries(r["s"])))).alias("programs"),
         )
 
     return F.transform(runs(rows, key), branch)
@@ -103,7 +103,7 @@ def with_graph(df: DataFrame) -> DataFrame:
     df = df.withColumn("_head", F.filter(N.supplements(), lambda s: ~_is_branch(s)))
     df = df.withColumns({
         "_head_levels": F.array_distinct(F.flatten(F.transform(F.col("_head"), level_list))),
-        "_head_programs": _distinct_programs(F.flatten(F.transform(F.col("_head"), _program_entries))),
+        "_head_programs": distinct_programs(F.flatten(F.transform(F.col("_head"), program_entries))),
         "_full": pick("FullName", "EduOrgFullName"),
         "_short": pick("ShortName", "EduOrgShortName"),
         "_region_short": D.shorten_region(F.col("RegionName")),

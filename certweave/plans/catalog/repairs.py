@@ -108,7 +108,7 @@ def omit_region(spark, sf):
 
 def omit_invalid_ogrn(spark, sf):
     df = repair.backfill_root_ids(repair.fill_coherent_ids(V.records(spark, sf)))
-    return df.where(~filters.has_invalid_ogrn()).select(seq(), N.effective_root("EduOrgOGRN").alias("ogrn"))
+    return filters.omit_invalid_ogrn(df).select(seq(), N.effective_root("EduOrgOGRN").alias("ogrn"))
 
 
 def omit_blocklist(spark, sf):
