@@ -132,8 +132,8 @@ def region_nodes(records: DataFrame) -> DataFrame:
 
 
 def _decision_rows(records: DataFrame) -> DataFrame:
-    named = F.filter(F.col("Decisions"), lambda d: ~X.is_blank(d["Id"]))
-    return _identified(records).select("_cid", "_record_seq", F.posexplode(named).alias("pos", "d")).withColumn(
+    rows = _identified(records).select("_cid", "_record_seq", F.posexplode(N.items(F.col("Decisions"))).alias("pos", "d"))
+    return rows.where(~X.is_blank(F.col("d.Id"))).withColumn(
         "uri", _uri("Decision", F.col("_cid"), X.strip(F.col("d.Id"))))
 
 
@@ -200,9 +200,9 @@ def edges(records: DataFrame, predicates: list[str] | None = None) -> DataFrame:
     return out.distinct()
 
 
-def node_label(kind: str) -> Column:
-    """Text under a node; falls back to the uri."""
-    named = lambda c: F.nullif(F.col(c), F.lit(""))
+def node_label(kind: str, columns: list[str]) -> Column:
+    """Text under a node; falls back to the uri. ``columns``: the columns the node table has."""
+    named = lambda c: F.nullif(F.col(c), F.lit("")) if c in columns else F.lit(None).cast("string")
     label = {
         "Certificate": lambda: F.coalesce(named("g_display_name"), named("EduOrgShortName"), named("EduOrgFullName")),
         "Supplement": lambda: named("Number"),
@@ -229,7 +229,7 @@ def labelled_nodes(records: DataFrame) -> DataFrame:
     }
     out = None
     for kind, df in plain.items():
-        part = df.select(F.lit(kind).alias("kind"), "uri", node_label(kind).alias("label"))
+        part = df.select(F.lit(kind).alias("kind"), "uri", node_label(kind, df.columns).alias("label"))
         out = part if out is None else out.unionByName(part)
     return out
 
