@@ -88,11 +88,19 @@ def strip_double_quotes(c: Column) -> Column:
     """Unwrap ``""x""`` until nothing changes, then delete the quote runs that are left.
 
     A pass that changes something takes away at least four quotes, so a quarter
-    of the quotes is enough passes.
+    of the quotes is enough passes; once a pass changes nothing the rest are free.
     """
     quotes = F.length(c) - F.length(F.replace(c, F.lit('"'), F.lit("")))
     passes = F.when(quotes >= 4, F.sequence(F.lit(1), F.floor(quotes / 4).cast("int"))).otherwise(F.array().cast("array<int>"))
-    unwrapped = F.aggregate(passes, c, lambda text, _: F.regexp_replace(text, "\"\"([^\"]*?)\"\"", "$1"))
+
+    def state(text: Column, stable: Column) -> Column:
+        return F.struct(text.alias("text"), stable.alias("stable"))
+
+    def one_pass(acc: Column, _: Column) -> Column:
+        unwrap = F.regexp_replace(acc["text"], "\"\"([^\"]*?)\"\"", "$1")
+        return F.when(acc["stable"], acc).otherwise(let(unwrap, lambda new: state(new, new == acc["text"])))
+
+    unwrapped = F.aggregate(passes, state(c, F.lit(False)), one_pass, lambda acc: acc["text"])
     return F.regexp_replace(unwrapped, "\"\"+", "")
 
 

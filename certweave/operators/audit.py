@@ -108,10 +108,15 @@ def audit_null_status(lines: DataFrame) -> DataFrame:
     rows = null_status(lines)
     size = F.size("supplement_kinds")
     kinds = ["missing", "json_null", "empty_string"]
+
+    def in_supplements(kind: str) -> Column:
+        hits = N.count_where(F.col("supplement_kinds"), lambda x: x == kind)
+        return F.coalesce(F.sum(hits), F.lit(0)).cast("bigint")
+
     return rows.agg(
         F.count(F.lit(1)).alias("records"),
         *[_n(F.col("root_kind") == k).alias(f"root_{k}") for k in kinds],
-        *[F.coalesce(F.sum(F.size(F.filter("supplement_kinds", lambda x, k=k: x == k))), F.lit(0)).cast("bigint").alias(f"supplement_{k}") for k in kinds],
+        *[in_supplements(k).alias(f"supplement_{k}") for k in kinds],
         _n(size > 0).alias("records_with_supplement_hit"),
         _n(F.col("root_kind").isNotNull() | (size > 0)).alias("records_with_any"),
     )
@@ -183,11 +188,11 @@ def identity_borrowable(records: DataFrame) -> DataFrame:
         own = X.digits_only(F.col(f"EduOrg{k}")).isNotNull()
         root_donor = X.digits_only(root[k]).isNotNull() | own
         lacking = N.count_where(same, lambda a, k=k: X.is_blank(a[k]))
-        giving = F.exists(same, lambda a, k=k: X.digits_only(a[k]).isNotNull())
+        giving = N.count_where(same, lambda a, k=k: X.digits_only(a[k]).isNotNull()) > 0
         out += [
             F.sum(lacking).cast("bigint").alias(f"same_org_cards_missing_{k.lower()}"),
             F.sum(F.when(root_donor, lacking).otherwise(0)).cast("bigint").alias(f"same_org_cards_missing_{k.lower()}_with_donor"),
-            _n(X.is_blank(root[k]) & (F.coalesce(giving, F.lit(False)) | own)).alias(f"root_missing_{k.lower()}_with_donor"),
+            _n(X.is_blank(root[k]) & (giving | own)).alias(f"root_missing_{k.lower()}_with_donor"),
         ]
     return df.agg(*out)
 

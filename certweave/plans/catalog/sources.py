@@ -1,2 +1,180 @@
-QUERIES = {}
-ORACLES = {}
+"""Scans, sinks and look-up tables. Written files go to a fresh path in the shared scratch folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from certweave import schema as S
+from certweave.operators import audit, clean, filters, relational, repair
+from certweave.plans import register_view as V
+from certweave.plans.catalog.audits import ORACLES as _AUDITED
+from certweave.plans.catalog.repairs import seq
+from certweave.plans.catalog.sqltext import blank
+from certweave.session import scratch_path
+from certweave.sources import dims, links, readers, sinks
+
+
+def _xml_text(records):
+    """Records as XML lines of one element each, with one supplement wrapper; enough to read them back."""
+    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), F.coalesce(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("")), F.lit(f"</{name}>"))
+    sup = lambda s: F.concat(F.lit("<Supplement>"), tag("Id", s["Id"]), tag("StatusName", s["StatusName"]),
+                             tag("IsForBranch", s["IsForBranch"].cast("string")), F.lit("</Supplement>"))
+    return records.select(F.concat(
+        F.lit("<Certificate>"), *[tag(f, F.col(f)) for f in ("Id", "StatusName", "RegionName", "IssueDate", "EduOrgINN", "EduOrgOGRN")],
+        tag("IsFederal", F.col("IsFederal").cast("string")), F.lit("<Supplements>"), F.array_join(F.transform("Supplements", sup), ""),
+        F.lit("</Supplements></Certificate>")).alias("value"))
+
+
+def scan_xml(spark, sf):
+    path = scratch_path(spark, "xml")
+    _xml_text(V.records(spark, sf)).write.text(path)
+    df = clean.clean_records(readers.read_xml(spark, path))
+    return df.select("Id", "StatusName", "IsFederal", "IssueDate", "EduOrgINN", "EduOrgOGRN", F.size("Supplements").alias("supplements"),
+                     F.array_join(F.transform("Supplements", lambda s: F.coalesce(s["StatusName"], F.lit("-"))), "|").alias("statuses"))
+
+
+_LINE = ("case k % 7 when 0 then '' when 1 then '  ' when 2 then '{\"Id\":' when 3 then '[1]' when 4 then 'null' "
+         "else '{\"Id\":\"c' || k || '\",\"IsFederal\":true,\"RegNumber\":\"' || seg || '\"}' end")
+
+
+def scan_jsonl(spark, sf):
+    path = scratch_path(spark, "jsonl")
+    V.order_rows(spark, sf).select(F.expr(_LINE).alias("value")).write.text(path)
+    return readers.read_records(spark, path).select("Id", "IsFederal", "RegNumber", F.size("Supplements").alias("supplements"))
+
+
+def line_kinds(spark, sf):
+    lines = V.order_rows(spark, sf).select(F.expr(_LINE).alias("value"))
+    return lines.groupBy(readers.line_kind(F.col("value")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _lines(spark, sf):
+    return V.order_rows(spark, sf).select(F.lit("f").alias("_source_file"), F.col("k").alias("_record_seq"), F.expr(_LINE).alias("value"))
+
+
+def limit_input(spark, sf):
+    return readers.limit_lines(_lines(spark, sf), 50).select(seq(), "value")
+
+
+def limit_parsed(spark, sf):
+    return readers.limit_parsed(_lines(spark, sf), 50).select(seq(), "value")
+
+
+def merge_inputs(spark, sf):
+    """Separate outputs, one folder per source file, read back together."""
+    path = scratch_path(spark, "separate")
+    df = V.records(spark, sf).where(filters.disposition() == filters.WRITTEN)
+    sinks.write_records(df, path, merged=False)
+    back = spark.read.text(path)
+    return back.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n"), F.count(F.get_json_object("value", "$.EduOrgINN")).alias("with_inn"))
+
+
+def load_override_dim(spark, sf):
+    """Overrides from JSON documents, one per customer segment."""
+    customer = spark.read.parquet(f"{sf}/customer.parquet")
+    text = "'{\"_note\":\"1\",\"10277 ' || c_custkey || '\":\"77-' || c_custkey || '\",\"x' || c_custkey || '\":\"1\",\"20277' || c_custkey || '\":\"y\"}'"
+    return dims.parse_overrides(customer.select(F.expr(text).alias("value")))
+
+
+_LEVELS_JSON = ("'{{\"canonical_edu_level_names_fz273\":[\"A\",\"' || c_mktsegment || '\"],\"entries\":[{{\"source_registry_level_name\":\"L' || c_custkey || '\",\"target_edu_level_name\":' || "
+                "case c_custkey % 4 when 0 then 'null' when 1 then '\" \"' when 2 then '7' else '\" T' || c_nationkey || ' \"' end || '}},"
+                "{{\"source_registry_level_name\":\"L' || c_custkey || '\",\"target_edu_level_name\":\"second\"}},{{\"source_registry_level_name\":\" \",\"target_edu_level_name\":\"x\"}}]}}'").replace("{{", "{").replace("}}", "}")
+
+
+def load_level_dim(spark, sf):
+    customer = spark.read.parquet(f"{sf}/customer.parquet")
+    return dims.parse_levels(customer.select(F.expr(_LEVELS_JSON).alias("value")))
+
+
+def extract_links(spark, sf):
+    return links.extract_links(spark.read.parquet(f"{sf}/pages.parquet"), suffix="")
+
+
+def _names(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    return orders.select(F.concat(F.lit("http://host/opendata/"), F.when(F.col("o_orderkey") % 5 == 0, "other-").otherwise("data-"),
+                                  F.date_format("o_orderdate", "yyyyMMdd"), F.lit("-structure-"), F.col("o_orderkey"), F.lit(".xml?v=1")).alias("url"))
+
+
+def latest_snapshot(spark, sf):
+    return links.latest_snapshot(_names(spark, sf))
+
+
+def write_parquet_tables(spark, sf):
+    path = scratch_path(spark, "tables")
+    sinks.write_parquet_tables(relational.tables(V.records(spark, sf)), path)
+    out = None
+    for name in relational.WRITE_ORDER:
+        part = spark.read.parquet(f"{path}/{name}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def write_jdbc_tables(spark, sf):
+    """What a relational sink receives: the tables of the records that load, with the sink's integer booleans."""
+    good = relational.loadable_records(V.records(spark, sf))
+    df = relational.tables(good)["certificates"]
+    return df.select("certificate_id", relational.adapt_scalar(F.col("is_federal"), "boolean", "BOOLEAN", integer_booleans=True).alias("is_federal"), "issue_date")
+
+
+def split_by_class(spark, sf):
+    path = scratch_path(spark, "classes")
+    sinks.write_by_class(audit.classify_certificates(V.records(spark, sf)).select("Id", "_record_seq", "certificate_class"), "certificate_class", path)
+    return spark.read.parquet(path).groupBy("certificate_class").agg(F.count(F.lit(1)).alias("n"))
+
+
+def skip_broken(spark, sf):
+    """Readable and unreadable elements of an XML text in which some elements are damaged."""
+    path = scratch_path(spark, "broken")
+    V.order_rows(spark, sf).select(F.expr(
+        "case when k % 10 = 3 then '<Certificate><Id>c' || k || '</Wrong></Certificate>' else '<Certificate><Id>c' || k || '</Id></Certificate>' end").alias("value")).write.text(path)
+    rows = readers.read_xml(spark, path)
+    return rows.groupBy(F.col("_corrupt_record").isNotNull().alias("broken")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def omit_empty(spark, sf):
+    """Compact JSON of repaired records: which members are left."""
+    df = repair.mark_branches(V.records(spark, sf))
+    text = sinks.json_lines(df)
+    return text.select(seq(), F.array_join(F.array_sort(F.json_object_keys("value")), "|").alias("keys"))
+
+
+QUERIES = {f.__name__: f for f in (
+    scan_xml, scan_jsonl, line_kinds, limit_input, limit_parsed, merge_inputs, load_override_dim, load_level_dim, extract_links,
+    latest_snapshot, write_parquet_tables, write_jdbc_tables, split_by_class, skip_broken, omit_empty)}
+
+_VIEWS = V.oracle_views("cert", "sup", "prog", "dec")
+_CELL = lambda x: f"(case when lower(trim({x})) not in ('', '-', '—', '–', 'н/д', 'нд', 'нет данных', 'null', 'none') then trim({x}) end)"
+_DIG = lambda x: f"(case when regexp_matches(regexp_replace({x}, '[\\s\\-]', '', 'g'), '^[0-9]+$') then regexp_replace({x}, '[\\s\\-]', '', 'g') end)"
+_KEYS = ", ".join([f"case when {f} is not null then '{f}' end" if f in S.BOOL_FIELDS else f"case when not {blank(f)} then '{f}' end" for f in S.CERTIFICATE_FIELDS]
+                  + ["case when has_root then 'ActualEducationOrganization' end", "case when k % 4 > 0 then 'Supplements' end", "case when k % 3 > 0 then 'Decisions' end", "'_derived'"])
+ORACLES = {
+    "scan_xml": _VIEWS + f""", st as (select k, string_agg(coalesce({_CELL('StatusName')}, '-'), '|' order by i) as statuses, cast(count(*) as integer) as supplements from sup group by k)
+        select Id, {_CELL('StatusName')} as StatusName, IsFederal, IssueDate, {_DIG('EduOrgINN')} as EduOrgINN, {_DIG('EduOrgOGRN')} as EduOrgOGRN, coalesce(supplements, 0) as supplements,
+        coalesce(statuses, '') as statuses from cert left join st using (k)""",
+    "scan_jsonl": V.oracle_views() + " select 'c'||k as Id, true as IsFederal, seg as RegNumber, cast(0 as integer) as supplements from base where k % 7 > 4",
+    "line_kinds": V.oracle_views() + " select case when k % 7 < 2 then 'blank' when k % 7 = 2 then 'bad_json' when k % 7 < 5 then 'not_object' else 'object' end as kind, count(*) as n from base group by 1",
+    "limit_input": V.oracle_views() + f" select k, {_LINE} as value from base where k % 7 > 1 order by k limit 50",
+    "limit_parsed": V.oracle_views() + f" select k, {_LINE} as value from base where k % 7 > 2 order by k limit 50",
+    "merge_inputs": _VIEWS + f"""select source_file as _source_file, count(*) as n, count(*) filter (where not {blank('EduOrgINN')}) as with_inn from cert
+        where not coalesce(StatusName in ('Недействующее', 'Прекращено', 'Лишен аккредитации'), false) and RegionName <> 'образовательные учреждения, находящиеся за пределами Российской Федерации' group by 1""",
+    "load_override_dim": "select '10277'||c_custkey as ogrn, '77'||c_custkey as inn from customer",
+    "load_level_dim": """select 'L'||c_custkey as level, case when c_custkey % 4 = 2 then 'second' when c_custkey % 4 = 3 then 'T'||c_nationkey end as target,
+        case when c_custkey % 4 < 2 then 'clear' else 'rename' end as role from customer union all select 'A', 'A', 'canonical' union all select distinct c_mktsegment, c_mktsegment, 'canonical' from customer""",
+    "extract_links": """with h as (select page_id, url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)) as u, generate_subscripts(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1), 1) as n from pages),
+        f as (select page_id, n, case when u like '/%' then regexp_extract(url, '^[a-z]+://[^/?#]*')||trim(u) else trim(u) end as link from h),
+        d as (select page_id, link, min(n) as o from f group by all)
+        select page_id, cast(row_number() over (partition by page_id order by o) - 1 as integer) as pos, link from d""",
+    "latest_snapshot": """with t as (select 'http://host/opendata/'||case when o_orderkey % 5 = 0 then 'other-' else 'data-' end||strftime(o_orderdate, '%Y%m%d')||'-structure-'||o_orderkey||'.xml?v=1' as url,
+        case when o_orderkey % 5 > 0 then strftime(o_orderdate, '%Y%m%d') end as snapshot_date from orders) select * from t where snapshot_date = (select max(snapshot_date) from t)""",
+    "write_parquet_tables": _VIEWS + f"""select 'certificates' as table_name, count(*) as n from cert union all select 'supplements', count(*) from sup union all select 'decisions', count(*) from dec where not {blank('Id')}
+        union all select 'educational_programs', count(*) from prog union all select 'actual_education_organizations', (select count(*) from cert where Id is not null and r_Id is not null)
+        + (select count(*) from sup s join cert c using (k) where c.Id is not null and s.Id is not null and s.a_Id is not null)""",
+    "write_jdbc_tables": _VIEWS + f""", bad as (select k from sup group by k having count(*) filter (where Id is null) > 0 or count(distinct Id) < count(*)
+        union select k from dec where not {blank('Id')} group by k having count(distinct Id) < count(*)),
+        good as (select *, row_number() over (partition by Id order by k) as rn from cert where Id is not null and k not in (select k from bad))
+        select Id as certificate_id, cast(IsFederal as integer) as is_federal, IssueDate as issue_date from good where rn = 1""",
+    "skip_broken": V.oracle_views() + " select k % 10 = 3 as broken, count(*) as n from base group by 1",
+    "omit_empty": _VIEWS + f", t as (select k, unnest([{_KEYS}]) as key from cert) select k, string_agg(key, '|' order by key) as keys from t where key is not null group by k",
+}
+ORACLES["split_by_class"] = f"select certificate_class, count(*) as n from ({_AUDITED['classify_certificates']}) t group by 1"

@@ -15,34 +15,60 @@ _SEQ = "_record_seq"
 _FILE = "_source_file"
 
 
-def _unwrap() -> list[Column]:
-    """XML row -> raw record: wrapper elements become plain arrays."""
+# The element that makes a record, and what an ampersand must look like to be a reference.
+ELEMENT = "Certificate"
+OPENING = f"<{ELEMENT}(?=[\\s/>])"
+STRAY_AMPERSAND = "&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
+
+
+def read_elements(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """The text of every record element (value, _source_file, _record_seq).
+
+    The closing tag is the line separator of a text scan, so one large snapshot
+    is read by many tasks and a damaged element cannot take its neighbours along.
+    """
+    parts = spark.read.option("lineSep", f"</{ELEMENT}>").option("encoding", encoding).text(path)
+    whole = F.concat(F.regexp_extract("value", f"(?s)({OPENING}.*)$", 1), F.lit(f"</{ELEMENT}>"))
+    return parts.where(F.col("value").rlike(OPENING)).select(
+        whole.alias("value"), F.col("_metadata.file_name").alias(_FILE), F.monotonically_increasing_id().alias(_SEQ))
+
+
+def _unwrap(row: Column) -> list[Column]:
+    """Wrapper elements become plain arrays."""
     def sup(s: Column) -> Column:
         return s.withField("EducationalPrograms", s["EducationalPrograms"]["EducationalProgram"])
 
     return [
-        *[F.col(f) for f in S.CERTIFICATE_FIELDS],
-        F.col(S.ORGANIZATION),
-        F.transform(F.col("Supplements.Supplement"), sup).alias("Supplements"),
-        F.col("Decisions.Decision").alias("Decisions"),
+        *[row[f].alias(f) for f in S.CERTIFICATE_FIELDS],
+        row[S.ORGANIZATION].alias(S.ORGANIZATION),
+        F.transform(row["Supplements"]["Supplement"], sup).alias("Supplements"),
+        row["Decisions"]["Decision"].alias("Decisions"),
     ]
 
 
-def read_xml(spark: SparkSession, path: str | list[str], *, strict: bool = False) -> DataFrame:
-    """One raw all-text record per ``Certificate`` element.
+def parse_elements(elements: DataFrame, *, strict: bool = False) -> DataFrame:
+    """One raw all-text record per element.
 
-    A malformed element is kept as a row with ``_corrupt_record`` (the first 1,000
-    characters) so that it can be counted; ``strict`` fails instead.
+    Stray ampersands are dropped before parsing. An element that still cannot be
+    read is kept as a row with ``_corrupt_record`` (its first 1,000 characters),
+    so that it can be counted; ``strict`` fails instead.
     """
-    reader = (
-        spark.read.format("xml").option("rowTag", "Certificate").schema(S.xml_row_type())
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record").option("ignoreNamespace", "true")
-    )
-    rows = reader.load(path)
-    return rows.select(
-        *_unwrap(), F.substring("_corrupt_record", 1, 1000).alias("_corrupt_record"),
-        F.col("_metadata.file_name").alias(_FILE), F.monotonically_increasing_id().alias(_SEQ))
+    options = {"rowTag": ELEMENT, "mode": "FAILFAST" if strict else "PERMISSIVE",
+               "columnNameOfCorruptRecord": "_corrupt_record", "ignoreNamespace": "true"}
+    tidy = F.regexp_replace("value", STRAY_AMPERSAND, "")
+    rows = elements.withColumn("r", F.from_xml(tidy, S.xml_row_type().simpleString(), options))
+    r = F.col("r")
+    return rows.select(*_unwrap(r), F.substring(r["_corrupt_record"], 1, 1000).alias("_corrupt_record"), _FILE, _SEQ)
+
+
+def read_xml(spark: SparkSession, path: str | list[str], *, strict: bool = False) -> DataFrame:
+    return parse_elements(read_elements(spark, path), strict=strict)
+
+
+def element_tags(elements: DataFrame) -> DataFrame:
+    """Names of all tags inside the elements as ``tag`` rows."""
+    names = F.array_distinct(F.regexp_extract_all("value", F.lit("<([A-Za-z_][A-Za-z0-9_.\\-]*)"), F.lit(1)))
+    return elements.select(F.explode(names).alias("tag"))
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
