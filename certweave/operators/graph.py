@@ -97,11 +97,15 @@ def supplement_nodes(records: DataFrame) -> DataFrame:
         _uri("Supplement", F.col("_cid"), s["Id"]).alias("uri"), "_record_seq", "pos", *_props(s, S.SUPPLEMENT_FIELDS, []))
 
 
+def _program_uri(sup_id: Column, slot: Column, p: Column) -> Column:
+    return _uri("EducationalProgram", F.col("_cid"), sup_id, slot.cast("string"), F.coalesce(p["Id"], F.lit("")))
+
+
 def _program_rows(records: DataFrame) -> DataFrame:
     p = F.col("p")
     return _sup_rows(records).select(
         "_cid", "_record_seq", "pos", F.col("s.Id").alias("_sid"), F.posexplode(N.items(N.programs_of(F.col("s")))).alias("slot", "p")
-    ).withColumn("uri", _uri("EducationalProgram", F.col("_cid"), F.col("_sid"), F.col("slot").cast("string"), F.coalesce(p["Id"], F.lit(""))))
+    ).withColumn("uri", _program_uri(F.col("_sid"), F.col("slot"), p))
 
 
 def program_nodes(records: DataFrame) -> DataFrame:
@@ -176,62 +180,117 @@ def merge_nodes(nodes: DataFrame, order: list[str]) -> DataFrame:
     return nodes.groupBy("uri").agg(*[F.max_by(F.col(p), F.when(F.col(p).isNotNull(), when)).alias(p) for p in props])
 
 
-def edges(records: DataFrame, predicates: list[str] | None = None) -> DataFrame:
-    """Distinct (predicate, src, dst)."""
+def _edge(predicate: str, src: Column, dst: Column) -> Column:
+    return F.struct(F.lit(predicate).alias("predicate"), src.alias("src"), dst.alias("dst"))
+
+
+def _record_edges() -> Column:
+    """All edges of a record as one array; targets of blank names are null."""
     cert = _uri("Certificate", F.col("_cid"))
-    cards = _card_rows(records)
-    rows = {
-        "hasSupplement": lambda: _sup_rows(records).select(cert.alias("src"), _uri("Supplement", F.col("_cid"), F.col("s.Id")).alias("dst")),
-        "hasDecision": lambda: _decision_rows(records).select(cert.alias("src"), F.col("uri").alias("dst")),
-        "hasEducationalProgram": lambda: _program_rows(records).select(
-            _uri("Supplement", F.col("_cid"), F.col("_sid")).alias("src"), F.col("uri").alias("dst")),
-        "hasEducationLevel": lambda: _program_rows(records).select(
-            F.col("uri").alias("src"), _named_uri("EducationalLevel", F.col("p.EduLevelName")).alias("dst")),
-        "offersEducationLevel": lambda: cards.select("uri", F.explode("levels").alias("level")).select(
-            F.col("uri").alias("src"), _named_uri("EducationalLevel", F.col("level")).alias("dst")),
-        "inRegion": lambda: _identified(records).select(cert.alias("src"), _named_uri("Region", F.col("RegionName")).alias("dst")).unionByName(
-            cards.select(F.col("uri").alias("src"), _named_uri("Region", F.col("a.RegionName")).alias("dst"))),
-        "hasActualEducationOrganization": lambda: cards.select(F.col("owner").alias("src"), F.col("uri").alias("dst")),
-    }
-    out = None
-    for p in predicates or PREDICATES:
-        part = rows[p]().where("dst is not null").select(F.lit(p).alias("predicate"), "src", "dst")
-        out = part if out is None else out.unionByName(part)
-    return out.distinct()
-
-
-def node_label(kind: str, columns: list[str]) -> Column:
-    """Text under a node; falls back to the uri. ``columns``: the columns the node table has."""
-    named = lambda c: F.nullif(F.col(c), F.lit("")) if c in columns else F.lit(None).cast("string")
-    label = {
-        "Certificate": lambda: F.coalesce(named("g_display_name"), named("EduOrgShortName"), named("EduOrgFullName")),
-        "Supplement": lambda: named("Number"),
-        "EducationalProgram": lambda: F.nullif(X.strip(F.concat_ws(
-            " ", F.coalesce("ProgrammCode", F.lit("")), F.coalesce("ProgrammName", F.lit("")))), F.lit("")),
-        "EducationalLevel": lambda: named("name"),
-        "Region": lambda: named("name"),
-        "ActualEducationOrganization": lambda: F.coalesce(named("ShortName"), named("FullName")),
-        "Decision": lambda: named("DecisionTypeName"),
-    }[kind]()
-    return F.coalesce(label, F.col("uri"))
+    level_uri = lambda name: _named_uri("EducationalLevel", name)
+    distinct_levels = lambda ps: F.array_distinct(F.filter(F.transform(ps, _level_of), lambda x: x.isNotNull()))
+
+    def of_card(owner: Column, scope: str, card: Column, programs: Column) -> Column:
+        uri = _uri("AEO", F.col("_cid"), F.lit(scope), card["Id"])
+        edges_of = F.concat(
+            F.array(_edge("hasActualEducationOrganization", owner, uri), _edge("inRegion", uri, _named_uri("Region", card["RegionName"]))),
+            F.transform(distinct_levels(programs), lambda x: _edge("offersEducationLevel", uri, level_uri(x))))
+        return F.when(card["Id"].isNotNull(), edges_of).otherwise(F.array().cast(edge_array))
+
+    def of_program(sup_uri: Column, s: Column, p: Column, slot: Column) -> Column:
+        uri = _program_uri(s["Id"], slot, p)
+        return F.array(_edge("hasEducationalProgram", sup_uri, uri), _edge("hasEducationLevel", uri, level_uri(p["EduLevelName"])))
+
+    def of_supplement(s: Column) -> Column:
+        uri = _uri("Supplement", F.col("_cid"), s["Id"])
+        programs = N.programs_of(s)
+        return F.concat(
+            F.array(_edge("hasSupplement", cert, uri)),
+            F.flatten(F.transform(programs, lambda p, slot: of_program(uri, s, p, slot))),
+            of_card(uri, "supplement", s[N.ROOT], programs))
+
+    edge_array = "array<struct<predicate:string,src:string,dst:string>>"
+    keyed = F.filter(N.supplements(), lambda s: s["Id"].isNotNull())
+    named = F.filter(F.coalesce(F.col("Decisions"), F.array().cast(S.record_type()["Decisions"].dataType)), lambda d: ~X.is_blank(d["Id"]))
+    return F.concat(
+        F.flatten(F.transform(keyed, of_supplement)),
+        F.transform(named, lambda d: _edge("hasDecision", cert, _uri("Decision", F.col("_cid"), X.strip(d["Id"])))),
+        of_card(cert, "certificate", F.col(N.ROOT), F.flatten(F.transform(keyed, N.programs_of))),
+        F.array(_edge("inRegion", cert, _named_uri("Region", F.col("RegionName")))))
+
+
+def edges(records: DataFrame, predicates: list[str] | None = None) -> DataFrame:
+    """Distinct (predicate, src, dst): one pass over the records, one shuffle of the edges."""
+    chosen = PREDICATES if predicates is None else predicates
+    wanted = F.filter(_record_edges(), lambda e: e["dst"].isNotNull() & e["predicate"].isin(chosen))
+    return _identified(records).select(F.explode(wanted).alias("e")).select("e.*").distinct()
+
+
+def label_texts(kind: str, obj: dict[str, Column]) -> list[Column]:
+    """The up to three texts a node of a kind can be labelled with, best first."""
+    names = {
+        "Certificate": ["g_display_name", "EduOrgShortName", "EduOrgFullName"],
+        "Supplement": ["Number"],
+        "EducationalProgram": ["ProgrammCode", "ProgrammName"],
+        "EducationalLevel": ["name"],
+        "Region": ["name"],
+        "ActualEducationOrganization": ["ShortName", "FullName"],
+        "Decision": ["DecisionTypeName"],
+    }[kind]
+    none = F.lit(None).cast("string")
+    found = [obj.get(n, none) for n in names]
+    return found + [none] * (3 - len(found))
+
+
+def node_label(kind: Column, first: Column, second: Column, third: Column, uri: Column) -> Column:
+    """Text under a node, from its label texts; falls back to the uri."""
+    filled = lambda c: F.nullif(c, F.lit(""))
+    code_and_name = X.strip(F.concat_ws(" ", F.coalesce(first, F.lit("")), F.coalesce(second, F.lit(""))))
+    label = F.when(kind == "EducationalProgram", filled(code_and_name)).otherwise(F.coalesce(filled(first), filled(second), filled(third)))
+    return F.coalesce(label, uri)
+
+
+def _record_nodes(columns: list[str]) -> Column:
+    """All nodes of a record as one array of (kind, uri, t1, t2, t3, pos)."""
+    def node(kind: str, uri: Column, obj: dict[str, Column], pos: Column) -> Column:
+        texts = label_texts(kind, obj)
+        return F.struct(F.lit(kind).alias("kind"), uri.alias("uri"), *[t.alias(f"t{n}") for n, t in enumerate(texts, 1)], pos.cast("int").alias("pos"))
+
+    pick = lambda o, *names: {n: o[n] for n in names}
+    cert_texts = {n: (F.col("_graph.org.display_name") if n == "g_display_name" else F.col(n))
+                  for n in ("g_display_name", "EduOrgShortName", "EduOrgFullName") if n != "g_display_name" or "_graph" in columns}
+    zero = F.lit(0)
+    region = lambda c, pos: node("Region", _named_uri("Region", c), {"name": X.nonblank(c)}, pos)
+
+    def of_card(scope: str, card: Column, pos: Column) -> Column:
+        own = node("ActualEducationOrganization", F.when(card["Id"].isNotNull(), _uri("AEO", F.col("_cid"), F.lit(scope), card["Id"])),
+                   pick(card, "ShortName", "FullName"), pos)
+        return F.array(own, region(F.when(card["Id"].isNotNull(), card["RegionName"]), pos))
+
+    def of_supplement(s: Column, pos: Column) -> Column:
+        programs = F.flatten(F.transform(N.programs_of(s), lambda p, slot: F.array(
+            node("EducationalProgram", _program_uri(s["Id"], slot, p), pick(p, "ProgrammCode", "ProgrammName"), pos),
+            node("EducationalLevel", _named_uri("EducationalLevel", p["EduLevelName"]), {"name": _level_of(p)}, pos))))
+        return F.concat(F.array(node("Supplement", _uri("Supplement", F.col("_cid"), s["Id"]), pick(s, "Number"), pos)),
+                        programs, of_card("supplement", s[N.ROOT], pos))
+
+    indexed = F.filter(F.transform(N.supplements(), lambda s, pos: F.struct(s.alias("s"), pos.alias("pos"))), lambda x: x["s"]["Id"].isNotNull())
+    decisions = F.transform(F.coalesce(F.col("Decisions"), F.array().cast(S.record_type()["Decisions"].dataType)), lambda d, pos: node(
+        "Decision", F.when(~X.is_blank(d["Id"]), _uri("Decision", F.col("_cid"), X.strip(d["Id"]))), pick(d, "DecisionTypeName"), pos))
+    return F.concat(
+        F.array(node("Certificate", _uri("Certificate", F.col("_cid")), cert_texts, zero), region(F.col("RegionName"), zero)),
+        F.flatten(F.transform(indexed, lambda x: of_supplement(x["s"], x["pos"]))), decisions,
+        of_card("certificate", F.col(N.ROOT), F.size(N.supplements())))
 
 
 def labelled_nodes(records: DataFrame) -> DataFrame:
-    """(kind, uri, label) of every node, merged by uri."""
-    plain = {
-        "Certificate": merge_nodes(certificate_nodes(records), ["_record_seq"]),
-        "Supplement": merge_nodes(supplement_nodes(records), ["_record_seq", "pos"]),
-        "EducationalProgram": merge_nodes(program_nodes(records), ["_record_seq", "pos"]),
-        "EducationalLevel": level_nodes(records),
-        "Region": region_nodes(records),
-        "ActualEducationOrganization": merge_nodes(organization_nodes(records), ["_record_seq", "pos"]),
-        "Decision": merge_nodes(decision_nodes(records), ["_record_seq", "pos"]),
-    }
-    out = None
-    for kind, df in plain.items():
-        part = df.select(F.lit(kind).alias("kind"), "uri", node_label(kind, df.columns).alias("label"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """(kind, uri, label) of every node, merged by uri: one pass over the records, one aggregate."""
+    wanted = F.filter(_record_nodes(records.columns), lambda n: n["uri"].isNotNull())
+    rows = _identified(records).select("_record_seq", F.explode(wanted).alias("n")).select("_record_seq", "n.*")
+    when = F.struct("_record_seq", "pos")
+    latest = [F.max_by(t, F.when(F.col(t).isNotNull(), when)).alias(t) for t in ("t1", "t2", "t3")]
+    merged = rows.groupBy("kind", "uri").agg(*latest)
+    return merged.select("kind", "uri", node_label(*[F.col(c) for c in ("kind", "t1", "t2", "t3", "uri")]).alias("label"))
 
 
 def search_conditions(q: str = "", region: str = "", level: str = "", control_organ: str = "", leave_out: str = "") -> list[Column]:

@@ -35,6 +35,8 @@ def name_fields(records: DataFrame) -> DataFrame:
 def normalized_names(names: DataFrame) -> DataFrame:
     """Distinct names with their display form, fingerprint and whether anything changed."""
     distinct = names.select("name").where("name is not null").distinct()
+    # much work per small row: keep the configured number of tasks, which size-based coalescing would not
+    distinct = distinct.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name")
     shown = distinct.withColumn("display_name", O.normalize_display_name(F.col("name")))
     return shown.withColumns({
         "fingerprint": O.fingerprint_of_display(F.col("display_name")),

@@ -124,28 +124,30 @@ def adapt_scalar(c: Column, dtype: str, sql_type: str, integer_booleans: bool =
 def key_violations(tabs: dict[str, DataFrame]) -> DataFrame:
     """(table_name, violation, n): duplicate keys, null key members, missing parents.
 
-    Duplicates are groups with more than one row, counted with map-side partial
-    sums; nulls compare equal there, which is what a nullable key member needs.
+    A table is read once for its own key: rows per key are counted with partial
+    sums, so a hot key is one row per task. Nulls compare equal there, which is
+    what a nullable key member needs.
     """
     parts = []
+
+    def rows(name: str, found: DataFrame, *violations: str) -> None:
+        pairs = F.explode(F.array(*[F.struct(F.lit(v).alias("violation"), F.coalesce(F.col(v), F.lit(0)).cast("bigint").alias("n")) for v in violations]))
+        parts.append(found.select(F.lit(name).alias("table_name"), pairs.alias("x")).select("table_name", "x.*"))
+
     for name, keys in KEYS.items():
-        df = tabs[name]
         required = [k for k in keys if k not in NULLABLE_KEY_COLUMNS.get(name, [])]
         any_null = F.lit(False)
         for k in required:
             any_null = any_null | F.col(k).isNull()
-        parts.append(df.agg(F.count_if(any_null).alias("n")).select(
-            F.lit(name).alias("table_name"), F.lit("null_key").alias("violation"), "n"))
-        groups = df.where(~any_null).groupBy(*keys).count().where("count > 1")
-        parts.append(groups.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("table_name"), F.lit("duplicate_key").alias("violation"), "n"))
+        per_key = tabs[name].groupBy(*keys).count()
+        rows(name, per_key.agg(
+            F.sum(F.when(any_null, F.col("count"))).alias("null_key"), F.count_if(~any_null & (F.col("count") > 1)).alias("duplicate_key")),
+            "null_key", "duplicate_key")
     for child, cols, parent in FOREIGN_KEYS:
-        rows = tabs[child].select(*cols).where(" and ".join(f"{c} is not null" for c in cols))
-        # count per key first: a hot parent key is then one row per task in the join
-        per_key = rows.groupBy(*cols).count()
+        per_key = tabs[child].select(*cols).where(" and ".join(f"{c} is not null" for c in cols)).groupBy(*cols).count()
         orphans = per_key.join(tabs[parent].select(*cols).distinct(), cols, "left_anti")
-        parts.append(orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("n")).select(
-            F.lit(child).alias("table_name"), F.lit("orphan_of_" + parent + ("_pair" if len(cols) > 1 else "")).alias("violation"), "n"))
+        violation = "orphan_of_" + parent + ("_pair" if len(cols) > 1 else "")
+        rows(child, orphans.agg(F.sum("count").alias(violation)), violation)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -165,9 +167,10 @@ def is_loadable() -> Column:
 def loadable_records(records: DataFrame) -> DataFrame:
     """Records that load as a whole; of repeated ids the first loadable one stays.
 
-    The first of each id is found by a partial aggregate on two small columns and
-    joined back on (id, sequence), so a repeated id never gathers whole records.
+    Only ids that really repeat matter: their first sequence numbers form a small
+    table, and records join it without being shuffled as long as AQE can
+    broadcast it. A repeated id never gathers whole records in one place.
     """
     good = records.where(is_loadable())
-    firsts = good.groupBy("Id").agg(F.min("_record_seq").alias("_record_seq"))
-    return good.join(firsts, ["Id", "_record_seq"], "left_semi")
+    repeated = good.groupBy("Id").agg(F.min("_record_seq").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    return good.join(repeated, "Id", "left").where("_first is null or _first = _record_seq").drop("_first")

@@ -88,7 +88,7 @@ def facet_control_organ(spark, sf):
 
 def expand_node(spark, sf):
     """Neighbours of every node of one region and of every certificate of one snapshot file."""
-    records = _records(spark, sf)
+    records = V.stored_records(spark, sf)
     nodes = G.labelled_nodes(records)
     start = nodes.where("kind = 'Region' or (kind = 'Decision' and label = 'О предоставлении')")
     return G.expand_nodes(nodes, G.edges(records), start)
@@ -107,18 +107,18 @@ def list_levels(spark, sf):
 
 
 def path_certificates_in_region(spark, sf):
-    r = _records(spark, sf)
+    r = V.stored_records(spark, sf)
     return G.certificates_in_region(G.region_nodes(r), G.edges(r, ["inRegion"]), "Республика NATION_1")
 
 
 def path_levels_offered(spark, sf):
-    r = _records(spark, sf)
+    r = V.stored_records(spark, sf)
     cards = G.organization_nodes(r).where("INN is not null")
     return G.levels_offered_by(G.level_nodes(r), G.edges(r, ["offersEducationLevel"]), cards)
 
 
 def path_supplements_by_inn(spark, sf):
-    r = _records(spark, sf)
+    r = V.stored_records(spark, sf)
     cards = G.merge_nodes(G.organization_nodes(r), ["_record_seq", "pos"])
     return G.supplements_by_card_inn(cards, G.edges(r, ["hasActualEducationOrganization"]), F.col("INN").startswith("51"))
 

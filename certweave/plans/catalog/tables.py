@@ -9,6 +9,7 @@ from certweave.operators import relational as R
 from certweave.plans import register_view as V
 from certweave.plans.catalog.repairs import seq
 from certweave.plans.catalog.sqltext import blank
+from certweave.session import scratch_path
 
 
 def tbl_certificates(spark, sf):
@@ -42,7 +43,7 @@ def adapt_scalar(spark, sf):
 
 
 def check_keys(spark, sf):
-    return R.key_violations(R.tables(V.records(spark, sf)))
+    return R.key_violations(R.tables(V.stored_records(spark, sf)))
 
 
 def reject_record(spark, sf):
@@ -51,7 +52,9 @@ def reject_record(spark, sf):
 
 def check_keys_after_reject(spark, sf):
     """No violation is left among the records that load."""
-    return R.key_violations(R.tables(R.loadable_records(V.records(spark, sf))))
+    path = scratch_path(spark, "loadable")
+    R.loadable_records(V.stored_records(spark, sf)).write.parquet(path)
+    return R.key_violations(R.tables(spark.read.parquet(path)))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from certweave import schema as S
+from certweave.session import scratch_path
 
 CERTIFICATE_RULES = {
     "Id": "case when k % 211 = 5 then null when k % 53 = 7 then 'c'||(k-1) else 'c'||k end",
@@ -210,6 +211,13 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records written once as Parquet and read back, for a job that passes over them several times."""
+    path = scratch_path(spark, "records")
+    records(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def oracle_views(*names: str) -> str:
     """``WITH`` prefix for DuckDB: flat views ``cert``, ``sup``, ``prog``, ``dec`` over the same rules.
 
