@@ -142,9 +142,8 @@ def programm_code_key(c: Column) -> Column:
     return F.when(x.rlike(DOTTED_CODE), x)
 
 
-def normalize_scalar(tag: str, c: Column) -> Column:
-    """The rule that belongs to a field name, applied after the common text cleaning."""
-    x = clean_text(c)
+def typed_scalar(tag: str, x: Column) -> Column:
+    """The rule that belongs to a field name, for a text that is clean already."""
     if tag == "Qualification":
         return F.nullif(x, F.lit("0"))
     if tag in CODE_FIELDS:
@@ -158,6 +157,10 @@ def normalize_scalar(tag: str, c: Column) -> Column:
     return x
 
 
+def normalize_scalar(tag: str, c: Column) -> Column:
+    return typed_scalar(tag, clean_text(c))
+
+
 def uid_token(c: Column) -> Column:
     return F.lower(nonblank(c))
 

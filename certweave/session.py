@@ -23,6 +23,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, driver_memory:
         .appName("certweave")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # the call site of every column expression; looking it up is a third of the plan building
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
