@@ -90,9 +90,6 @@ def strip_double_quotes(c: Column) -> Column:
     A pass that changes something takes away at least four quotes, so a quarter
     of the quotes is enough passes; once a pass changes nothing the rest are free.
     """
-    quotes = F.length(c) - F.length(F.replace(c, F.lit('"'), F.lit("")))
-    passes = F.when(quotes >= 4, F.sequence(F.lit(1), F.floor(quotes / 4).cast("int"))).otherwise(F.array().cast("array<int>"))
-
     def state(text: Column, stable: Column) -> Column:
         return F.struct(text.alias("text"), stable.alias("stable"))
 
@@ -100,8 +97,13 @@ def strip_double_quotes(c: Column) -> Column:
         unwrap = F.regexp_replace(acc["text"], "\"\"([^\"]*?)\"\"", "$1")
         return F.when(acc["stable"], acc).otherwise(let(unwrap, lambda new: state(new, new == acc["text"])))
 
-    unwrapped = F.aggregate(passes, state(c, F.lit(False)), one_pass, lambda acc: acc["text"])
-    return F.regexp_replace(unwrapped, "\"\"+", "")
+    def unwrap_all(x: Column) -> Column:
+        quotes = F.length(x) - F.length(F.replace(x, F.lit('"'), F.lit("")))
+        passes = let(quotes, lambda q: F.when(q >= 4, F.sequence(F.lit(1), F.floor(q / 4).cast("int"))).otherwise(F.array().cast("array<int>")))
+        unwrapped = F.aggregate(passes, state(x, F.lit(False)), one_pass, lambda acc: acc["text"])
+        return F.when(x.contains('""'), F.regexp_replace(unwrapped, "\"\"+", "")).otherwise(x)
+
+    return let(c, unwrap_all)
 
 
 def dashes_to_hyphen(c: Column) -> Column:
@@ -297,7 +299,8 @@ def opf_quoted(c: Column) -> Column:
 
 def normalize_display_name(c: Column) -> Column:
     """The display form of an organisation name; blank texts stay as they are."""
-    return F.when(is_blank(c), c).otherwise(F.coalesce(F.nullif(opf_quoted(typography(c)), F.lit("")), strip(c)))
+    shown = let(opf_quoted(typography(c)), lambda d: F.when(d != "", d).otherwise(strip(c)))
+    return F.when(is_blank(c), c).otherwise(shown)
 
 
 def fingerprint_of_display(display: Column) -> Column:
