@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import mixing, quality, sharding
 from .common import tables
 
 
@@ -13,11 +13,16 @@ def op1_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
+def op6_quality_rules(spark, sf_dir):
+    judged = quality.judge(tables(spark, sf_dir, "documents").select("doc_id", "text"), tables(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 def op9_sharding(spark, sf_dir):
     """The law is ``bytes``: sizes near equal, as far as groups of equal texts allow."""
     placed = sharding.shard_documents(tables(spark, sf_dir, "documents"), 24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op9_sharding": op9_sharding}
+QUERIES = {"op1_mixing": op1_mixing, "op6_quality_rules": op6_quality_rules, "op9_sharding": op9_sharding}
 ORACLES = {}
