@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding
+from . import licences, mixing, quality, sharding, urls
 from .common import tables
 
 
@@ -13,6 +13,18 @@ def op1_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op2_url_filter(spark, sf_dir):
+    judged = urls.judge(tables(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op3_license_scan(spark, sf_dir):
+    return licences.scan(tables(spark, sf_dir, "documents").select("doc_id", "text"), licences.known_digests(spark))
+
+
 def op6_quality_rules(spark, sf_dir):
     judged = quality.judge(tables(spark, sf_dir, "documents").select("doc_id", "text"), tables(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
@@ -24,5 +36,5 @@ def op9_sharding(spark, sf_dir):
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op6_quality_rules": op6_quality_rules, "op9_sharding": op9_sharding}
+QUERIES = {"op1_mixing": op1_mixing, "op2_url_filter": op2_url_filter, "op3_license_scan": op3_license_scan, "op6_quality_rules": op6_quality_rules, "op9_sharding": op9_sharding}
 ORACLES = {}
