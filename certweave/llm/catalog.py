@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import licences, mixing, quality, sharding, urls
+from . import chat, licences, mixing, packing, quality, sharding, urls
 from .common import tables
 
 
@@ -30,11 +30,39 @@ def op6_quality_rules(spark, sf_dir):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op7_packing(spark, sf_dir):
+    import public_tokenizers
+
+    packed = packing.pack(tables(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_chat_format(spark, sf_dir):
+    """All conversations, and one whose texts look like markup."""
+    told = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, "assistant", told)], "conv_id long, turn long, role string, text string")
+    turns = tables(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_conversations(turns))
+
+
 def op9_sharding(spark, sf_dir):
     """The law is ``bytes``: sizes near equal, as far as groups of equal texts allow."""
     placed = sharding.shard_documents(tables(spark, sf_dir, "documents"), 24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_url_filter": op2_url_filter, "op3_license_scan": op3_license_scan, "op6_quality_rules": op6_quality_rules, "op9_sharding": op9_sharding}
-ORACLES = {}
+QUERIES = {"op1_mixing": op1_mixing, "op2_url_filter": op2_url_filter, "op3_license_scan": op3_license_scan, "op6_quality_rules": op6_quality_rules, "op7_packing": op7_packing,
+           "op8_chat_format": op8_chat_format, "op9_sharding": op9_sharding}
+ORACLES = {
+    "op8_chat_format": r"""
+        with turns as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+            union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
+        select conv_id, count(*) as n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls last, role, text)) as turns_sha256,
+            cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+            sha256(coalesce(string_agg(text, '' order by turn nulls last, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+            cast(sum(16 + length(regexp_replace(role, '[\\<>]', 'xx', 'g')) + length(regexp_replace(text, '[\\<>]', 'xx', 'g'))) as bigint) as formatted_chars
+        from turns group by conv_id""",
+}

@@ -54,3 +54,24 @@ def numbered(df: DataFrame, order: list[str], position: str) -> DataFrame:
     starts = spark.createDataFrame(rows, "_part int, _start long")
     at = F.col("_start") + F.col("_at").bitwiseAND(F.lit(IN_PARTITION))
     return cut.join(starts, "_part").withColumn(position, at).drop("_part", "_at", "_start")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the Python workers through Spark, once per application; they need not have it installed."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="certweave-")) / "certweave_library.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(top.rglob("*.py")):
+            z.write(file, str(file.relative_to(top.parent)))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
