@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, licences, mixing, packing, quality, sharding, urls
+from . import chat, language, licences, mixing, packing, quality, sharding, urls
 from .common import tables
 
 
@@ -25,6 +25,24 @@ def op3_license_scan(spark, sf_dir):
     return licences.scan(tables(spark, sf_dir, "documents").select("doc_id", "text"), licences.known_digests(spark))
 
 
+LANGUAGES = ["de", "en", "es", "fr"]
+
+
+def op4_language_id(spark, sf_dir):
+    """Documents: the column lang is what they declare, their source is the host."""
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    found = language.identify(docs, LANGUAGES, declared=F.col("lang"), host=F.col("source"))
+    return found.select("doc_id", F.col("lang").alias("declared"), "language", F.round("confidence", 6).alias("confidence"), F.col("language_kept").alias("kept"))
+
+
+def op4_language_id_pages(spark, sf_dir):
+    """Pages: markup language, address suffix and host; the text is the markup without tags, scripts and styles."""
+    body = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", " "), r"(?s)<[^>]*>", " ")
+    pages = tables(spark, sf_dir, "pages").select("page_id", "url", body.alias("text"), language.markup_language(F.col("html")).alias("markup"))
+    found = language.identify(pages, LANGUAGES, declared=F.col("markup"), host=urls.host(F.col("url")), suffix=language.address_suffix(F.col("url"), LANGUAGES))
+    return found.select("page_id", "markup", "language", F.round("confidence", 6).alias("confidence"), F.col("language_kept").alias("kept"))
+
+
 def op6_quality_rules(spark, sf_dir):
     judged = quality.judge(tables(spark, sf_dir, "documents").select("doc_id", "text"), tables(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
@@ -51,7 +69,8 @@ def op9_sharding(spark, sf_dir):
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_url_filter": op2_url_filter, "op3_license_scan": op3_license_scan, "op6_quality_rules": op6_quality_rules, "op7_packing": op7_packing,
+QUERIES = {"op1_mixing": op1_mixing, "op2_url_filter": op2_url_filter, "op3_license_scan": op3_license_scan, "op4_language_id": op4_language_id, "op4_language_id_pages": op4_language_id_pages,
+           "op6_quality_rules": op6_quality_rules, "op7_packing": op7_packing,
            "op8_chat_format": op8_chat_format, "op9_sharding": op9_sharding}
 ORACLES = {
     "op8_chat_format": r"""
