@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, language, licences, mixing, packing, quality, sharding, urls
+from . import chat, jaccard, language, licences, mixing, packing, quality, sharding, urls
 from .common import tables
 
 
@@ -43,6 +43,10 @@ def op4_language_id_pages(spark, sf_dir):
     return found.select("page_id", "markup", "language", F.round("confidence", 6).alias("confidence"), F.col("language_kept").alias("kept"))
 
 
+def op5_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.near_duplicates(tables(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark, sf_dir):
     judged = quality.judge(tables(spark, sf_dir, "documents").select("doc_id", "text"), tables(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
@@ -70,9 +74,21 @@ def op9_sharding(spark, sf_dir):
 
 
 QUERIES = {"op1_mixing": op1_mixing, "op2_url_filter": op2_url_filter, "op3_license_scan": op3_license_scan, "op4_language_id": op4_language_id, "op4_language_id_pages": op4_language_id_pages,
-           "op6_quality_rules": op6_quality_rules, "op7_packing": op7_packing,
+           "op5_ngram_jaccard_join": op5_ngram_jaccard_join, "op6_quality_rules": op6_quality_rules, "op7_packing": op7_packing,
            "op8_chat_format": op8_chat_format, "op9_sharding": op9_sharding}
 ORACLES = {
+    "op5_ngram_jaccard_join": r"""
+        with recursive words as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+        grams as (
+            select distinct doc_id, unnest(case when len(w) < 5 then case when len(w) = 0 then [] else [array_to_string(w, ' ')] end
+                else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as g from words),
+        sizes as (select doc_id, count(*) as n from grams group by doc_id),
+        shared as (select a.doc_id as a, b.doc_id as b, count(*) as n from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+        links as (select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 5 * shared.n >= 4 * (x.n + y.n - shared.n)),
+        reach as (select doc_id as a, doc_id as b from documents union select reach.a, links.b from reach join links on links.a = reach.b)
+        select doc_id, (select min(b) from reach where a = doc_id) as class_id, (select count(*) from links where a = doc_id) as n_links
+        from documents""",
     "op8_chat_format": r"""
         with turns as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
