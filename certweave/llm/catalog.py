@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, language, licences, mixing, packing, quality, sharding, urls
+from . import chat, embeddings, jaccard, language, licences, mixing, packing, quality, sharding, urls
 from .common import tables
 
 
@@ -73,10 +73,23 @@ def op9_sharding(spark, sf_dir):
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_embedding_dedup(spark, sf_dir):
+    found = embeddings.near_duplicates(tables(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
 QUERIES = {"op1_mixing": op1_mixing, "op2_url_filter": op2_url_filter, "op3_license_scan": op3_license_scan, "op4_language_id": op4_language_id, "op4_language_id_pages": op4_language_id_pages,
            "op5_ngram_jaccard_join": op5_ngram_jaccard_join, "op6_quality_rules": op6_quality_rules, "op7_packing": op7_packing,
-           "op8_chat_format": op8_chat_format, "op9_sharding": op9_sharding}
+           "op8_chat_format": op8_chat_format, "op9_sharding": op9_sharding, "op10_embedding_dedup": op10_embedding_dedup}
 ORACLES = {
+    "op10_embedding_dedup": r"""
+        with recursive units as (
+            select vec_id, cast(embedding as double[]) as v from embeddings where embedding is not null and len(embedding) > 0
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and list_dot_product(cast(embedding as double[]), cast(embedding as double[])) > 0),
+        links as (select a.vec_id as a, b.vec_id as b from units a join units b on a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.95),
+        reach as (select vec_id as a, vec_id as b from embeddings union select reach.a, links.b from reach join links on links.a = reach.b),
+        found as (select vec_id, (select count(*) from links where a = vec_id) as n_links, (select min(b) from reach where a = vec_id) as component_id from embeddings)
+        select vec_id, n_links, component_id, vec_id = component_id as kept from found""",
     "op5_ngram_jaccard_join": r"""
         with recursive words as (
             select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
