@@ -16,12 +16,14 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from .common import ship
 
-LENGTH, PIECE, GATHER = 2048, 512, 600
-CACHED_WORDS = 400_000
+LENGTH, PIECE, GATHER = 2048, 512, 1200
+FREE = 4  # tokens a window of a group should have to spare on average
+FIRST_WORDS, LATER_WORDS = 400_000, 200_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -63,20 +65,35 @@ class WordTokens(dict):
     """Ids of words as little-endian unsigned 32-bit integers, worked out once per word.
 
     The tokenizer drops white space before it looks at words, so the ids of a text are those
-    of its words in order.
+    of its words in order. The first words met stay, later ones make room for each other.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.later: list[bytes] = []
 
     def learn(self, words) -> None:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        new = sorted(set(words) - self.keys())
-        for word, coded in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            self[word] = b"".join(i.to_bytes(4, "little") for i in coded.ids)
+        if len(self.later) > LATER_WORDS:
+            for word in self.later:
+                del self[word]
+            self.later = []
+        new = [w for w in set(words) if w not in self]
+        room = FIRST_WORDS + len(self.later) - len(self)
+        self.later += new[max(0, room):]
+        # many words to a line; a token belongs to the word in which it starts
+        for at in range(0, len(new), 128):
+            line = new[at:at + 128]
+            texts = [w.decode() for w in line]
+            coded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4").tobytes()
+            starts = np.fromiter((a for a, _ in coded.offsets), np.int64, len(coded.offsets))
+            ends = 4 * np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])).astype(np.int64)
+            low = 0
+            for word, high in zip(line, ends.tolist()):
+                self[word] = ids[low:high]
+                low = high
 
     def encode(self, text: str) -> bytes:
         words = text.encode().split()  # bytes split at ASCII white space only
@@ -91,18 +108,15 @@ _LOADED: dict[str, WordTokens] = {}
 
 
 def pieces(doc_id, ids: bytes, length: int, piece: int) -> Iterator[tuple]:
-    """(doc_id, start, length, ids, doc_tokens): whole sequences first, then the rest in near-equal cuts."""
+    """(doc_id, start, length, ids, doc_tokens): whole sequences first, then the rest in cuts of ``piece``."""
     total = len(ids) // 4
     at = 0
     while total - at >= length:
         yield doc_id, at, length, ids[4 * at:4 * (at + length)], total
         at += length
-    rest = total - at
-    parts = -(-rest // piece)
-    for n in range(parts):
-        end = total - rest + rest * (n + 1) // parts
-        yield doc_id, at, end - at, ids[4 * at:4 * end], total
-        at = end
+    for low in range(at, total, piece):
+        end = min(low + piece, total)
+        yield doc_id, low, end - low, ids[4 * low:4 * end], total
 
 
 def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = LENGTH, piece: int = PIECE, gather: int = GATHER,
@@ -150,7 +164,7 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = LENG
                     waiting.append(p)
                     held += p[2]
                     # enough pieces, and a sum that leaves a few tokens free in each window
-                    if len(waiting) >= gather and 2 * held // length <= -held % length <= length // 2:
+                    if len(waiting) >= gather and FREE * (held // length) <= -held % length <= FREE * (held // length) + length // 4:
                         flush()
                 if len(out) >= 4000:
                     yield emit()
