@@ -64,7 +64,7 @@ def scan(docs: DataFrame, known: DataFrame, *, doc_id: str = "doc_id", text: str
     lines = F.filter(F.transform(F.split("text", "\n"), canonical_digest), lambda d: d != empty)
     wholes = known.select(F.col("digest").alias("of"), "licence").where(F.col("of") != empty)
     # equal texts find the same: what is found is kept once per text and joined back by the text's own digest
-    units = rows.select(F.monotonically_increasing_id().alias("row"), F.md5("text").alias("raw"), F.explode(lines).alias("of"))
+    units = rows.select(F.monotonically_increasing_id().alias("row"), F.md5("text").alias("raw"), lines.alias("lines")).select("row", "raw", F.explode("lines").alias("of"))
     found = units.join(wholes, "of").groupBy("row", "raw").agg(
         F.array_join(F.sort_array(F.collect_set("licence")), ",").alias("notices"), F.count("*").alias("n_notices"))
     found = found.groupBy("raw").agg(F.min("notices").alias("notices"), F.min("n_notices").alias("n_notices"))
