@@ -84,6 +84,12 @@ def items(array: Column) -> Column:
     return F.filter(array, lambda x: x.isNotNull())
 
 
+def placed(array: Column) -> Column:
+    """An array as input of ``inline``: (place, item) of its non-null items. Null items keep their places; nobody else takes them."""
+    at = F.transform(array, lambda x, i: F.struct(i.alias("place"), x.alias("item")))
+    return F.filter(at, lambda x: x["item"].isNotNull())
+
+
 def all_programs() -> Column:
     return F.flatten(F.transform(supplements(), programs_of))
 

@@ -52,13 +52,13 @@ def audit_region(records: DataFrame) -> DataFrame:
 
 def supplement_rows(records: DataFrame) -> DataFrame:
     """(record columns, sup_pos, s)."""
-    return records.select("*", F.posexplode(N.items(N.supplements())).alias("sup_pos", "s"))
+    return records.select("*", F.inline(N.placed(N.supplements())).alias("sup_pos", "s"))
 
 
 def program_rows(records: DataFrame) -> DataFrame:
     rows = supplement_rows(records)
     return rows.select("Id", "_record_seq", "sup_pos", F.col("s.Id").alias("sup_id"),
-                       F.posexplode(N.items(N.programs_of(F.col("s")))).alias("slot", "p"))
+                       F.inline(N.placed(N.programs_of(F.col("s")))).alias("slot", "p"))
 
 
 def status_vocab(records: DataFrame) -> DataFrame:
@@ -343,9 +343,9 @@ def classify_certificates(records: DataFrame) -> DataFrame:
 def empty_level_programs(records: DataFrame) -> DataFrame:
     """Every programme without a level, with its place and the class of its record."""
     rows = classify_certificates(records).select(
-        "Id", "_record_seq", "certificate_class", F.posexplode(N.items(N.supplements())).alias("supplement_index", "s"))
+        "Id", "_record_seq", "certificate_class", F.inline(N.placed(N.supplements())).alias("supplement_index", "s"))
     rows = rows.select("Id", "_record_seq", "certificate_class", "supplement_index", F.col("s.Id").alias("supplement_id"),
-                       F.posexplode(N.items(N.programs_of(F.col("s")))).alias("program_index", "p"))
+                       F.inline(N.placed(N.programs_of(F.col("s")))).alias("program_index", "p"))
     return rows.where(_level(F.col("p")).isNull()).select(
         F.col("Id").alias("certificate_id"), "_record_seq", "certificate_class", "supplement_index", "supplement_id", "program_index",
         *[F.col("p")[f].alias(f"program_{f}") for f in ("Id", "ProgrammName", "ProgrammCode")])
@@ -436,27 +436,33 @@ def placeholder_totals(hits: DataFrame, min_count: int = 1) -> DataFrame:
         F.min_by("literal", F.struct(-F.col("n"), F.col("literal"))).alias("example"))
 
 
-def scan_json_placeholders(lines: DataFrame, depth: int = 6, min_count: int = 1) -> DataFrame:
+def scan_json_placeholders(lines: DataFrame, min_count: int = 1) -> DataFrame:
     """Like :func:`scan_placeholders` for JSON text of unknown shape (column ``value``).
 
-    Nested values are taken apart level by level down to ``depth``; what lies
-    deeper is reported as class ``too_deep`` and not silently lost.
+    Nested values are taken apart level by level until no line has a deeper one.
     """
     rows = lines.select(F.try_parse_json("value").alias("v"), F.lit("").alias("path")).where(F.expr("schema_of_variant(v) like 'OBJECT%'"))
-    found = None
-    for level in range(depth + 1):
+    found, level, deepest = None, 0, _json_depth(lines)
+    while level <= deepest:
         kind = F.expr("schema_of_variant(v)")
         text = F.expr("try_variant_get(v, '$', 'string')")
         here = rows.where(kind == "STRING").select(X.classify_placeholder(text).alias("cls"), "path", text.alias("literal"))
         nested = rows.where(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
-        if level == depth:
-            here = here.unionByName(nested.select(F.lit("too_deep").alias("cls"), "path", F.lit("").alias("literal")))
         found = here if found is None else found.unionByName(here)
-        if level < depth:
-            rows = _explode_variant(nested)
+        rows, level = _explode_variant(nested), level + 1
     return placeholder_totals(found.where("cls is not null"), min_count)
 
 
+def _json_depth(lines: DataFrame) -> int:
+    """How many brackets are open at once in any line at most, those inside texts left out."""
+    bare = F.regexp_replace(F.regexp_replace("value", r"\\.", ""), r'"[^"]*"', "")
+    steps = F.regexp_extract_all(bare, F.lit(r"[\[{\]}]"), F.lit(0))
+    deep = F.aggregate(steps, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda a, x: F.struct(
+        (a["now"] + F.when(x.isin("[", "{"), 1).otherwise(-1)).alias("now"),
+        F.greatest(a["most"], a["now"] + F.when(x.isin("[", "{"), 1).otherwise(-1)).alias("most")), lambda a: a["most"])
+    return lines.agg(F.max(deep)).first()[0] or 0
+
+
 def _explode_variant(rows: DataFrame) -> DataFrame:
     """Members of objects and items of arrays, one row each, with the path extended."""
     inner = rows.select("path", F.expr("schema_of_variant(v) like 'ARRAY%'").alias("is_list"), "v")

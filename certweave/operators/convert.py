@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from certweave.functions.nested import with_computed
-from certweave.operators import filters, repair
+from certweave.operators import backfill, filters, repair
 from certweave.operators.clean import WARNING_COUNTERS
 
 REPAIR_COUNTERS = [
@@ -34,13 +34,15 @@ class Options:
     omit_invalid_ogrn: bool = False
     fill_ids: bool = True
     level_from_name: bool = True
-    levels: repair.LevelMap | None = field(default_factory=repair.LevelMap)
+    levels: repair.LevelMap | DataFrame | None = field(default_factory=repair.LevelMap)
     blocked_ids: tuple[str, ...] | None = None
 
 
 def convert_records(df: DataFrame, overrides: DataFrame | None = None, options: Options = Options()) -> DataFrame:
     """Typed records with repairs applied, a ``disposition`` column and all counters.
 
+    A record the scan could not read (``_corrupt_record``) is ``skipped`` and never written.
+
     Repairs run before the decision on purpose: their counters include records
     that are left out afterwards. The only join is the optional override table.
     """
@@ -56,7 +58,7 @@ def convert_records(df: DataFrame, overrides: DataFrame | None = None, options:
         df = repair.level_from_name(df)
     df = repair.strip_stub_programs(df)
     if options.levels is not None:
-        df = repair.map_levels(df, options.levels)
+        df = repair.map_levels(df, options.levels) if isinstance(options.levels, repair.LevelMap) else backfill.map_levels_by(df, options.levels)
     df = repair.mark_branches(df)
     reason = filters.disposition(
         inactive=options.omit_inactive,
@@ -64,6 +66,8 @@ def convert_records(df: DataFrame, overrides: DataFrame | None = None, options:
         invalid_ogrn=options.omit_invalid_ogrn,
         blocked_ids=None if options.blocked_ids is None else list(options.blocked_ids),
     )
+    if "_corrupt_record" in df.columns:
+        reason = F.when(F.col("_corrupt_record").isNotNull(), filters.SKIPPED).otherwise(reason)
     # only the OGRN test reads a repaired value; the others may be pushed down to the scan
     df = with_computed(df, "disposition", reason) if options.omit_invalid_ogrn else df.withColumn("disposition", reason)
     absent = [c for c in [*REPAIR_COUNTERS, *WARNING_COUNTERS] if c not in df.columns]

@@ -15,6 +15,7 @@ OUTSIDE_REGION = "образовательные учреждения, нахо
 BLOCKED_IDS = ["c68f57a6-e846-f050-fba2-011a5f71ab8c"]
 
 WRITTEN = "processed"
+SKIPPED = "skipped"
 
 
 def is_inactive() -> Column:

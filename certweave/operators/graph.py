@@ -69,7 +69,7 @@ def _props(obj: Column | None, names: list[str], leave_out: list[str]) -> list[C
 def _sup_rows(records: DataFrame, *keep: str) -> DataFrame:
     """Supplements with an id: (cid, seq, pos, s)."""
     return _identified(records).select(
-        "_cid", "_record_seq", *keep, F.posexplode(N.items(N.supplements())).alias("pos", "s")).where("s.Id is not null")
+        "_cid", "_record_seq", *keep, F.inline(N.placed(N.supplements())).alias("pos", "s")).where("s.Id is not null")
 
 
 def graph_fields() -> list[Column]:
@@ -104,7 +104,7 @@ def _program_uri(sup_id: Column, slot: Column, p: Column) -> Column:
 def _program_rows(records: DataFrame) -> DataFrame:
     p = F.col("p")
     return _sup_rows(records).select(
-        "_cid", "_record_seq", "pos", F.col("s.Id").alias("_sid"), F.posexplode(N.items(N.programs_of(F.col("s")))).alias("slot", "p")
+        "_cid", "_record_seq", "pos", F.col("s.Id").alias("_sid"), F.inline(N.placed(N.programs_of(F.col("s")))).alias("slot", "p")
     ).withColumn("uri", _program_uri(F.col("_sid"), F.col("slot"), p))
 
 
@@ -136,7 +136,7 @@ def region_nodes(records: DataFrame) -> DataFrame:
 
 
 def _decision_rows(records: DataFrame) -> DataFrame:
-    rows = _identified(records).select("_cid", "_record_seq", F.posexplode(N.items(F.col("Decisions"))).alias("pos", "d"))
+    rows = _identified(records).select("_cid", "_record_seq", F.inline(N.placed(F.col("Decisions"))).alias("pos", "d"))
     return rows.where(~X.is_blank(F.col("d.Id"))).withColumn(
         "uri", _uri("Decision", F.col("_cid"), X.strip(F.col("d.Id"))))
 
@@ -206,7 +206,7 @@ def _record_edges() -> Column:
         programs = N.programs_of(s)
         return F.concat(
             F.array(_edge("hasSupplement", cert, uri)),
-            F.flatten(F.transform(programs, lambda p, slot: of_program(uri, s, p, slot))),
+            F.flatten(F.transform(N.placed(programs), lambda x: of_program(uri, s, x["item"], x["place"]))),
             of_card(uri, "supplement", s[N.ROOT], programs))
 
     edge_array = "array<struct<predicate:string,src:string,dst:string>>"
@@ -268,9 +268,9 @@ def _record_nodes(columns: list[str]) -> Column:
         return F.array(own, region(F.when(card["Id"].isNotNull(), card["RegionName"]), pos))
 
     def of_supplement(s: Column, pos: Column) -> Column:
-        programs = F.flatten(F.transform(N.programs_of(s), lambda p, slot: F.array(
-            node("EducationalProgram", _program_uri(s["Id"], slot, p), pick(p, "ProgrammCode", "ProgrammName"), pos),
-            node("EducationalLevel", _named_uri("EducationalLevel", p["EduLevelName"]), {"name": _level_of(p)}, pos))))
+        programs = F.flatten(F.transform(N.placed(N.programs_of(s)), lambda x: F.array(
+            node("EducationalProgram", _program_uri(s["Id"], x["place"], x["item"]), pick(x["item"], "ProgrammCode", "ProgrammName"), pos),
+            node("EducationalLevel", _named_uri("EducationalLevel", x["item"]["EduLevelName"]), {"name": _level_of(x["item"])}, pos))))
         return F.concat(F.array(node("Supplement", _uri("Supplement", F.col("_cid"), s["Id"]), pick(s, "Number"), pos)),
                         programs, of_card("supplement", s[N.ROOT], pos))
 
@@ -286,7 +286,8 @@ def _record_nodes(columns: list[str]) -> Column:
 def labelled_nodes(records: DataFrame) -> DataFrame:
     """(kind, uri, label) of every node, merged by uri: one pass over the records, one aggregate."""
     wanted = F.filter(_record_nodes(records.columns), lambda n: n["uri"].isNotNull())
-    rows = _identified(records).select("_record_seq", F.explode(wanted).alias("n")).select("_record_seq", "n.*")
+    # settled: a filter on the result must not be pushed below the explode
+    rows = N.settled(_identified(records).select("_record_seq", F.explode(wanted).alias("n")).select("_record_seq", "n.*"))
     when = F.struct("_record_seq", "pos")
     latest = [F.max_by(t, F.when(F.col(t).isNotNull(), when)).alias(t) for t in ("t1", "t2", "t3")]
     merged = rows.groupBy("kind", "uri").agg(*latest)
@@ -323,15 +324,12 @@ def search_certificates(nodes: DataFrame, q: str = "", region: str = "", level:
     return nodes.orderBy("uri").limit(limit)
 
 
-FACETS = {"region": ("g_region", 500), "level": ("g_edu_levels", None), "control_organ": ("g_control_organ_short", 300)}
+FACETS = {"region": "g_region", "level": "g_edu_levels", "control_organ": "g_control_organ_short"}
 
 
-def facet_options(nodes: DataFrame, field: str, region: str = "", level: str = "", control_organ: str = "") -> DataFrame:
-    """Sorted distinct values of one facet under the other facets' filters, at most as many as a page shows.
-
-    Distinct values are found first, so the cap cuts the sorted list and not the rows behind it.
-    """
-    column, most = FACETS[field]
+def facet_options(nodes: DataFrame, field: str, region: str = "", level: str = "", control_organ: str = "", most: int | None = None) -> DataFrame:
+    """Sorted distinct values of one facet under the other facets' filters; all of them, or the first ``most`` a page shows."""
+    column = FACETS[field]
     for c in search_conditions("", region, level, control_organ, leave_out=field):
         nodes = nodes.where(c)
     values = nodes.select((F.explode(column) if field == "level" else F.col(column)).alias("option"))

@@ -156,11 +156,12 @@ def align_batch(sent: DataFrame, answers: DataFrame) -> DataFrame:
     """Answers put to the names sent, by their ``raw`` text, else by position.
 
     ``sent``: batch, pos, sent, original. ``answers``: batch, pos, raw,
-    suggested_display, reason_short. An unusable answer gives no row.
+    suggested_display, reason_short; of several at a position the last in text
+    order counts. An unusable answer gives no row.
     """
     by_raw = answers.where("raw is not null").groupBy("batch", F.col("raw").alias("sent")).agg(
         F.max_by(F.struct("raw", "suggested_display", "reason_short"), "pos").alias("_by_raw"))
-    by_pos = answers.groupBy("batch", "pos").agg(F.first(F.struct("raw", "suggested_display", "reason_short")).alias("_by_pos"))
+    by_pos = answers.groupBy("batch", "pos").agg(F.max_by(F.struct("raw", "suggested_display", "reason_short"), F.struct("raw", "suggested_display", "reason_short")).alias("_by_pos"))
     joined = sent.join(by_raw, ["batch", "sent"], "left").join(by_pos, ["batch", "pos"], "left")
     item = F.coalesce("_by_raw", "_by_pos")
     return joined.select("batch", "pos", item["raw"].alias("raw"), item["suggested_display"].alias("suggested_display"),

@@ -74,7 +74,7 @@ def programs(records: DataFrame, use_effective: bool = False) -> DataFrame:
     eff = S.PROGRAM_DERIVED if use_effective else None
     rows = _supplement_rows(records).select(
         "certificate_id", F.col("s.Id").alias("supplement_id"),
-        F.posexplode(N.items(N.programs_of(F.col("s")))).alias("program_slot", "p"))
+        F.inline(N.placed(N.programs_of(F.col("s")))).alias("program_slot", "p"))
     return rows.select("certificate_id", "supplement_id", "program_slot", p["Id"].alias("program_id"),
                        *_fields(p, S.PROGRAM_FIELDS[1:], eff))
 
@@ -159,7 +159,7 @@ def is_loadable() -> Column:
     def unique(ids: Column) -> Column:
         return F.size(ids) == F.size(F.array_distinct(ids))
 
-    sup_ids = F.transform(N.supplements(), lambda s: s["Id"])
+    sup_ids = F.transform(N.items(N.supplements()), lambda s: s["Id"])
     dec_ids = F.transform(F.filter(F.col("Decisions"), lambda d: ~X.is_blank(d["Id"])), lambda d: d["Id"])
     return F.col("Id").isNotNull() & ~F.exists(sup_ids, lambda x: x.isNull()) & unique(sup_ids) & F.coalesce(unique(dec_ids), F.lit(True))
 

@@ -163,13 +163,15 @@ def override_inn_by_ogrn(df: DataFrame, overrides: DataFrame) -> DataFrame:
     """Fill a missing INN from a table (ogrn, inn) with unique ``ogrn``; nothing is overwritten.
 
     No broadcast hint: the planner broadcasts the table when its size allows and
-    otherwise joins by shuffle, where a null key never finds a partner.
+    otherwise joins by shuffle. Records without a key get one of their own that finds
+    no partner, so that they do not all meet in one task.
     """
     root = F.col(N.ROOT)
     cert_ogrn = X.digits_only(N.effective_root("EduOrgOGRN"))
     root_ogrn = X.digits_only(N.effective(root, "OGRN"))
     key = F.when(~F.coalesce(cert_ogrn != root_ogrn, F.lit(False)), F.coalesce(cert_ogrn, root_ogrn))
-    joined = df.withColumn("_key", key).join(
+    alone = F.concat(F.lit("-"), F.col("_record_seq").cast("string")) if "_record_seq" in df.columns else F.concat(F.lit("-"), F.xxhash64("Id").cast("string"))
+    joined = df.withColumn("_key", F.coalesce(key, alone)).join(
         overrides.select(F.col("ogrn").alias("_key"), F.col("inn").alias("_inn")), "_key", "left")
     found = F.col("_inn").isNotNull()
     to_cert = found & X.digits_only(N.effective_root("EduOrgINN")).isNull()

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from certweave.operators.clean import WARNING_COUNTERS
 from certweave.operators.convert import REPAIR_COUNTERS
+from certweave.operators.filters import SKIPPED
 
 DISPOSITIONS = [
     "processed", "omitted_inactive", "omitted_outside_region", "omitted_invalid_ogrn", "omitted_blocklist",
-]
+]  # and "skipped", the damaged ones, behind them
 
 
 def conversion_report(converted: DataFrame) -> DataFrame:
@@ -23,7 +24,7 @@ def conversion_report(converted: DataFrame) -> DataFrame:
 
     sums = [F.count_if(F.col("disposition") == d).alias(d) for d in DISPOSITIONS]
     sums += [total(F.col(c)).alias(c) for c in [*REPAIR_COUNTERS, *WARNING_COUNTERS]]
-    skipped = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in converted.columns else F.lit(False)
+    skipped = F.col("disposition") == SKIPPED
     return (
         converted.rollup("_source_file").agg(*sums, F.count_if(skipped).alias("skipped"), F.grouping("_source_file").alias("_all"))
         .select(F.when(F.col("_all") == 1, "<total>").otherwise(F.col("_source_file")).alias("source_file"),

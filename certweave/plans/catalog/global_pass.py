@@ -31,7 +31,7 @@ def neighbor_backfill(spark, sf):
 
 def neighbor_backfill_per_file(spark, sf):
     """Per source file, with the levels brought back by joins instead of a map."""
-    df = backfill.neighbor_backfill(_written(spark, sf), per_file=True, most_codes=0)
+    df = backfill.neighbor_backfill(_written(spark, sf), per_file=True)
     return prog_rows(df).select("k", "sup_id", "slot", N.effective(F.col("p"), "EduLevelName").alias("level"))
 
 

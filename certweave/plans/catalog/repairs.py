@@ -20,11 +20,11 @@ def overrides(spark):
 
 def sup_rows(df, *more):
     """(k, pos, s) with the supplement position as a bigint-free int."""
-    return df.select(seq(), *more, F.posexplode(N.items(N.supplements())).alias("pos", "s"))
+    return df.select(seq(), *more, F.inline(N.placed(N.supplements())).alias("pos", "s"))
 
 
 def prog_rows(df):
-    return sup_rows(df).select("k", "pos", F.col("s.Id").alias("sup_id"), F.posexplode(N.items(N.programs_of(F.col("s")))).alias("slot", "p"))
+    return sup_rows(df).select("k", "pos", F.col("s.Id").alias("sup_id"), F.inline(N.placed(N.programs_of(F.col("s")))).alias("slot", "p"))
 
 
 def cert_ids(df, *counters):

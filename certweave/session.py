@@ -38,11 +38,14 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, driver_memory:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder the cluster shares between its machines.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (local tests) a temporary folder of this machine is taken.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session, as in
+    tests, may leave it unset and takes a temporary folder; on a cluster that
+    would be another folder on each machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         root = tempfile.mkdtemp(prefix="certweave-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

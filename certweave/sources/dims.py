@@ -7,10 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from certweave.functions import text as X
-from certweave.operators.repair import LevelMap
 
 OVERRIDES = "ogrn string, inn string"
-MOST_LEVELS = 10_000
 
 
 def parse_overrides(blobs: DataFrame) -> DataFrame:
@@ -52,21 +50,13 @@ def parse_levels(blobs: DataFrame) -> DataFrame:
     return explicit.unionByName(canonical)
 
 
-def level_map(levels: DataFrame, most: int = MOST_LEVELS) -> LevelMap:
-    """Rows of :func:`parse_levels` as literals for the repair step; refuses a table that is no small vocabulary."""
-    rows = levels.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"the level map has more than {most} rows")
-    return LevelMap(
-        targets={r.level: r.target for r in rows if r.role != "canonical"},
-        canonical=tuple(sorted(r.level for r in rows if r.role == "canonical")),
-    )
+def load_levels(spark: SparkSession, path: str) -> DataFrame | None:
+    """The level map of a file as rows of :func:`parse_levels`, for ``backfill.map_levels_by``.
 
-
-def load_levels(spark: SparkSession, path: str) -> LevelMap | None:
-    """The level map of a file, or ``None`` (no mapping) when it is missing or has the wrong form."""
+    ``None`` (no mapping) when the file is missing or has the wrong form.
+    """
     try:
-        found = level_map(parse_levels(spark.read.text(path, wholetext=True)))
+        found = parse_levels(spark.read.text(path, wholetext=True))
     except AnalysisException:
         return None
-    return found if found.canonical or found.targets else None
+    return None if found.isEmpty() else found

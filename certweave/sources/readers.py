@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import codecs
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType, VariantType
 
 from certweave import schema as S
 from certweave.functions import text as X
@@ -15,22 +17,69 @@ _SEQ = "_record_seq"
 _FILE = "_source_file"
 
 
-# The element that makes a record, and what an ampersand must look like to be a reference.
+# The element that makes a record, and the parts of XML that matter before elements are told apart.
 ELEMENT = "Certificate"
 OPENING = f"<{ELEMENT}(?=[\\s/>])"
+EMPTY_ELEMENT = f"(?s)^<{ELEMENT}(\\s[^<>]*)?/>"
+COMMENT = "(?s)<!--.*?(-->|$)"
+UNKNOWN_REFERENCE = "&(?!(?:amp|lt|gt|quot|apos);)[A-Za-z_][A-Za-z0-9_.\\-]*;"
 STRAY_AMPERSAND = "&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
+DECLARED_ENCODING = "^\\W{0,3}<\\?xml[^>]*?encoding\\s*=\\s*[\"']([A-Za-z0-9._\\-]+)"
+
+
+def declared_encoding(spark: SparkSession, path: str | list[str]) -> str:
+    """The encoding that the XML declaration of the first file names, else UTF-8. Files of one scan share it."""
+    first = path if isinstance(path, str) else path[0]
+    head = spark.read.text(first).select(F.regexp_extract("value", DECLARED_ENCODING, 1).alias("name")).head()
+    return head.name if head is not None and head.name else "UTF-8"
+
+
+def _decoded(value: Column, encoding: str) -> Column:
+    """Text of a line that the text scan took as UTF-8 whatever its bytes are. Encodings of one byte per character, and UTF-8."""
+    name = codecs.lookup(encoding).name
+    if name in ("utf-8", "utf-8-sig", "ascii"):
+        return value
+    upper = [bytes([b]).decode(name, "replace") for b in range(128, 256)]
+    if any(len(c) != 1 for c in upper) or bytes(range(128)).decode(name, "replace") != bytes(range(128)).decode("ascii"):
+        raise ValueError(f"encoding {encoding} is not one byte per character")
+    return F.translate(F.decode(value.cast("binary"), "ISO-8859-1"), "".join(map(chr, range(128, 256))), "".join(upper))
+
+
+def _without_cdata(value: Column) -> Column:
+    """CDATA sections as plain escaped text, so that markup inside them is none."""
+    def part(x: Column, i: Column) -> Column:
+        inside = F.substring_index(x, "]]>", 1)
+        behind = F.substr(x, F.length(inside) + 4)
+        for char, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            inside = F.replace(inside, F.lit(char), F.lit(escaped))
+        return F.when(i == 0, x).otherwise(F.concat(inside, behind))
 
+    return F.array_join(F.transform(F.split(value, r"<!\[CDATA\["), part), "")
 
-def read_elements(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+
+def read_elements(spark: SparkSession, path: str | list[str], encoding: str | None = None) -> DataFrame:
     """The text of every record element (value, _source_file, _record_seq).
 
     The closing tag is the line separator of a text scan, so one large snapshot
-    is read by many tasks and a damaged element cannot take its neighbours along.
+    is read by many tasks. What stands before a closing tag is split at every
+    opening tag: an element without a closing tag ends where the next one opens
+    and costs itself only, an empty element is one of its own. Comments go
+    (one that holds several closing tags hides the first of its records only).
+    Without an ``encoding`` the one the file declares counts.
     """
-    parts = spark.read.option("lineSep", f"</{ELEMENT}>").option("encoding", encoding).text(path)
-    whole = F.concat(F.regexp_extract("value", f"(?s)({OPENING}.*)$", 1), F.lit(f"</{ELEMENT}>"))
-    return parts.where(F.col("value").rlike(OPENING)).select(
-        whole.alias("value"), F.col("_metadata.file_name").alias(_FILE), F.monotonically_increasing_id().alias(_SEQ))
+    close = f"</{ELEMENT}>"
+    parts = spark.read.option("lineSep", close).text(path)
+    parts = parts.select(_decoded(F.col("value"), encoding or declared_encoding(spark, path)).alias("value"), F.col("_metadata.file_name").alias(_FILE))
+    plain = F.when(F.col("value").contains("<!"), F.regexp_replace(_without_cdata(F.col("value")), COMMENT, "")).otherwise(F.col("value"))
+    pieces = F.regexp_extract_all("plain", F.lit(f"(?s){OPENING}.*?(?={OPENING}|$)"), F.lit(0))
+
+    def whole(x: Column, i: Column) -> Column:
+        empty = F.regexp_extract(x, EMPTY_ELEMENT, 0)
+        return F.when(empty != "", empty).when(i == F.size("pieces") - 1, F.concat(x, F.lit(close))).otherwise(x)
+
+    rows = parts.where(F.col("value").rlike(OPENING)).select(plain.alias("plain"), _FILE)
+    rows = rows.withColumn("pieces", pieces).select(F.explode(F.transform("pieces", whole)).alias("value"), _FILE)
+    return rows.select("value", _FILE, F.monotonically_increasing_id().alias(_SEQ))
 
 
 def _unwrap(row: Column) -> list[Column]:
@@ -49,20 +98,20 @@ def _unwrap(row: Column) -> list[Column]:
 def parse_elements(elements: DataFrame, *, strict: bool = False) -> DataFrame:
     """One raw all-text record per element.
 
-    Stray ampersands are dropped before parsing. An element that still cannot be
-    read is kept as a row with ``_corrupt_record`` (its first 1,000 characters),
-    so that it can be counted; ``strict`` fails instead.
+    References without a meaning in XML are dropped before parsing, as are stray
+    ampersands. An element that still cannot be read is kept as a row with its
+    whole text in ``_corrupt_record``, so that it can be counted; ``strict`` fails instead.
     """
     options = {"rowTag": ELEMENT, "mode": "FAILFAST" if strict else "PERMISSIVE",
                "columnNameOfCorruptRecord": "_corrupt_record", "ignoreNamespace": "true"}
-    tidy = F.regexp_replace("value", STRAY_AMPERSAND, "")
+    tidy = F.regexp_replace(F.regexp_replace("value", UNKNOWN_REFERENCE, ""), STRAY_AMPERSAND, "")
     rows = elements.withColumn("r", F.from_xml(tidy, S.xml_row_type().simpleString(), options))
     r = F.col("r")
-    return rows.select(*_unwrap(r), F.substring(r["_corrupt_record"], 1, 1000).alias("_corrupt_record"), _FILE, _SEQ)
+    return rows.select(*_unwrap(r), r["_corrupt_record"].alias("_corrupt_record"), _FILE, _SEQ)
 
 
-def read_xml(spark: SparkSession, path: str | list[str], *, strict: bool = False) -> DataFrame:
-    return parse_elements(read_elements(spark, path), strict=strict)
+def read_xml(spark: SparkSession, path: str | list[str], *, strict: bool = False, encoding: str | None = None) -> DataFrame:
+    return parse_elements(read_elements(spark, path, encoding), strict=strict)
 
 
 def element_tags(elements: DataFrame) -> DataFrame:
@@ -100,16 +149,35 @@ def _record_schema() -> StructType:
     return StructType([StructField(f.name, f.dataType) for f in S.record_type().fields])
 
 
+def _objects(array: Column, item: StructType, finish=lambda x: x) -> Column:
+    """Typed items of an array of variants; an item that is no object becomes null and keeps its place."""
+    return F.transform(array, lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), finish(F.from_json(F.to_json(v), item))))
+
+
 def parse_records(lines: DataFrame) -> DataFrame:
-    """Typed records of the lines that hold an object; every other line is left out."""
+    """Typed records of the lines that hold an object; every other line is left out.
+
+    Arrays are taken apart item by item, so one odd item costs itself only.
+    """
     objects = lines.where(line_kind(F.col("value")) == "object")
     keep = [c for c in lines.columns if c != "value"]
-    parsed = objects.select(F.from_json("value", _record_schema()).alias("r"), *keep)
-    none = F.array().cast(S.record_type()["Supplements"].dataType)
-    return parsed.select("r.*", *keep).withColumns({
-        "Supplements": F.coalesce("Supplements", none),
-        "Decisions": F.coalesce("Decisions", F.array().cast(S.record_type()["Decisions"].dataType)),
-    })
+    shape = _record_schema()
+    sup_shape = S.supplement_type()
+    programs = sup_shape["EducationalPrograms"].dataType
+    loose = StructType([StructField(f.name, ArrayType(VariantType()) if f.name == "EducationalPrograms" else f.dataType) for f in sup_shape.fields])
+
+    def supplement(x: Column) -> Column:
+        found = _objects(x["EducationalPrograms"], programs.elementType)
+        return F.struct(*[(found if f.name == "EducationalPrograms" else x[f.name]).alias(f.name) for f in sup_shape.fields])
+
+    plain = StructType([f for f in shape.fields if f.name not in ("Supplements", "Decisions")])
+    parsed = objects.select(F.from_json("value", plain).alias("r"), F.try_parse_json("value").alias("v"), *keep)
+    items = lambda name: F.expr(f"try_variant_get(v, '$.{name}', 'array<variant>')")
+    none = lambda name: F.array().cast(S.record_type()[name].dataType)
+    return parsed.select(
+        *[F.col(f"r.{f.name}") if f.name in plain.names else F.coalesce(
+            _objects(items(f.name), loose, supplement) if f.name == "Supplements" else _objects(items(f.name), S.decision_type()), none(f.name)).alias(f.name)
+          for f in shape.fields], *keep)
 
 
 def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -126,14 +126,30 @@ def test_branch_marks(xml):
     assert [s._derived.IsBranchSupplement for s in row.Supplements] == [True, False, True, False, True] and row._derived.HasBranchSupplements
 
 
-def test_neighbours_fill_across_records_in_both_ways(xml):
+def test_neighbours_fill_across_records(xml):
     receiver = certificate("a", sups=supplement(progs=program(ProgrammCode="380301", ProgrammName="П")))
     donor = certificate("b", sups=supplement(progs=program(ProgrammCode="38.03.01", EduLevelName="ВО - бакалавриат")))
     df = convert.written_records(run(xml(receiver + donor)))
-    for most in (backfill.MOST_CODES_IN_A_MAP, 0):
-        a, b = backfill.neighbor_backfill(df, most_codes=most).orderBy("_record_seq").collect()
-        assert levels(a)[0][0] == levels(b)[0][0] == "Высшее образование - бакалавриат"
-        assert (a.levels_from_neighbors, b.levels_from_neighbors) == (1, 0)
+    a, b = backfill.neighbor_backfill(df).orderBy("_record_seq").collect()
+    assert levels(a)[0][0] == levels(b)[0][0] == "Высшее образование - бакалавриат"
+    assert (a.levels_from_neighbors, b.levels_from_neighbors) == (1, 0)
+
+
+def test_level_table_maps_as_literals_do(spark, xml):
+    df = xml(certificate("a", sups=supplement(progs="".join(program(ProgrammCode="380301", EduLevelName=n) for n in ("Не определен", "Общее образование", "Дошкольное образование", "x", "")))) + certificate("b"))
+    rows = [(k, v, "clear" if v is None else "rename") for k, v in repair.LEVEL_TARGETS.items()] + [(k, k, "canonical") for k in repair.CANONICAL_LEVELS]
+    table = spark.createDataFrame(rows, "level string, target string, role string")
+    counters = ["levels_renamed", "levels_cleared", "levels_unknown"]
+    got = backfill.map_levels_by(df, table).orderBy("_record_seq").select("Id", "Supplements", *counters).collect()
+    assert got == repair.map_levels(df).orderBy("_record_seq").select("Id", "Supplements", *counters).collect() and got[0].levels_cleared == 1
+
+
+def test_damaged_records_are_skipped_everywhere(xml):
+    done = run(xml(certificate("good") + "<Certificate><Id>open</Id>" + certificate("next") + "<Certificate/>" + certificate("last") + "<Certificate><Id>bad</Id><X></Certificate>"))
+    assert [r.Id for r in convert.written_records(done).orderBy("_record_seq").collect()] == ["good", "next", None, "last"]
+    total = report.conversion_report(done).where("source_file = '<total>'").first()
+    assert (total.processed, total.skipped) == (4, 2)
+    assert done.where("_corrupt_record is not null").count() == 2
 
 
 def test_majority_ties_take_the_smaller_text(spark):

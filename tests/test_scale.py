@@ -1,12 +1,15 @@
 """Results that must not depend on skew, on partitioning or on the way taken."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from certweave import schema as S
 from certweave.operators import audit, backfill, filters, graph
+from certweave.operators import graph as G
 from certweave.operators import relational as R
 from certweave.plans import register_view as V
+from certweave.session import scratch_path
 from certweave.sources import dims, links, readers
 
 
@@ -67,7 +70,7 @@ def test_level_map_file(spark, tmp_path):
                  '{"source_registry_level_name":"x","target_edu_level_name":"B"},{"source_registry_level_name":" ","target_edu_level_name":"B"},'
                  '{"source_registry_level_name":"y","target_edu_level_name":null},{"source_registry_level_name":"z","target_edu_level_name":5}]}', encoding="utf-8")
     found = dims.load_levels(spark, str(p))
-    assert found.targets == {"x": "A", "y": None} and found.canonical == ("A", "B")
+    assert sorted(map(tuple, found.collect()), key=str) == [("A", "A", "canonical"), ("B", "B", "canonical"), ("x", "A", "rename"), ("y", None, "clear")]
     assert dims.load_levels(spark, str(tmp_path / "absent.json")) is None
 
 
@@ -96,9 +99,38 @@ def test_line_kinds_and_limits(spark, tmp_path):
     assert [r.value for r in readers.limit_parsed(lines, 2).collect()] == ['{"Id":"1"}', "[1]"]
 
 
-def test_deep_json_is_reported_and_not_lost(spark):
-    line = spark.createDataFrame([('{"a":{"b":{"c":"-"}},"_x":"-","l":["000",["н/д"]]}',)], "value string")
-    full = {(r.cls, r.path): r.total for r in audit.scan_json_placeholders(line).collect()}
-    assert full == {("dash_only", "/a/b/c"): 1, ("only_zeros", "/l/*"): 1, ("empty_marker", "/l/*/*"): 1}
-    shallow = {(r.cls, r.path) for r in audit.scan_json_placeholders(line, depth=2).collect()}
-    assert ("too_deep", "/a/b") in shallow
+def test_json_of_any_depth(spark):
+    nested = '{"k":' * 12 + '"[{n/a"' + "}" * 12
+    lines = spark.createDataFrame([('{"a":{"b":{"c":"-"}},"_x":"-","l":["000",["н/д"]]}',), (f'{{"d":{nested},"e":"-"}}',), ('{"f":' * 9 + '"-"' + "}" * 9,)], "value string")
+    full = {(r.cls, r.path): r.total for r in audit.scan_json_placeholders(lines).collect()}
+    assert full == {("dash_only", "/a/b/c"): 1, ("only_zeros", "/l/*"): 1, ("empty_marker", "/l/*/*"): 1, ("dash_only", "/e"): 1, ("dash_only", "/f" * 9): 1}
+
+
+def test_odd_json_items_cost_themselves_only(spark):
+    line = '{"Id":"1","Supplements":["x",{"Id":"s","EducationalPrograms":[null,5,{"Id":"p","ProgrammCode":"380301"}]},null],"Decisions":[7,{"Id":"d"}]}'
+    records = readers.parse_records(spark.createDataFrame([(line, 1)], "value string, _record_seq long"))
+    assert [(r.supplement_id, r.program_slot, r.program_id) for r in R.programs(records).collect()] == [("s", 2, "p")]
+    assert [r.decision_id for r in R.decisions(records).collect()] == ["d"] and R.loadable_records(records).count() == 1
+    ends = {r.uri for r in G.labelled_nodes(records).collect()}
+    found = G.edges(records).collect()
+    assert len(found) == 3 and all(e.src in ends and e.dst in ends for e in found)
+    assert G.labelled_nodes(records).where("kind = 'EducationalProgram'").count() == 1
+
+
+def test_xml_in_the_declared_encoding(spark, tmp_path):
+    text = '<?xml version="1.0" encoding="windows-1251"?>\n<OpenData><Certificate><Id>a</Id><StatusName>да e&nbsp;f & g</StatusName></Certificate>' \
+        '<!-- <Certificate><Id>gone</Id></Certificate> --><Certificate><Id>b</Id><StatusName><![CDATA[<Certificate> & x]]></StatusName></Certificate></OpenData>'
+    (tmp_path / "a.xml").write_bytes(text.encode("cp1251"))
+    got = readers.read_xml(spark, str(tmp_path / "a.xml")).orderBy("_record_seq").collect()
+    assert [(r.Id, r.StatusName, r._corrupt_record) for r in got] == [("a", "да ef  g", None), ("b", "<Certificate> & x", None)]
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext, conf = Context, type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+    with pytest.raises(ValueError):
+        scratch_path(Session, "x")
