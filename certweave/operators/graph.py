@@ -338,12 +338,13 @@ def facet_options(nodes: DataFrame, field: str, region: str = "", level: str = "
 
 
 def expand_nodes(nodes: DataFrame, edge_rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Neighbours of the nodes in ``wanted`` (column ``uri``): (uri, direction, predicate, edge_label, neighbor, kind, label).
+    """The nodes in ``wanted`` (column ``uri``) and their neighbours: (uri, direction, predicate, edge_label, neighbor, kind, label).
 
-    Only the relations listed for a node's kind are followed. A hub such as a
+    The node itself has direction ``self`` and no predicate. Only the relations listed for a node's kind are followed. A hub such as a
     region joins as the many side and is split by AQE when it is large.
     """
-    start = wanted.select("uri").distinct().join(nodes.select("uri", "kind"), "uri")
+    base = wanted.select("uri").distinct().join(nodes.select("uri", "kind", "label"), "uri")
+    start = base.select("uri", "kind")
 
     def follow(topology: dict[str, list[str]], own: str, other: str, direction: str) -> DataFrame:
         allowed = F.lit(False)
@@ -357,8 +358,11 @@ def expand_nodes(nodes: DataFrame, edge_rows: DataFrame, wanted: DataFrame) -> D
 
     steps = follow(OUTGOING, "src", "dst", "out").unionByName(follow(INCOMING, "dst", "src", "in"))
     labels = F.create_map(*[F.lit(x) for kv in EDGE_LABELS.items() for x in kv])
-    return steps.join(nodes.select(F.col("uri").alias("neighbor"), "kind", "label"), "neighbor").select(
+    around = steps.join(nodes.select(F.col("uri").alias("neighbor"), "kind", "label"), "neighbor").select(
         "uri", "direction", "predicate", F.try_element_at(labels, F.col("predicate")).alias("edge_label"), "neighbor", "kind", "label")
+    none = F.lit(None).cast("string")
+    own = base.select("uri", F.lit("self").alias("direction"), none.alias("predicate"), none.alias("edge_label"), F.col("uri").alias("neighbor"), "kind", "label")
+    return around.unionByName(own)
 
 
 def certificates_in_region(region_rows: DataFrame, edge_rows: DataFrame, region: str) -> DataFrame:

@@ -59,13 +59,18 @@ def edges_counts(spark, sf):
     return G.edges(_records(spark, sf)).groupBy("predicate").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _search_nodes(spark, sf):
-    """Certificate nodes with their search fields; record by record, which is what a register without repeated ids holds."""
+def _certificate_nodes(spark, sf):
+    """Certificate nodes with their search fields, record by record."""
     return settled(G.certificate_nodes(projection.with_graph(repair.mark_branches(_records(spark, sf)))))
 
 
+def _search_nodes(spark, sf):
+    """The nodes that are searched: one per uri."""
+    return G.merge_nodes(_certificate_nodes(spark, sf), ["_record_seq"])
+
+
 def graph_filter_fields(spark, sf):
-    return _search_nodes(spark, sf).select(
+    return _certificate_nodes(spark, sf).select(
         F.col("_record_seq").alias("k"), *[f for f in G.GRAPH_FIELDS if f != "g_edu_levels"], F.array_join("g_edu_levels", "|").alias("g_edu_levels"))
 
 
@@ -87,10 +92,10 @@ def facet_control_organ(spark, sf):
 
 
 def expand_node(spark, sf):
-    """Neighbours of every node of one region and of every certificate of one snapshot file."""
+    """Regions, levels and every node with a seven in its label: nodes of all kinds, with relations in both directions."""
     records = V.stored_records(spark, sf)
     nodes = G.labelled_nodes(records)
-    start = nodes.where("kind = 'Region' or (kind = 'Decision' and label = 'О предоставлении')")
+    start = nodes.where("kind in ('Region', 'EducationalLevel') or label like '%7%'")
     return G.expand_nodes(nodes, G.edges(records), start)
 
 
@@ -98,6 +103,17 @@ def node_label(spark, sf):
     return G.labelled_nodes(_records(spark, sf))
 
 
+def node_label_programs(spark, sf):
+    return G.labelled_nodes(_records(spark, sf)).where("kind = 'EducationalProgram'")
+
+
+def edges_without_node(spark, sf):
+    """Ends of edges that are no node; there is none."""
+    records = V.stored_records(spark, sf)
+    ends = G.edges(records).select("predicate", F.explode(F.array("src", "dst")).alias("uri"))
+    return ends.join(G.labelled_nodes(records).select("uri"), "uri", "left_anti").groupBy("predicate").agg(F.count(F.lit(1)).alias("n"))
+
+
 def list_regions(spark, sf):
     return G.region_nodes(_records(spark, sf)).select("name").orderBy("name")
 
@@ -125,7 +141,8 @@ def path_supplements_by_inn(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     nodes_certificate, nodes_supplement, nodes_program, nodes_level, nodes_region, nodes_decision, nodes_org, merge_nodes, edges_counts,
-    graph_filter_fields, search_certificates, facet_region, facet_level, facet_control_organ, expand_node, node_label, list_regions,
+    graph_filter_fields, search_certificates, facet_region, facet_level, facet_control_organ, expand_node, node_label, node_label_programs,
+    edges_without_node, list_regions,
     list_levels, path_certificates_in_region, path_levels_offered, path_supplements_by_inn)}
 QUERIES |= {f"edges_{p}": _edges(p) for p in G.PREDICATES}
 
@@ -188,6 +205,7 @@ n as (select '{_NS}Certificate:'||c.Id as uri, c.k, c.EduOrgFullName, c.EduOrgOG
  g.control_organ as g_control_organ, g.control_organ_short as g_control_organ_short, g.display_name as g_display_name, g.founder_key as g_founder_key,
  g.founder_label as g_founder_label, nullif(h.levels, '') as g_edu_levels from cc0 c join g using (k) join h using (k) where not {blank('c.Id')})
 """
+_FOUND = _SEARCH + ", m as (" + _merged("n", ["EduOrgFullName", "EduOrgOGRN", "EduOrgINN", *G.GRAPH_FIELDS], "k") + ") "
 _LABELS = "case predicate " + " ".join(f"when '{k}' then '{v}'" for k, v in G.EDGE_LABELS.items()) + " end"
 
 
@@ -206,15 +224,18 @@ ORACLES = {
     "merge_nodes": _VIEWS + "select * from mc",
     "edges_counts": _VIEWS + "select predicate, count(*) as n from ed group by 1",
     "graph_filter_fields": _SEARCH + "select k, " + ", ".join(G.GRAPH_FIELDS) + " from n",
-    "search_certificates": _SEARCH + """select uri, g_display_name from n where (lower(coalesce(EduOrgFullName, '')) like '%школа%'
+    "search_certificates": _FOUND + """select uri, g_display_name from m where (lower(coalesce(EduOrgFullName, '')) like '%школа%'
         or lower(coalesce(g_display_name, '')) like '%школа%' or EduOrgOGRN = 'школа' or EduOrgINN = 'школа') and g_region = 'Республика NATION_1' order by uri limit 20""",
-    "facet_region": _SEARCH + "select distinct g_region as option from n where list_contains(string_split(g_edu_levels, '|'), 'Общее образование') and g_control_organ_short = 'Минобр Брянской'",
-    "facet_level": _SEARCH + "select distinct option from (select unnest(string_split(g_edu_levels, '|')) as option from n where g_region = 'Республика NATION_1') where option <> ''",
-    "facet_control_organ": _SEARCH + "select distinct g_control_organ_short as option from n where g_region = 'г. NATION_2' and g_control_organ_short is not null",
-    "expand_node": _VIEWS + f""", st as (select * from labels where kind = 'Region' or (kind = 'Decision' and label = 'О предоставлении')),
+    "facet_region": _FOUND + "select distinct g_region as option from m where list_contains(string_split(g_edu_levels, '|'), 'Общее образование') and g_control_organ_short = 'Минобр Брянской'",
+    "facet_level": _FOUND + "select distinct option from (select unnest(string_split(g_edu_levels, '|')) as option from m where g_region = 'Республика NATION_1') where option <> ''",
+    "facet_control_organ": _FOUND + "select distinct g_control_organ_short as option from m where g_region = 'г. NATION_2' and g_control_organ_short is not null",
+    "expand_node": _VIEWS + f""", st as (select * from labels where kind in ('Region', 'EducationalLevel') or label like '%7%'),
         x as (select a.uri, 'out' as direction, e.predicate, e.dst as neighbor from st a join ed e on e.src = a.uri where {_allowed(G.OUTGOING)}
           union all select a.uri, 'in', e.predicate, e.src from st a join ed e on e.dst = a.uri where {_allowed(G.INCOMING)})
-        select x.uri, direction, predicate, {_LABELS} as edge_label, neighbor, l.kind, l.label from x join labels l on l.uri = x.neighbor""",
+        select x.uri, direction, predicate, {_LABELS} as edge_label, neighbor, l.kind, l.label from x join labels l on l.uri = x.neighbor
+        union all select uri, 'self', null, null, uri, kind, label from st""",
+    "node_label_programs": _VIEWS + "select * from labels where kind = 'EducationalProgram'",
+    "edges_without_node": _VIEWS + "select predicate, count(*) as n from (select predicate, src as uri from ed union all select predicate, dst from ed) where uri not in (select uri from labels) group by 1",
     "node_label": _VIEWS + "select * from labels",
     "list_regions": _VIEWS + "select name from nr",
     "list_levels": _VIEWS + "select name from nl",
