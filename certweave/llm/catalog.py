@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, jaccard, language, licences, mixing, packing, quality, sharding, urls
+from . import chat, embeddings, jaccard, language, licences, mixing, oracles, packing, quality, sharding, urls
 from .common import tables
 
 
@@ -82,6 +82,9 @@ QUERIES = {"op1_mixing": op1_mixing, "op2_url_filter": op2_url_filter, "op3_lice
            "op5_ngram_jaccard_join": op5_ngram_jaccard_join, "op6_quality_rules": op6_quality_rules, "op7_packing": op7_packing,
            "op8_chat_format": op8_chat_format, "op9_sharding": op9_sharding, "op10_embedding_dedup": op10_embedding_dedup}
 ORACLES = {
+    "op1_mixing": oracles.OP1,
+    "op2_url_filter": oracles.op2(URL_RULES),
+    "op3_license_scan": oracles.op3(),
     "op10_embedding_dedup": r"""
         with recursive units as (
             select vec_id, cast(embedding as double[]) as v from embeddings where embedding is not null and len(embedding) > 0
