@@ -56,24 +56,28 @@ def change_counts(fields: DataFrame) -> DataFrame:
     (field, name) once.
     """
     counted = fields.groupBy("field", "name").agg(F.count(F.lit(1)).alias("_n"))
-    shown = counted.join(normalized_names(fields), "name")
+    shown = counted.join(normalized_names(counted), "name")
     return shown.where(F.col("display_name") != F.col("name")).groupBy("field").agg(F.sum("_n").cast("bigint").alias("n"))
 
 
 def normalize_in_records(records: DataFrame) -> DataFrame:
-    """Records with the six name fields rewritten in place; a narrow projection."""
-    root = F.col(N.ROOT)
-
-    def card(a: Column) -> Column:
-        return a.withField("FullName", O.normalize_display_name(a["FullName"])).withField(
-            "ShortName", O.normalize_display_name(a["ShortName"]))
+    """Records with the six name fields rewritten in place.
 
-    return records.withColumns({
-        "EduOrgFullName": O.normalize_display_name(F.col("EduOrgFullName")),
-        "EduOrgShortName": O.normalize_display_name(F.col("EduOrgShortName")),
-        N.ROOT: card(root),
+    The rules run once per distinct name; a record gets its own names' display forms as one
+    small map and is looked up in it.
+    """
+    fields = name_fields(records)
+    shown = normalized_names(fields).select("name", "display_name")
+    own = fields.select("_record_seq", "name").distinct().join(shown, "name").groupBy("_record_seq").agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "display_name"))).alias("_names"))
+    put = lambda c: F.coalesce(F.try_element_at(F.col("_names"), c), c)
+    card = lambda a: a.withField("FullName", put(a["FullName"])).withField("ShortName", put(a["ShortName"]))
+    return records.join(own, "_record_seq", "left").withColumns({
+        "EduOrgFullName": put(F.col("EduOrgFullName")),
+        "EduOrgShortName": put(F.col("EduOrgShortName")),
+        N.ROOT: card(F.col(N.ROOT)),
         N.SUPPLEMENTS: F.transform(N.supplements(), lambda s: s.withField(N.ROOT, card(s[N.ROOT]))),
-    })
+    }).drop("_names")
 
 
 NAME_KINDS = {"all": ["FullName", "ShortName"], "full": ["FullName"], "short": ["ShortName"]}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from certweave.functions import orgnames as O
 from certweave.operators import names as D
 from certweave.plans import register_view as V
+from certweave.plans.catalog import namesql
 from certweave.plans.catalog.sqltext import blank
 
 
@@ -83,6 +84,16 @@ def normalize_names_in_record(spark, sf):
     return D.change_counts(D.name_fields(V.records(spark, sf)))
 
 
+def normalized_records(spark, sf):
+    """Records with their names rewritten, as a row of the names."""
+    done = D.normalize_in_records(V.records(spark, sf))
+    card = lambda s: F.array(s["ActualEducationOrganization"]["FullName"], s["ActualEducationOrganization"]["ShortName"])
+    cards = F.transform(F.flatten(F.transform("Supplements", card)), lambda x: F.coalesce(x, F.lit("-")))
+    return done.select(F.col("_record_seq").alias("k"), F.col("EduOrgFullName").alias("full_name"), F.col("EduOrgShortName").alias("short_name"),
+                       F.col("ActualEducationOrganization.FullName").alias("root_full"), F.col("ActualEducationOrganization.ShortName").alias("root_short"),
+                       F.array_join(cards, "|").alias("cards"))
+
+
 def collect_unique_names(spark, sf):
     return D.collect_unique_names(D.name_fields(V.records(spark, sf)), "full")
 
@@ -160,7 +171,7 @@ def diff_triple(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     name_fields, quotes_to_ascii, trim_in_quotes, strip_double_quotes, dash_number_space, mask_numbers, legal_form_prefix, split_name_tail,
-    caps_kind, title_case, initials_spacing, normalize_display_name, name_fingerprint, name_changed, normalize_names_in_record,
+    caps_kind, title_case, initials_spacing, normalize_display_name, name_fingerprint, name_changed, normalize_names_in_record, normalized_records,
     collect_unique_names, collect_first_names, merge_dictionary, names_done, names_missing, names_to_ask, align_batch, diff_pairwise,
     diff_samples, diff_triple)}
 
@@ -198,7 +209,20 @@ _UNWRAPPED = "'\"\"'||replace(text, ' ', '\"\" \"\"')||'\"\"\"'"
 for _ in range(6):  # the texts are stable after two passes
     _UNWRAPPED = f"regexp_replace({_UNWRAPPED}, '\"\"([^\"]*?)\"\"', '\\1', 'g')"
 
+_SHOWN = _NAMES + ", " + namesql.displayed("dn", _AB, _FN, _FNAMES, _TAIL) + " "
+_KINDS = _NAMES + ", nt as (select name as t from dn), " + namesql.kinds("nt", "kd") + " "
+
 ORACLES = {
+    "caps_kind": _NAMES + ", nt as (select name as t from dn), " + namesql.kinds("nt", "kd").replace(namesql.initials_spacing("t"), "t") + " select t as name, kind from kd",
+    "initials_spacing": _NAMES + f"select name, {namesql.initials_spacing('name')} as value from dn",
+    "title_case": _KINDS + f"select t as name, {namesql.title('x', 'true')} as shown from kd",
+    "normalize_display_name": _SHOWN + "select name, display_name from shown",
+    "name_fingerprint": _SHOWN + f"select name, lower({namesql.collapse("replace(display_name, '\"', '')")}) as fingerprint from shown",
+    "name_changed": _SHOWN + f"select display_name <> {namesql.collapse('name')} as changed, count(*) as n from shown group by 1",
+    "normalize_names_in_record": _SHOWN + "select field, count(*) as n from nz join shown using (name) where display_name <> name group by 1",
+    "normalized_records": _SHOWN + """, n as (select k, field, o, coalesce(s.display_name, nf.name) as v from nf left join shown s using (name))
+        select k, max(v) filter (where o = 0) as full_name, max(v) filter (where o = 1) as short_name, max(v) filter (where o = 2) as root_full, max(v) filter (where o = 3) as root_short,
+        coalesce(string_agg(coalesce(v, '-'), '|' order by o) filter (where o >= 4), '') as cards from n group by k""",
     "strip_double_quotes": f"select doc_id, regexp_replace({_UNWRAPPED}, '\"\"+', '', 'g') as value from documents",
     "name_fields": _NAMES + "select Id, k, pos, field, name from nz",
     "quotes_to_ascii": _T + "select doc_id, translate(t, '“”„«»‘’', '\"\"\"\"\"''''') as value from t",
