@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -514,7 +516,10 @@ def json_keys(lines: DataFrame) -> DataFrame:
 
 
 def schema_violations(lines: DataFrame) -> DataFrame:
-    """(line columns, violation) for JSON lines that are no record: not an object, no Id, wrong type, list of non-objects."""
+    """(line columns, violation) for JSON lines that are no record: not an object, no Id, wrong types at any level, lists of non-objects.
+
+    Names of what is wrong below the root carry the way there, as in ``type_of_Supplements.StatusName``; each stands once per line.
+    """
     v = F.try_parse_json("value")
     df = lines.withColumn("_v", v).withColumn("_kind", F.expr("schema_of_variant(_v)"))
     is_object = F.coalesce(F.col("_kind").startswith("OBJECT"), F.lit(False))
@@ -531,5 +536,49 @@ def schema_violations(lines: DataFrame) -> DataFrame:
         ok = kind(f).isin("VOID", "ARRAY<VOID>") | kind(f).startswith("ARRAY<OBJECT")
         checks.append(F.when(is_object & ~ok, f"type_of_{f}"))
     checks.append(F.when(is_object & ~(kind(ROOT).isin("VOID") | kind(ROOT).startswith("OBJECT")), f"type_of_{ROOT}"))
-    found = F.filter(F.array(*checks), lambda x: x.isNotNull())
+    below = [_item_violations(F.col("_v"), "Supplements", lambda s: F.concat(
+        _member_violations(s, "Supplements", S.SUPPLEMENT_FIELDS),
+        _card_violations(s, "Supplements."),
+        _item_violations(s, "EducationalPrograms", lambda p: _member_violations(p, "Supplements.EducationalPrograms", S.PROGRAM_FIELDS), "Supplements."))),
+        _item_violations(F.col("_v"), "Decisions", lambda d: _member_violations(d, "Decisions", S.DECISION_FIELDS)),
+        _card_violations(F.col("_v"), "")]
+    found = F.array_distinct(F.concat(F.filter(F.array(*checks), lambda x: x.isNotNull()), *below))
     return df.withColumn("violation", F.explode(found)).drop("_v", "_kind")
+
+
+NO_VIOLATION = "array<string>"
+
+
+def _variant_kind(v: Column, name: str) -> Column:
+    return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
+
+
+def _member_violations(v: Column, way: str, fields: list[str]) -> Column:
+    """Members of an object whose type is not that of the field; an absent member is none."""
+    wrong = [F.when(~_variant_kind(v, f).isin("VOID", "BOOLEAN" if f in S.BOOL_FIELDS else "STRING"), f"type_of_{way}.{f}") for f in fields]
+    return F.filter(F.array(*wrong), lambda x: x.isNotNull())
+
+
+def _card_violations(v: Column, way: str) -> Column:
+    return F.when(_variant_kind(v, ROOT).startswith("OBJECT"), _member_violations(
+        F.try_variant_get(v, f"$.{ROOT}", "variant"), way + ROOT, S.ORGANIZATION_FIELDS)).otherwise(F.array().cast(NO_VIOLATION))
+
+
+def _item_violations(v: Column, name: str, of_item: Callable[[Column], Column], way: str = "") -> Column:
+    """What is wrong with the object items of a list; below the root also with the list and its other items."""
+    items = F.try_variant_get(v, f"$.{name}", "array<variant>")
+    nothing = F.array().cast(NO_VIOLATION)
+    is_object = lambda x: F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False))
+    found = F.flatten(F.transform(items, lambda x: F.when(is_object(x), of_item(x)).otherwise(nothing)))
+    if not way:
+        return F.coalesce(found, nothing)
+    odd = (~_variant_kind(v, name).isin("VOID") & items.isNull()) | F.exists(items, lambda x: ~is_object(x))
+    return F.concat(F.coalesce(found, nothing), F.when(F.coalesce(odd, F.lit(False)), F.array(F.lit(f"type_of_{way}{name}"))).otherwise(nothing))
+
+
+def differing_card_samples(records: DataFrame, sizes: list[int]) -> DataFrame:
+    """The first records of :func:`differing_card_ids` in record order, once for every sample size: (sample_size, _record_seq, Id)."""
+    first = differing_card_ids(records).select("_record_seq", "Id").withColumn("_all", F.lit(1))
+    ranked = first_per_group(first, ["_all"], ["_record_seq"], max(sizes))
+    return ranked.select(F.explode(F.array(*[F.lit(n) for n in sizes])).alias("sample_size"), "_record_seq", "Id", "rank").where(
+        F.col("rank") <= F.col("sample_size")).drop("rank")

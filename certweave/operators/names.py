@@ -118,14 +118,15 @@ def merge_dictionary(existing: DataFrame, batch: DataFrame, model: str, ignore_c
 
     The first existing entry of a key stays; the latest answer fills the model's
     slot; the original text is taken where it was absent. Both sides shrink to one
-    row per key before they meet.
+    row per key before they meet. ``place`` orders the entries: existing ones as they
+    were, then new ones in arrival order.
     """
     e = existing.withColumn("key", entry_key(F.col("raw"), ignore_case)).where("key is not null")
-    e = e.groupBy("key").agg(F.min_by(F.struct("raw", "original_raw", "by_model"), "seq").alias("e"))
+    e = e.groupBy("key").agg(F.min_by(F.struct("raw", "original_raw", "by_model"), "seq").alias("e"), F.min("seq").alias("e_seq"))
     reason = F.when(~X.is_blank(F.col("reason_short")), F.col("reason_short"))
     b = batch.withColumn("key", entry_key(F.col("raw"), ignore_case)).where("key is not null")
     b = b.groupBy("key").agg(
-        F.min_by("raw", "seq").alias("b_raw"),
+        F.min_by("raw", "seq").alias("b_raw"), F.min("seq").alias("b_seq"),
         F.min_by("original_raw", F.when(F.col("original_raw").isNotNull(), F.col("seq"))).alias("b_original"),
         F.max_by(F.struct("suggested_display", reason.alias("reason_short")), "seq").alias("slot"))
     old = F.coalesce(F.col("e.by_model"), F.create_map().cast(f"map<string,{SLOT}>"))
@@ -133,7 +134,8 @@ def merge_dictionary(existing: DataFrame, batch: DataFrame, model: str, ignore_c
     mine = F.create_map(F.lit(model), F.col("slot"))
     return e.join(b, "key", "full_outer").select(
         "key", F.coalesce("e.raw", "b_raw").alias("raw"), F.coalesce("e.original_raw", "b_original").alias("original_raw"),
-        F.when(F.col("slot").isNull(), old).otherwise(F.map_concat(others, mine)).alias("by_model"))
+        F.when(F.col("slot").isNull(), old).otherwise(F.map_concat(others, mine)).alias("by_model"),
+        F.struct(F.col("e_seq").isNull().alias("is_new"), F.coalesce("e_seq", "b_seq").alias("seq")).alias("place"))
 
 
 def _answer(model: str) -> Column:
@@ -211,6 +213,17 @@ def diff_samples(a: DataFrame, b: DataFrame, most: int = 40) -> DataFrame:
     return first_per_group(paired(a, b).where("relation <> 'same'"), ["relation"], ["key"], most)
 
 
+def triple_samples(a: DataFrame, b: DataFrame, c: DataFrame, most: int = 40) -> DataFrame:
+    """The first ``most`` keys on which all three dictionaries differ, and on which the first two agree against the third."""
+    from certweave.operators.audit import first_per_group
+
+    side = lambda d, n: d.select("key", F.col("suggested").alias(n))
+    t = side(a, "suggested_a").join(side(b, "suggested_b"), "key").join(side(c, "suggested_c"), "key")
+    sa, sb, sc = F.col("suggested_a"), F.col("suggested_b"), F.col("suggested_c")
+    relation = F.when((sa != sb) & (sa != sc) & (sb != sc), "all_different").when((sa == sb) & (sb != sc), "a_equals_b_not_c")
+    return first_per_group(t.withColumn("relation", relation).where("relation is not null"), ["relation"], ["key"], most)
+
+
 def diff_triple(a: DataFrame, b: DataFrame, c: DataFrame) -> DataFrame:
     """Agreement of three dictionaries on the keys all of them have."""
     side = lambda d, n: d.select("key", F.col("suggested").alias(n))

@@ -158,6 +158,10 @@ def compare_card_ids(spark, sf):
     return A.compare_card_ids(_R(spark, sf))
 
 
+def differing_card_samples(spark, sf):
+    return A.differing_card_samples(_R(spark, sf), [5, 20]).select("sample_size", seq(), "Id")
+
+
 def differing_card_ids(spark, sf):
     return A.differing_card_ids(_R(spark, sf)).select(seq(), "Id")
 
@@ -169,8 +173,10 @@ def unknown_tags(spark, sf):
     return A.unknown_tags(A.json_keys(lines))
 
 
-_CONFORM = ("case k % 8 when 0 then '{\"Id\":\"c' || k || '\",\"IsFederal\":true,\"Supplements\":[{\"Id\":\"s\"}]}' when 1 then '[1,2]' when 2 then '{\"IsFederal\":true}' "
+_CONFORM = ("case k % 10 when 0 then '{\"Id\":\"c' || k || '\",\"IsFederal\":true,\"Supplements\":[{\"Id\":\"s\"}]}' when 1 then '[1,2]' when 2 then '{\"IsFederal\":true}' "
             "when 3 then '{\"Id\":\"c\",\"IsFederal\":\"да\"}' when 4 then '{\"Id\":\"c\",\"Supplements\":[1]}' when 5 then 'not json' "
+            "when 8 then '{\"Id\":\"c\",\"Supplements\":[{\"Id\":7,\"IsForBranch\":true,\"EducationalPrograms\":[{\"Id\":\"p\",\"ProgrammCode\":[1]},3],\"ActualEducationOrganization\":{\"INN\":5}},{\"Id\":8}]}' "
+            "when 9 then '{\"Id\":\"c\",\"ActualEducationOrganization\":{\"Id\":\"a\",\"OGRN\":true},\"Decisions\":[{\"Id\":{}}]}' "
             "when 6 then '{\"Id\":\"c\",\"RegNumber\":5,\"Decisions\":{}}' else '{\"Id\":\"c\",\"Extra\":[1]}' end")
 
 
@@ -225,7 +231,7 @@ QUERIES = {f.__name__: f for f in (
     identity_samples, identity_borrowable, identity_issue_ids, audit_branches, branch_hits, branch_flags, branch_inn_gap,
     branch_inn_gap_without_filial, audit_inn_gap, inn_gap_flags, level_histogram, school_subtotal, classify_certificates,
     empty_level_programs, level_vocab, programs_dictionary, programs_dictionary_qualified, code_sort_key, dictionary_invariant,
-    scan_placeholders, scan_json_placeholders, compare_card_ids, differing_card_ids, unknown_tags, schema_conformance, sample_n,
+    scan_placeholders, scan_json_placeholders, compare_card_ids, differing_card_ids, differing_card_samples, unknown_tags, schema_conformance, sample_n,
     sample_sizes, sample_per_level, sample_per_level_uniform, fill_score, first_program_of_level, sample_names, write_records)}
 
 _VIEWS = V.oracle_views("cert", "sup", "prog", "dec")
@@ -369,9 +375,14 @@ ORACLES = {
         count(*) filter (where rid is null and n > 0 and dn > 1) as no_root_differ from u""",
     "differing_card_ids": _VIEWS + """, t as (select c.k, c.Id, nullif(trim(c.r_Id), '') as rid, nullif(trim(s.a_Id), '') as aid from cert c join sup s using (k) where nullif(trim(s.a_Id), '') is not null)
         select k, Id from t group by k, Id having case when max(rid) is not null then bool_or(aid <> rid) else count(distinct aid) > 1 end""",
+    "differing_card_samples": _VIEWS + """, t as (select c.k, c.Id, nullif(trim(c.r_Id), '') as rid, nullif(trim(s.a_Id), '') as aid from cert c join sup s using (k) where nullif(trim(s.a_Id), '') is not null),
+        f as (select k, Id, row_number() over (order by k) as n from (select k, Id from t group by k, Id having case when max(rid) is not null then bool_or(aid <> rid) else count(distinct aid) > 1 end))
+        select cast(s.n as integer) as sample_size, k, Id from f join (values (5), (20)) s(n) on f.n <= s.n""",
     "unknown_tags": "select distinct case event_id % 4 when 2 then 'Tag'||(event_id % 20) else 'k' end as tag from events where event_id % 4 >= 2",
-    "schema_conformance": V.oracle_views() + """, v(m, violation) as (values (1, 'not_an_object'), (2, 'no_Id'), (3, 'type_of_IsFederal'), (4, 'type_of_Supplements'), (5, 'not_an_object'), (6, 'type_of_RegNumber'), (6, 'type_of_Decisions'))
-        select k, violation from base join v on k % 8 = m""",
+    "schema_conformance": V.oracle_views() + """, v(m, violation) as (values (1, 'not_an_object'), (2, 'no_Id'), (3, 'type_of_IsFederal'), (4, 'type_of_Supplements'), (5, 'not_an_object'), (6, 'type_of_RegNumber'), (6, 'type_of_Decisions'),
+            (8, 'type_of_Supplements.Id'), (8, 'type_of_Supplements.EducationalPrograms'), (8, 'type_of_Supplements.EducationalPrograms.ProgrammCode'),
+            (8, 'type_of_Supplements.ActualEducationOrganization.INN'), (9, 'type_of_ActualEducationOrganization.OGRN'), (9, 'type_of_Decisions.Id'))
+        select k, violation from base join v on k % 10 = m""",
     "sample_n": "select c_custkey, c_name from customer order by md5('42|'||c_custkey), c_custkey limit 100",
     "sample_sizes": " union all ".join(f"select * from (select doc_id, lang, {n} as sample_size from documents order by md5('{1000 + n}|'||doc_id), doc_id limit {n}) s{n}" for n in (5, 20, 100)),
     "sample_per_level": _VIEWS + _SCORE + _FOUND + """, r as (select level, k, score, row_number() over (partition by level order by score desc, md5('7|'||level||'|'||k), k) as rn from fl join sc using (k))

@@ -114,8 +114,8 @@ def _flat(spark, sf, suggestion: str, where: str = "true"):
 
 
 _SA = "case when p_partkey % 7 = 0 then null else 'A ' || (p_partkey % 50) end"
-_SB = "'B ' || (p_partkey % 40)"
-_SC = "case when p_partkey % 3 = 0 then 'A ' || (p_partkey % 50) else 'B ' || (p_partkey % 40) end"
+_SB = "case when p_partkey % 8 = 0 then 'A ' || (p_partkey % 50) else 'B ' || (p_partkey % 40) end"
+_SC = "case p_partkey % 3 when 0 then 'A ' || (p_partkey % 50) when 1 then 'C' else 'B ' || (p_partkey % 40) end"
 _WA, _WB, _WC = "p_partkey % 10 < 7", "p_partkey % 10 > 2", "p_partkey % 10 <> 5"
 
 
@@ -125,7 +125,7 @@ def merge_dictionary(spark, sf):
     m = F.col("by_model")
     pick = lambda k, f: F.try_element_at(m, F.lit(k))[f]
     return merged.select("key", "raw", "original_raw", pick("m1", "suggested_display").alias("m1"), pick("m2", "suggested_display").alias("m2"),
-                         pick("m1", "reason_short").alias("r1"), pick("m2", "reason_short").alias("r2"))
+                         pick("m1", "reason_short").alias("r1"), pick("m2", "reason_short").alias("r2"), "place.is_new", "place.seq")
 
 
 def names_done(spark, sf):
@@ -165,6 +165,10 @@ def diff_samples(spark, sf):
     return D.diff_samples(a, c, 10).select("relation", "rank", "key", "suggested_a", "suggested_b")
 
 
+def triple_samples(spark, sf):
+    return D.triple_samples(*_three(spark, sf), 10)
+
+
 def diff_triple(spark, sf):
     return D.diff_triple(*_three(spark, sf))
 
@@ -173,7 +177,7 @@ QUERIES = {f.__name__: f for f in (
     name_fields, quotes_to_ascii, trim_in_quotes, strip_double_quotes, dash_number_space, mask_numbers, legal_form_prefix, split_name_tail,
     caps_kind, title_case, initials_spacing, normalize_display_name, name_fingerprint, name_changed, normalize_names_in_record, normalized_records,
     collect_unique_names, collect_first_names, merge_dictionary, names_done, names_missing, names_to_ask, align_batch, diff_pairwise,
-    diff_samples, diff_triple)}
+    diff_samples, triple_samples, diff_triple)}
 
 _T = "with t as (select doc_id, '«'||substr(text, 1, 5)||'» „'||text||'“ № '||doc_id||' –№5' as t from documents) "
 _WS = "[\\s\\p{Z}\\x{85}\\x0b\\x{1c}-\\x{1f}]"
@@ -236,10 +240,10 @@ ORACLES = {
         case when regexp_matches(trim(name), '{_TAIL}') then trim(substr(trim(name), length(regexp_extract(trim(name), '^(.*?){_TAIL}', 1)) + 1)) else '' end as tail from dn""",
     "collect_unique_names": _NAMES + "select distinct trim(name) as name from nz where field like '%FullName'",
     "collect_first_names": _NAMES + "select name from (select trim(name) as name, min(k * 100 + pos) as o from nz where field like '%ShortName' group by 1) order by o limit 50",
-    "merge_dictionary": _DICTS + """, e as (select lower(raw) as key, arg_min(struct_pack(r := raw, o := original_raw, s := sd, rs := rs), seq) as e from a group by 1),
-        n as (select lower(raw) as key, arg_min(raw, seq) as r, arg_min(original_raw, seq) filter (where original_raw is not null) as o, arg_max(struct_pack(s := sd, rs := rs), seq) as v from b group by 1)
+    "merge_dictionary": _DICTS + """, e as (select lower(raw) as key, arg_min(struct_pack(r := raw, o := original_raw, s := sd, rs := rs), seq) as e, min(seq) as q from a group by 1),
+        n as (select lower(raw) as key, arg_min(raw, seq) as r, arg_min(original_raw, seq) filter (where original_raw is not null) as o, arg_max(struct_pack(s := sd, rs := rs), seq) as v, min(seq) as q from b group by 1)
         select coalesce(e.key, n.key) as key, coalesce(e.e.r, n.r) as raw, coalesce(e.e.o, n.o) as original_raw, e.e.s as m1, n.v.s as m2,
-        case when e.e.s is not null then e.e.rs end as r1, n.v.rs as r2 from e full join n on e.key = n.key""",
+        case when e.e.s is not null then e.e.rs end as r1, n.v.rs as r2, e.q is null as is_new, coalesce(e.q, n.q) as seq from e full join n on e.key = n.key""",
     "names_done": _DICTS + " select distinct lower(regexp_replace(raw, '№+\\s*[0-9]+', '№ ⟨N⟩', 'g')) as key from a where sd is not null",
     "names_missing": _DICTS + " select raw from a where sd is null",
     "names_to_ask": _DICTS + " select distinct raw as name from b where lower(raw) not in (select lower(raw) from a where sd is not null)",
@@ -253,6 +257,10 @@ ORACLES = {
         count(*) filter (where relation = 'only_b') as only_in_b, count(*) filter (where relation in ('same', 'different')) as common_raw, count(*) filter (where relation = 'same') as common_same,
         count(*) filter (where relation = 'different') as common_different from q""",
     "diff_samples": _PAIR + ", r as (select *, cast(row_number() over (partition by relation order by key) as integer) as rank from q where relation <> 'same') select relation, rank, key, sa as suggested_a, sb as suggested_b from r where rank <= 10",
+    "triple_samples": _DICTS + """, t as (select x.key, x.v.s as sa, y.v.s as sb, z.v.s as sc from ka x join kb y on x.key = y.key join kc z on x.key = z.key),
+        r as (select *, case when sa <> sb and sa <> sc and sb <> sc then 'all_different' when sa = sb and sb <> sc then 'a_equals_b_not_c' end as relation from t),
+        n as (select *, cast(row_number() over (partition by relation order by key) as integer) as rank from r where relation is not null)
+        select key, sa as suggested_a, sb as suggested_b, sc as suggested_c, relation, rank from n where rank <= 10""",
     "diff_triple": _DICTS + """, t as (select x.v.s as sa, y.v.s as sb, z.v.s as sc from ka x join kb y on x.key = y.key join kc z on x.key = z.key), f as (select *, sa is not null and sb is not null and sc is not null as ok from t)
         select count(*) as keys_in_all_three, count(*) filter (where ok and sa = sb and sb = sc) as all_same, count(*) filter (where ok and sa = sb and sb <> sc) as a_equals_b_not_c,
         count(*) filter (where ok and sa = sc and sa <> sb) as a_equals_c_not_b, count(*) filter (where ok and sb = sc and sa <> sb) as b_equals_c_not_a,

@@ -87,7 +87,10 @@ def load_level_dim(spark, sf):
 
 
 def extract_links(spark, sf):
-    return links.extract_links(spark.read.parquet(f"{sf}/pages.parquet"), suffix="")
+    """Pages whose links to words with a t end as snapshot files do, some with a query behind; only those are links here."""
+    html = F.regexp_replace("html", '(<a href="[^"?#]*t)"', '$1.xml"')
+    html = F.regexp_replace(html, '(<a href="[^"?#]*a[^"?#]*t\\.xml)"', '$1?v=1&amp;w=2"')
+    return links.extract_links(spark.read.parquet(f"{sf}/pages.parquet").withColumn("html", html))
 
 
 def _names(spark, sf):
@@ -161,7 +164,9 @@ ORACLES = {
     "load_override_dim": "select '10277'||c_custkey as ogrn, '77'||c_custkey as inn from customer",
     "load_level_dim": """select 'L'||c_custkey as level, case when c_custkey % 4 = 2 then 'second' when c_custkey % 4 = 3 then 'T'||c_nationkey end as target,
         case when c_custkey % 4 < 2 then 'clear' else 'rename' end as role from customer union all select 'A', 'A', 'canonical' union all select distinct c_mktsegment, c_mktsegment, 'canonical' from customer""",
-    "extract_links": """with h as (select page_id, url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)) as u, generate_subscripts(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1), 1) as n from pages),
+    "extract_links": """with pages as (select page_id, url, regexp_replace(regexp_replace(html, '(<a href="[^"?#]*t)"', '\\1.xml"', 'g'), '(<a href="[^"?#]*a[^"?#]*t\\.xml)"', '\\1?v=1&amp;w=2"', 'g') as html from pages),
+        g as (select page_id, url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)) as u, generate_subscripts(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1), 1) as n from pages),
+        h as (select page_id, url, replace(u, '&amp;', '&') as u, n from g where lower(u) like '%.xml' or lower(u) like '%.xml?%'),
         f as (select page_id, n, case when u like '/%' then regexp_extract(url, '^[a-z]+://[^/?#]*')||trim(u) else trim(u) end as link from h),
         d as (select page_id, link, min(n) as o from f group by all)
         select page_id, cast(row_number() over (partition by page_id order by o) - 1 as integer) as pos, link from d""",

@@ -10,7 +10,7 @@ from certweave.operators import graph as G
 from certweave.operators import relational as R
 from certweave.plans import register_view as V
 from certweave.session import scratch_path
-from certweave.sources import dims, links, readers
+from certweave.sources import dims, links, readers, sinks
 
 
 def test_limit_per_file_with_one_hot_file(spark):
@@ -134,3 +134,16 @@ def test_a_cluster_needs_a_shared_folder(spark):
 
     with pytest.raises(ValueError):
         scratch_path(Session, "x")
+
+
+def test_all_tables_go_to_the_database_in_order(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    sent = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, mode=None, properties=None: sent.append((url, table, mode, [f.name for f in self._df.schema.fields], properties)))
+    tabs = R.tables(V.records(spark, "/root/testdata/sf0.001"))
+    for recreate, mode in ((False, "append"), (True, "overwrite")):
+        sent.clear()
+        sinks.write_jdbc_tables(tabs, "jdbc:x:y", {"user": "u"}, recreate=recreate)
+        assert [(s[0], s[1], s[2], s[4]) for s in sent] == [("jdbc:x:y", name, mode, {"user": "u"}) for name in R.WRITE_ORDER]
+        assert all(s[3] == tabs[s[1]].columns for s in sent) and set(R.WRITE_ORDER) == set(tabs)
