@@ -17,16 +17,17 @@ DISPOSITIONS = [
 def conversion_report(converted: DataFrame) -> DataFrame:
     """One row per source file and one total row (``source_file`` = ``<total>``).
 
-    One pass with partial aggregation; the number of groups is the number of files.
+    One pass with partial aggregation gives a row per file; only those rows are added up
+    once more for the total.
     """
     def total(c):
         return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
 
-    sums = [F.count_if(F.col("disposition") == d).alias(d) for d in DISPOSITIONS]
-    sums += [total(F.col(c)).alias(c) for c in [*REPAIR_COUNTERS, *WARNING_COUNTERS]]
-    skipped = F.col("disposition") == SKIPPED
+    counts = [F.count_if(F.col("disposition") == d).alias(d) for d in [*DISPOSITIONS, SKIPPED]]
+    counters = [*REPAIR_COUNTERS, *WARNING_COUNTERS]
+    per_file = converted.groupBy("_source_file").agg(*counts, *[total(F.col(c)).alias(c) for c in counters])
+    columns = [*DISPOSITIONS, SKIPPED, *counters]
     return (
-        converted.rollup("_source_file").agg(*sums, F.count_if(skipped).alias("skipped"), F.grouping("_source_file").alias("_all"))
-        .select(F.when(F.col("_all") == 1, "<total>").otherwise(F.col("_source_file")).alias("source_file"),
-                *DISPOSITIONS, "skipped", *REPAIR_COUNTERS, *WARNING_COUNTERS)
+        per_file.rollup("_source_file").agg(*[total(F.col(c)).alias(c) for c in columns], F.grouping("_source_file").alias("_all"))
+        .select(F.when(F.col("_all") == 1, "<total>").otherwise(F.col("_source_file")).alias("source_file"), *columns)
     )

@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from certweave import schema as S
-from certweave.operators import audit, backfill, filters, graph
+from certweave.operators import audit, backfill, filters, graph, repair
 from certweave.operators import graph as G
 from certweave.operators import relational as R
 from certweave.plans import register_view as V
@@ -147,3 +148,23 @@ def test_all_tables_go_to_the_database_in_order(spark, monkeypatch):
         sinks.write_jdbc_tables(tabs, "jdbc:x:y", {"user": "u"}, recreate=recreate)
         assert [(s[0], s[1], s[2], s[4]) for s in sent] == [("jdbc:x:y", name, mode, {"user": "u"}) for name in R.WRITE_ORDER]
         assert all(s[3] == tabs[s[1]].columns for s in sent) and set(R.WRITE_ORDER) == set(tabs)
+
+
+def test_records_without_a_key_spread_in_the_override_join(spark):
+    """Half of the keys null, a third of the rows one key: no partition gets most of the rows, and the fills are right."""
+    records = V.records(spark, "/root/testdata/sf0.001").limit(900).withColumn("n", F.row_number().over(W.orderBy("_record_seq")))
+    records = records.withColumn("EduOrgOGRN", F.when(F.col("n") % 6 < 3, None).when(F.col("n") % 6 < 5, "1").otherwise(F.col("n").cast("string"))).withColumn("EduOrgINN", F.lit(None).cast("string"))
+    empty = F.lit(None)
+    records = records.withColumn("ActualEducationOrganization", empty.cast(records.schema["ActualEducationOrganization"].dataType)).withColumn("_derived", empty.cast(records.schema["_derived"].dataType))
+    overrides = spark.createDataFrame([("1", "77")], "ogrn string, inn string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        done = repair.override_inn_by_ogrn(records, overrides).select("n", "_derived.EduOrgINN", F.spark_partition_id().alias("part")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(done) == 900 and all((r.EduOrgINN == "77") == (r.n % 6 in (3, 4)) for r in done)
+    without = [r.part for r in done if r.n % 6 < 3]
+    assert max(without.count(p) for p in set(without)) < 0.5 * len(without)
