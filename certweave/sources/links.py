@@ -14,11 +14,27 @@ URL_PARTS = "^([A-Za-z][A-Za-z0-9+.\\-]*:)?(//[^/?#]*)?([^?#]*)(\\?[^#]*)?(#.*)?
 DATED_NAME = "(?i)data-(\\d{8})-"
 
 
+def _numeric_references(text: Column) -> Column:
+    """``&#39;`` and ``&#x27;`` as characters; numbers that are no character stay."""
+    def put(acc: Column, written: Column, code: Column) -> Column:
+        character = (code >= 1) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(character, code)), 8, "0")), "UTF-32")
+        return F.when(character, F.replace(acc, written, char)).otherwise(acc)
+
+    def each(acc: Column, pattern: str, lead: str, base: int) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+        return F.aggregate(found, acc, lambda a, r: put(a, F.concat(F.lit(lead), r, F.lit(";")), F.conv(r, base, 10).cast("bigint")))
+
+    plain = each(each(text, "&#([0-9]{1,7});", "&#", 10), "&#x([0-9A-Fa-f]{1,6});", "&#x", 16)
+    return F.when(text.contains("&#"), plain).otherwise(text)
+
+
 def page_hrefs(html: Column) -> Column:
     """Targets of all anchors in page order, with the common character references resolved."""
     def target(tag: Column) -> Column:
         text = F.concat(*[F.regexp_extract(tag, TARGET, g) for g in (1, 2, 3)])
-        for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        text = _numeric_references(text)
+        for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
             text = F.replace(text, F.lit(entity), F.lit(char))
         return X.strip(text)
 

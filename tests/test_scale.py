@@ -168,3 +168,9 @@ def test_records_without_a_key_spread_in_the_override_join(spark):
     assert len(done) == 900 and all((r.EduOrgINN == "77") == (r.n % 6 in (3, 4)) for r in done)
     without = [r.part for r in done if r.n % 6 < 3]
     assert max(without.count(p) for p in set(without)) < 0.5 * len(without)
+
+
+def test_references_in_link_targets(spark):
+    page = [(1, "http://h/", "<a href='/a&#38;b&#x2f;&#1103;&#128512;&#0;&#xD800;&amp;#39;.xml'>")]
+    got = links.extract_links(spark.createDataFrame(page, "page_id long, url string, html string")).collect()
+    assert [r.link for r in got] == ["http://h/a&b/я\U0001f600&#0;&#xD800;&#39;.xml"]
