@@ -14,6 +14,7 @@ is done again alone. A task leaves at most one poorly filled group, at its end.
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,47 +62,84 @@ def windows(sizes: list[int], capacity: int) -> list[list[int]]:
         ways += 1
 
 
+LONE_STOP = re.compile(rb"[.,](?<=[a-z\xdf-\xf6\xf8-\xff].)(?=[\x20\n]|$)")
+
+
+def split_words(text: str) -> list[bytes]:
+    """Parts of a text that the tokenizer codes one by one: it drops white space before it looks at words.
+
+    In texts of Latin-1 characters words are lower-cased and a comma or stop behind a letter
+    stands alone, as the tokenizer does both itself; so fewer different words are met.
+    """
+    if "<|" not in text:  # part of a special token's name, which has one case
+        try:
+            return LONE_STOP.sub(rb" \g<0>", text.lower().encode("latin-1")).decode("latin-1").encode().split()
+        except UnicodeEncodeError:
+            pass
+    return text.encode().split()  # bytes split at ASCII white space only
+
+
+# How a byte-level vocabulary writes bytes: visible ones as themselves, the others as characters from U+0100 on.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = [b for b in range(256) if b not in _VISIBLE]
+BYTE_CHARS = dict(zip(_VISIBLE, map(chr, _VISIBLE))) | dict(zip(_HIDDEN, map(chr, range(256, 512))))
+
+
+def plain_word(word: bytes) -> str | None:
+    """A word of small Latin-1 letters as the vocabulary writes it: one pre-token that no normalisation changes. Else None."""
+    if word.isalpha():  # ASCII letters only
+        return word.decode() if word.islower() else None
+    text = word.decode()
+    if text.isalpha() and text == text.lower() and max(text) < "\u0100":
+        return word.decode("latin-1").translate(BYTE_CHARS)
+    return None
+
+
 class WordTokens(dict):
     """Ids of words as little-endian unsigned 32-bit integers, worked out once per word.
 
-    The tokenizer drops white space before it looks at words, so the ids of a text are those
-    of its words in order. The first words met stay, later ones make room for each other.
+    The first words met stay, later ones make room for each other.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.packed = [n.to_bytes(4, "little") for n in range(self.tokenizer.get_vocab_size())]
         self.later: list[bytes] = []
 
-    def learn(self, words) -> None:
+    def learn(self, words: set[bytes]) -> None:
         if len(self.later) > LATER_WORDS:
             for word in self.later:
                 del self[word]
             self.later = []
-        new = [w for w in set(words) if w not in self]
-        room = FIRST_WORDS + len(self.later) - len(self)
-        self.later += new[max(0, room):]
-        # many words to a line; a token belongs to the word in which it starts
-        for at in range(0, len(new), 128):
-            line = new[at:at + 128]
+        new = [w for w in words if w not in self]
+        self.later += new[max(0, FIRST_WORDS + len(self.later) - len(self)):]
+        odd, packed, tokenize = [], self.packed, self.model.tokenize
+        for word in new:
+            plain = plain_word(word)
+            if plain is None:
+                odd.append(word)
+            else:
+                self[word] = b"".join([packed[t.id] for t in tokenize(plain)])
+        # the others pass through the whole tokenizer, many to a line; a token belongs to the word in which it starts
+        for at in range(0, len(odd), 1000):
+            line = odd[at:at + 1000]
             texts = [w.decode() for w in line]
             coded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             ids = np.array(coded.ids, "<u4").tobytes()
-            starts = np.fromiter((a for a, _ in coded.offsets), np.int64, len(coded.offsets))
+            starts = np.fromiter((a for a, _ in coded.offsets), np.int64, len(ids) // 4)
             ends = 4 * np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])).astype(np.int64)
             low = 0
             for word, high in zip(line, ends.tolist()):
                 self[word] = ids[low:high]
                 low = high
 
-    def encode(self, text: str) -> bytes:
-        words = text.encode().split()  # bytes split at ASCII white space only
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            self.learn(words)
-            return b"".join(map(self.__getitem__, words))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        parts = [split_words(t) for t in texts]
+        self.learn(set().union(*parts))
+        return [b"".join(map(self.__getitem__, p)) for p in parts]
 
 
 _LOADED: dict[str, WordTokens] = {}
@@ -153,21 +191,22 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = LENG
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:
-            for key, whole in zip(batch.column(0).to_pylist(), batch.column(1)):
-                whole = whole.as_py()
-                ids = words.encode(whole or "") + end_id.to_bytes(4, "little")
-                for p in pieces(key, ids, length, piece):
-                    if p[2] == length:
-                        out.append((*p, serial, 0))
-                        serial += 1
-                        continue
-                    waiting.append(p)
-                    held += p[2]
-                    # enough pieces, and a sum that leaves a few tokens free in each window
-                    if len(waiting) >= gather and FREE * (held // length) <= -held % length <= FREE * (held // length) + length // 4:
-                        flush()
-                if len(out) >= 4000:
-                    yield emit()
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                coded = words.encode([t or "" for t in part.column(1).to_pylist()])
+                for key, ids in zip(part.column(0).to_pylist(), coded):
+                    for p in pieces(key, ids + end_id.to_bytes(4, "little"), length, piece):
+                        if p[2] == length:
+                            out.append((*p, serial, 0))
+                            serial += 1
+                            continue
+                        waiting.append(p)
+                        held += p[2]
+                        # enough pieces, and a sum that leaves a few tokens free in each window
+                        if len(waiting) >= gather and FREE * (held // length) <= -held % length <= FREE * (held // length) + length // 4:
+                            flush()
+                    if len(out) >= 4000:
+                        yield emit()
         flush()
         if out:
             yield emit()

@@ -51,7 +51,7 @@ def test_every_token_once(spark, small):
 
 
 def test_words_outside_ascii(spark, documents):
-    texts = ["<|endoftext|> a<|startoftext|>b", "A\u00a0B\u2003C\x1cD e\u0301 e \u0301", "ΑΣ ΑΣΑ İI", "don't I'LL  x's", "\x00 \x0b\x0c 𝔘 👩‍👩‍👧 1234"]
+    texts = ["<|endoftext|> a<|startoftext|>b", "A\u00a0B\u2003C\x1cD e\u0301 e \u0301", "ΑΣ ΑΣΑ İI", "don't I'LL  x's", "\x00 \x0b\x0c 𝔘 👩‍👩‍👧 1234", "<|STARTOFTEXT|> x", "A.B, C.. D., É, ÿ.\tß.\n1, \u212a. don't.", "K\u00b5 ª. º, º,x ,a .b a,"]
     got, _ = whole(packing.pack(documents([(n, t, None, None) for n, t in enumerate(texts)]), PATH).collect())
     coder = Tokenizer.from_file(PATH)
     for n, t in enumerate(texts):
