@@ -74,9 +74,9 @@ def op2(rules: list[tuple[str, str]], order: int = 4) -> str:
     scored as (select address, cast(floor(cast(sum(score) as double) / count(*)) as bigint) as score from places join scores using (gram) group by 1),
     bins as (select greatest(-20000, least(20000, floor(s.score / 1000.0))) as bin, count(*) filter (ruled = 'allow') as a, count(*) filter (ruled = 'block') as b
         from scored s join urls using (address) where held and ruled is not null group by 1),
-    sums as (select bin, (sum(a) over () - coalesce(sum(a) over before, 0)) / nullif(cast(sum(a) over () as double), 0)
+    sums as (select bin, coalesce(floor((bin + lag(bin) over (order by bin)) / 2.0), bin) as middle, (sum(a) over () - coalesce(sum(a) over before, 0)) / nullif(cast(sum(a) over () as double), 0)
         + coalesce(sum(b) over before, 0) / nullif(cast(sum(b) over () as double), 0) as good from bins window before as (order by bin rows between unbounded preceding and 1 preceding)),
-    least_ as (select coalesce((select cast(bin * 1000 as bigint) from sums where good is not null order by good desc, bin limit 1), 0) as cutoff)
+    least_ as (select coalesce((select cast(middle * 1000 as bigint) from sums where good is not null order by good desc, bin limit 1), 0) as cutoff)
     select page_id, host, path, rule, coalesce(ruled, case when score >= cutoff then 'allow' else 'block' end) as verdict, score
     from pg join urls using (address) join scored using (address), least_"""
 

@@ -83,11 +83,12 @@ def threshold(scored: DataFrame) -> int:
     accepted, rejected = sum(r.a for r in rows), sum(r.b for r in rows)
     if not accepted or not rejected:
         return 0
-    best, at, kept, blocked = 0.0, 0, accepted, 0
+    best, at, kept, blocked, below = 0.0, 0, accepted, 0, None
     for r in sorted(rows, key=lambda r: r.bin):
         right = kept / accepted + blocked / rejected
-        if right > best:
-            best, at = right, r.bin * BIN
+        if right > best:  # half way between the scores on both sides of the cut
+            best, at = right, (r.bin if below is None else (below + r.bin) // 2) * BIN
+        below = r.bin
         kept, blocked = kept - r.a, blocked + r.b
     return at
 
