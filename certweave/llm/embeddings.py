@@ -2,9 +2,11 @@
 
 The two halves of a unit vector have a codebook each; a vector's home is the cell of its
 nearest centroid pair. Multi-sequence traversal gives the cells around a vector from near to
-far. How many of them are visited is measured, not guessed: for a sample of query vectors all
-links are found by brute force against every row, and cells are added until the visited ones
-hold the target share of these links. Candidates are then verified in double precision.
+far. How many of them are visited is measured, not guessed: for query vectors apart from the
+codebooks' points all links are found by brute force against every row, and cells are added
+until the visited ones hold the target share of these links, each query item and each group of
+links weighing the same. Too few links are no measurement: queries are drawn until enough are
+seen or every item was one. Candidates are then verified in double precision.
 
 Equal vectors are one item from the start. Pairs are counted in blocks (see ``links``), each
 once.
@@ -14,17 +16,21 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import logging
 import math
+from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, stored
 from .links import components, linked, per_block
 
-SAMPLE, QUERIES, FARTHEST = 20_000, 400, 64
-CHUNK = 1024
+SAMPLE, QUERIES, ENOUGH = 20_000, 1024, 300
+MOST_QUERIES, DRAW_BYTES = 8192, 64 << 20  # in one draw
+PLACES = 1 << 30
+CHUNK = TILE = 1024
 TARGET = 0.999
 PER_CELL = 32  # items a cell should hold on average
 ROUNDS = 8
@@ -81,10 +87,14 @@ class Index:
 
     def __init__(self, first: np.ndarray, second: np.ndarray):
         self.first, self.second = first, second
+        self.width = first.shape[1] + second.shape[1]
+
+    def distances(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        half = self.first.shape[1]
+        return _distances(vectors[:, :half], self.first), _distances(vectors[:, half:], self.second)
 
     def visits(self, vectors: np.ndarray, cells: int) -> list[list[int]]:
-        half = len(self.first[0])
-        a, b = _distances(vectors[:, :half], self.first), _distances(vectors[:, half:], self.second)
+        a, b = self.distances(vectors)
         if cells == 1:
             return [[int(n)] for n in a.argmin(axis=1) * len(self.second) + b.argmin(axis=1)]
         return [multi_sequence(p, q, cells) for p, q in zip(a, b)]
@@ -111,49 +121,106 @@ def items(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return plain.mapInArrow(run, "vec_id long, digest binary, width int, vector binary")
 
 
-def cells_to_visit(reps: DataFrame, index: Index, queries: list, least: float, target: float) -> tuple[int, float]:
-    """(cells, recall): so many cells of either of two linked items that the target share of the queries' links has a home there.
+def _reach(first: np.ndarray, second: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """How many cells of the product grid are as near as each of the sums; ties count, so that many visited cells hold it."""
+    return np.searchsorted(np.sort(second), sums[:, None] + 1e-9 - first[None], side="right").sum(axis=1)
+
+
+def _reaches(owners: np.ndarray, cells: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The number of cells that owner n, with distances a[n] and b[n], visits until it is at cell cells[n]; each different pair is worked out once."""
+    width = b.shape[1]
+    pairs, back = np.unique(owners * (a.shape[1] * width) + cells, return_inverse=True)
+    owner, cell = np.divmod(pairs, a.shape[1] * width)
+    out = np.zeros(len(pairs), np.int64)
+    for part in np.split(np.arange(len(pairs)), np.flatnonzero(np.diff(owner)) + 1):
+        x = owner[part[0]]
+        out[part] = _reach(a[x], b[x], a[x][cell[part] // width] + b[x][cell[part] % width])
+    return out[back]
 
-    queries: (id, vector), a bounded sample; every item is compared with all of them, a
-    batch at a time, and gives a histogram only.
+
+def query_links(reps: DataFrame, index: Index, queries: list, least: float) -> DataFrame:
+    """(query, at, n): the number of links of each query that are met from the at-th visited cell of either end on.
+
+    queries: (id, vector), a bounded number; every item is compared with all of them, a
+    tile at a time.
     """
     ids, vectors = np.array([q[0] for q in queries], np.int64), _vectors([q[1] for q in queries])
-    homes, orders = [c[0] for c in index.visits(vectors, 1)], [{c: n for n, c in enumerate(v)} for v in index.visits(vectors, FARTHEST)]
 
     def count(batches):
         import pyarrow as pa
 
-        sums = np.zeros(FARTHEST + 1, np.int64)
+        sums = {}
+        query_a, query_b = index.distances(vectors)
+        query_homes = query_a.argmin(axis=1) * query_b.shape[1] + query_b.argmin(axis=1)
         for batch in batches:
-            own = batch.column(0).to_numpy()
-            held = _vectors(batch.column(1).to_pylist())
-            row, query = np.nonzero(held @ vectors.T >= least)
-            keep = own[row] != ids[query]
-            row, query = row[keep], query[keep]
-            if not len(row):
-                continue
-            different = np.unique(row)
-            place = dict(zip(different.tolist(), range(len(different))))
-            around = index.visits(held[different], FARTHEST)
-            for r, q in zip(row.tolist(), query.tolist()):
-                visit = around[place[r]]
-                there = visit.index(homes[q]) if homes[q] in visit else FARTHEST
-                sums[min(there, orders[q].get(visit[0], FARTHEST))] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(FARTHEST + 1), pa.int32()), pa.array(sums)], ["at", "n"])
-
-    found = dict.fromkeys(range(FARTHEST + 1), 0)
-    for r in reps.select("id", "vector").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
-        found[r.at] = r.n
-    total, so_far = sum(found.values()), 0
-    for at in range(FARTHEST):
-        so_far += found[at]
-        if so_far >= target * total:
-            return at + 1, so_far / total if total else 1.0
-    return FARTHEST, so_far / total
+            for first in range(0, batch.num_rows, TILE):
+                part = batch.slice(first, TILE)
+                own, held = part.column(0).to_numpy(), _vectors(part.column(1).to_pylist())
+                a = None
+                for start in range(0, len(ids), TILE):
+                    row, query = np.nonzero(held @ vectors[start:start + TILE].T >= least)
+                    query += start
+                    keep = own[row] != ids[query]
+                    row, query = row[keep], query[keep]
+                    if not len(row):
+                        continue
+                    if a is None:
+                        a, b = index.distances(held)
+                        homes = a.argmin(axis=1) * b.shape[1] + b.argmin(axis=1)
+                    at = np.minimum(_reaches(row, query_homes[query], a, b), _reaches(query, homes[row], query_a, query_b))
+                    found, n = np.unique(np.stack([ids[query], at], axis=1), axis=0, return_counts=True)
+                    for (q, k), m in zip(found.tolist(), n.tolist()):
+                        sums[q, k] = sums.get((q, k), 0) + m
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([q for q, _ in sums], pa.int64()), pa.array([k for _, k in sums], pa.int32()), pa.array(list(sums.values()), pa.int64())], ["query", "at", "n"])
+
+    return reps.select("id", "vector").mapInArrow(count, "query long, at int, n long").groupBy("query", "at").agg(F.sum("n").alias("n"))
+
+
+def cells_to_visit(reps: DataFrame, place: Column, cut: int, n: int, index: Index, least: float, target: float, n_queries: int, enough: int) -> dict:
+    """How many cells an item has to visit, and how that was found out.
+
+    Queries are drawn by hash, first those apart from the codebooks' points (place below
+    ``cut``), in growing draws until their links belong to ``enough`` groups (an item with d
+    links counts as 1 / (d + 1) of a group) or all items were drawn. Few links never
+    count as a measurement: where links are rare, all of them get known. Every query weighs the
+    same in the recall by items and every group the same in the recall by groups; both have
+    to reach the target. When all items were queries no known link is given up.
+    """
+    turned = F.pmod(place - F.lit(cut), F.lit(PLACES))
+    most = max(1, min(MOST_QUERIES, DRAW_BYTES // (8 * index.width)))
+    drawn, low, size, seen, parts = 0, 0, max(1, min(n_queries, most)), 0.0, []
+    while low < PLACES and seen < enough:
+        high = min(PLACES, low + max(1, math.ceil(PLACES * size / n)))
+        queries = reps.where((turned >= low) & (turned < high)).select("id", "vector").orderBy("id").collect()  # about most at most
+        low, size, drawn = high, min(2 * size, most), drawn + len(queries)
+        if queries:
+            links = stored(query_links(reps, index, queries, least), "vector-queries")
+            total = links.groupBy("query").agg(F.sum("n").alias("total"))
+            share = F.col("n") / F.col("total")
+            # a row per number of cells
+            part = links.join(total, "query").groupBy("at").agg(F.sum(share).alias("items"), F.sum(share / (F.col("total") + 1)).alias("groups")).collect()
+            parts += [(r[0], r[1], r[2]) for r in part]
+            seen += math.fsum(r[2] for r in part)
+    every = low >= PLACES
+    items, groups = math.fsum(r[1] for r in parts), math.fsum(r[2] for r in parts)
+    cells, by_item, by_group = 1, 0.0, 0.0
+    for at in sorted({r[0] for r in parts}):
+        cells = at
+        by_item += math.fsum(r[1] for r in parts if r[0] == at)
+        by_group += math.fsum(r[2] for r in parts if r[0] == at)
+        if not every and by_item >= target * items - 1e-9 and by_group >= target * groups - 1e-9:
+            break
+    return {"items": n, "queries": drawn, "every_item_a_query": every, "linked_queries": round(items), "groups": groups, "cells": cells,
+            "recall_by_item": by_item / items if items else 1.0, "recall_by_group": by_group / groups if groups else 1.0}
+
+
+def _log(measure: dict) -> None:
+    logging.getLogger(__name__).info("visited cells: %s", measure)
 
 
 def near_duplicates(rows: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.95, target: float = TARGET,
-                    sample: int = SAMPLE, n_queries: int = QUERIES, chunk: int = CHUNK) -> DataFrame:
+                    sample: int = SAMPLE, n_queries: int = QUERIES, enough: int = ENOUGH, chunk: int = CHUNK, report: Callable[[dict], None] | None = None) -> DataFrame:
     """(vec_id, n_links, component_id), a row per row.
 
     n_links: the other rows whose cosine is at least ``least``, copies each counted;
@@ -161,8 +228,10 @@ def near_duplicates(rows: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     those with null or non-finite parts link with nothing. Vectors of different widths are
     indexed apart and do not link. Repeated rows link with each other; null ids take part, a
     component without any other id has none. The codebooks are fitted on about ``sample`` items at
-    most, chosen by hash, and the number of cells measured on about ``n_queries``; every item
-    is indexed. Other columns are ignored.
+    most, chosen by hash; the number of cells is measured on about ``n_queries`` others and
+    on more until ``enough`` groups of links are seen, on all items if need be. Every item
+    is indexed. ``report`` gets the measure of each width (see ``cells_to_visit``), with the
+    recall reached; without one it is logged. Other columns are ignored.
     """
     ship(rows.sparkSession)
     all_rows = stored(items(rows, vec_id, embedding), "vectors")
@@ -171,7 +240,7 @@ def near_duplicates(rows: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     reps = stored(reps.withColumn("id", F.monotonically_increasing_id()), "vector-items")
     found = None
     for width, n in sorted((r[0], r[1]) for r in reps.groupBy("width").count().collect()):  # a row per width
-        part = _found(reps.where(F.col("width") == width), n, least, target, sample, n_queries, chunk)
+        part = _found(reps.where(F.col("width") == width), n, least, target, sample, n_queries, enough, chunk, report or _log)
         found = part if found is None else found.unionByName(part)
     alone = all_rows.where("digest is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if found is None:
@@ -186,18 +255,23 @@ def near_duplicates(rows: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     return named.select("vec_id", "digest").join(result, "digest").select("vec_id", "n_links", "component_id").unionByName(alone)
 
 
-def _found(reps: DataFrame, n: int, least: float, target: float, sample: int, n_queries: int, chunk: int) -> DataFrame:
+def _found(reps: DataFrame, n: int, least: float, target: float, sample: int, n_queries: int, enough: int, chunk: int, report: Callable[[dict], None]) -> DataFrame:
     """(id, root, n) of the links among the items of one width."""
     import pyarrow as pa
 
-    place = F.pmod(F.xxhash64("digest"), F.lit(1 << 30))
-    chosen = lambda most: reps.where(place < math.ceil((1 << 30) * min(1.0, most / n))).select("id", "vector").orderBy("id").collect()  # noqa: E731  bounded by most
-    points = _vectors([r[1] for r in chosen(sample)])
+    place = F.pmod(F.xxhash64("digest"), F.lit(PLACES))
+    cut = math.ceil(PLACES * min(0.5, sample / n))  # at most half the items, so that there are others to measure on
+    fit = lambda below: reps.where(place < below).select("vector", "id").orderBy("id").collect()  # noqa: E731  about sample at most
+    points = fit(cut)
+    if not points:  # a handful of items
+        points, cut = fit(PLACES), 0
+    points = _vectors([r[0] for r in points])
     half = points.shape[1] // 2
     size = max(1, min(len(points) // 8, round(math.sqrt(n / PER_CELL))))
     index = Index(codebook(points[:, :half], size), codebook(points[:, half:], size))
-    queries = chosen(n_queries)
-    cells, _ = cells_to_visit(reps, index, queries, least, target) if queries else (FARTHEST, 1.0)
+    measure = cells_to_visit(reps, place, cut, n, index, least, target, n_queries, enough)
+    cells = measure["cells"]
+    report(measure)
 
     def visit(batches):
         for batch in batches:

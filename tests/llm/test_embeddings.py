@@ -57,3 +57,23 @@ def test_odd_vectors(spark):
     rows = [(k, v and [None if x is None else float(np.float32(x)) for x in v]) for k, v in rows]
     assert run(spark, rows) == brute(rows)
     assert run(spark, []) == [] and run(spark, [(1, None)]) == [(1, 0, 1)]
+
+
+def near(r, x, cosine):
+    d = r.normal(size=x.shape)
+    d -= (d * x).sum(axis=1, keepdims=True) * x
+    return cosine * x + math.sqrt(1 - cosine * cosine) * d / np.linalg.norm(d, axis=1, keepdims=True)
+
+
+def planted(spark, r, n_rows, n_pairs, cluster=(), **how):
+    """How many planted pairs at 0.955 among random vectors are met."""
+    x = r.normal(size=(n_rows, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    vectors = [*near(r, x[:n_pairs], 0.955), *x, *cluster]
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    roots = {k: root for k, _, root in embeddings.near_duplicates(table, **how).collect()}
+    return sum(roots[k] == roots[n_pairs + k] for k in range(n_pairs))
+
+
+def test_rare_links_are_met(spark):
+    assert planted(spark, np.random.default_rng(3), 6000, 16) == 16
