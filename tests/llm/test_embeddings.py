@@ -77,3 +77,14 @@ def planted(spark, r, n_rows, n_pairs, cluster=(), **how):
 
 def test_rare_links_are_met(spark):
     assert planted(spark, np.random.default_rng(3), 6000, 16) == 16
+
+
+def test_a_hot_cluster_does_not_hide_pairs(spark):
+    r = np.random.default_rng(5)
+    centre = r.normal(size=64)
+    cluster = centre / np.linalg.norm(centre) + 0.02 * r.normal(size=(2000, 64))
+    found = []
+    assert planted(spark, r, 4000, 200, cluster) >= 198
+    assert planted(spark, r, 4000, 200, cluster, enough=20, n_queries=500, report=found.append) >= 190
+    assert len(found) == 1 and found[0]["recall_by_group"] >= 0.999 and found[0]["recall_by_item"] >= 0.999 and found[0]["groups"] >= 20
+    assert found[0]["queries"] < found[0]["items"] and not found[0]["every_item_a_query"]
