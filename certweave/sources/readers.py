@@ -27,18 +27,40 @@ STRAY_AMPERSAND = "&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 DECLARED_ENCODING = "^\\W{0,3}<\\?xml[^>]*?encoding\\s*=\\s*[\"']([A-Za-z0-9._\\-]+)"
 
 
-def declared_encoding(spark: SparkSession, path: str | list[str]) -> str:
-    """The encoding that the XML declaration of the first file names, else UTF-8. Files of one scan share it."""
-    first = path if isinstance(path, str) else path[0]
-    head = spark.read.text(first).select(F.regexp_extract("value", DECLARED_ENCODING, 1).alias("name")).head()
-    return head.name if head is not None and head.name else "UTF-8"
+def declared_encodings(parts: DataFrame) -> DataFrame:
+    """(file, encoding) of every file whose XML declaration names an encoding; parts: (file, start, value) of a scan.
+
+    A narrow pass over the scan; a row per file that has a declaration at its beginning.
+    """
+    name = F.lower(F.regexp_extract("value", DECLARED_ENCODING, 1))
+    found = parts.where("start = 0").select("file", name.alias("encoding"), F.monotonically_increasing_id().alias("at")).where("encoding <> ''")
+    return found.groupBy("file").agg(F.min_by("encoding", "at").alias("encoding"))
+
+
+def _decoded_by_file(parts: DataFrame) -> DataFrame:
+    """parts with the value of each row decoded by what its own file declares; UTF-8 without a declaration."""
+    declared = declared_encodings(parts)
+    names = sorted(r[0] for r in declared.select("encoding").distinct().collect())  # a row per encoding
+    others = [n for n in names if not _is_utf8(n)]
+    if not others:
+        return parts
+    # a row per file: small beside the texts, which must not be dealt by file
+    rows = parts.join(F.broadcast(declared.where(F.col("encoding").isin(others))), "file", "left")
+    value = F.col("value")
+    for n in others:
+        value = F.when(F.col("encoding") == n, _decoded(F.col("value"), n)).otherwise(value)
+    return rows.withColumn("value", value)
+
+
+def _is_utf8(encoding: str) -> bool:
+    return codecs.lookup(encoding).name in ("utf-8", "utf-8-sig", "ascii")
 
 
 def _decoded(value: Column, encoding: str) -> Column:
     """Text of a line that the text scan took as UTF-8 whatever its bytes are. Encodings of one byte per character, and UTF-8."""
-    name = codecs.lookup(encoding).name
-    if name in ("utf-8", "utf-8-sig", "ascii"):
+    if _is_utf8(encoding):
         return value
+    name = codecs.lookup(encoding).name
     upper = [bytes([b]).decode(name, "replace") for b in range(128, 256)]
     if any(len(c) != 1 for c in upper) or bytes(range(128)).decode(name, "replace") != bytes(range(128)).decode("ascii"):
         raise ValueError(f"encoding {encoding} is not one byte per character")
@@ -65,11 +87,12 @@ def read_elements(spark: SparkSession, path: str | list[str], encoding: str | No
     opening tag: an element without a closing tag ends where the next one opens
     and costs itself only, an empty element is one of its own. Comments go
     (one that holds several closing tags hides the first of its records only).
-    Without an ``encoding`` the one the file declares counts.
+    Without an ``encoding`` the one that each file declares counts for its own rows.
     """
     close = f"</{ELEMENT}>"
     parts = spark.read.option("lineSep", close).text(path)
-    parts = parts.select(_decoded(F.col("value"), encoding or declared_encoding(spark, path)).alias("value"), F.col("_metadata.file_name").alias(_FILE))
+    parts = parts.select("value", F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    parts = parts.withColumn("value", _decoded(F.col("value"), encoding)) if encoding else _decoded_by_file(parts)
     plain = F.when(F.col("value").contains("<!"), F.regexp_replace(_without_cdata(F.col("value")), COMMENT, "")).otherwise(F.col("value"))
     pieces = F.regexp_extract_all("plain", F.lit(f"(?s){OPENING}.*?(?={OPENING}|$)"), F.lit(0))
 

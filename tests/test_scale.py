@@ -126,6 +126,17 @@ def test_xml_in_the_declared_encoding(spark, tmp_path):
     assert [(r.Id, r.StatusName, r._corrupt_record) for r in got] == [("a", "да ef  g", None), ("b", "<Certificate> & x", None)]
 
 
+def test_xml_files_of_several_encodings_in_one_scan(spark, tmp_path):
+    for folder, name, encoding in (("a", "1", "windows-1251"), ("a", "2", "utf-8"), ("b", "1", None), ("b", "2", "KOI8-R")):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        head = f'<?xml version="1.0" encoding="{encoding}"?>\n' if encoding else ""
+        body = "".join(f"<Certificate><Id>{folder}{name}{n}</Id><StatusName>Действует</StatusName></Certificate>" for n in range(3))
+        (tmp_path / folder / f"{name}.xml").write_bytes(f"{head}<OpenData>{body}</OpenData>".encode(encoding or "utf-8"))
+    want = [(f"{f}{name}{n}", "Действует") for f in "ab" for name in "12" for n in range(3)]
+    for path in (str(tmp_path / "*"), [str(tmp_path / "b"), str(tmp_path / "a")], [str(tmp_path / f / f"{n}.xml") for f in "ab" for n in "21"]):
+        assert sorted((r.Id, r.StatusName) for r in readers.read_xml(spark, path).collect()) == want
+
+
 def test_a_cluster_needs_a_shared_folder(spark):
     class Context:
         master = "spark://host:7077"
