@@ -1,3 +1,5 @@
+import textwrap
+
 from certweave.llm import licences
 
 
@@ -18,3 +20,18 @@ def test_odd_rows(spark, odd, nothing):
     assert licences.scan(nothing, known).count() == 0
     again = odd.unionByName(odd.limit(0)).replace("same same same", "Licensed under CC BY-NC 4.0.", "text")
     assert [r.n_notices for r in licences.scan(again, known).where("notices <> ''").collect()] == [1, 1, 1]
+
+
+def test_whole_licences_runs_of_lines_and_notices_after_copyright(spark, documents):
+    text = dict(licences.known_texts()[len(licences.KNOWN):])
+    wrap = lambda t, mark="": "\n".join(f"{mark}{x}" for x in textwrap.wrap(t, 60))
+    mit, isc = (licences.Path(licences.__file__).parent / "known_licences" / "MIT.txt").read_text(), dict(licences.KNOWN)["ISC"]
+    apache = dict(licences.HEADERS)["Apache-2.0"]
+    docs = documents([
+        (1, mit, None, None), (2, "Licensed under the MIT License.", None, None), (3, f"prose\n\n{wrap(isc)}\n\nmore prose", None, None),
+        (4, f"# Copyright 2020 X\n#\n{wrap(apache, '# ')}\n\nimport os", None, None), (5, "Copyright 2020 J. Doe. Released under the MIT License.\nx", None, None),
+        (6, "Released under\nthe MIT License.\nand more", None, None), (7, f"prose\n{wrap(isc)[:-9]}\nmore", None, None),
+        (8, "Copyright (c) 2016 Y. All rights reserved.\n\n" + text["BSD-3-Clause"], None, None)])
+    got = {r.doc_id: (r.licence, r.notices) for r in licences.scan(docs, licences.known_digests(spark)).collect()}
+    assert got[1][0] == "MIT" and got[2] == ("MIT", "MIT") and got[3] == (None, "ISC") and "Apache-2.0" in got[4][1]
+    assert got[5] == (None, "MIT") and got[6] == (None, "MIT") and got[7] == (None, "") and got[8][0] == "BSD-3-Clause"
