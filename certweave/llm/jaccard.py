@@ -1,10 +1,10 @@
 """Join of documents whose word 5-grams have a Jaccard similarity of at least 0.8.
 
-Candidates come from a MinHash LSH forest. Each of ``trees`` trees labels a document with a row
-of minima; documents lie together in a tree as far as their labels share a prefix. Matching starts
-at the longest prefix and is shortened until a pair at the threshold shares one in some tree
-with at least the target probability; that length is then used in all trees. Candidates are
-verified on their whole shingle sets.
+Candidates come from banded MinHash LSH in the place of a MinHash LSH forest: each of ``trees``
+bands labels a document with a row of minima, and documents with the same row in some band meet.
+Nothing is sorted and no prefix is shortened on data: the length of a row is worked out
+from the threshold and the target probability alone, the longest at which a pair at the
+threshold meets with at least that probability. Candidates are verified on their whole shingle sets.
 
 Documents with equal shingle sets are one item from the start: copies are counted, never
 paired. Links between different items are counted in blocks (see ``links``), each pair in
