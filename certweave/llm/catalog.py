@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, jaccard, language, licences, mixing, oracles, packing, periodic, quality, sharding, urls
+from . import chat, divergence, embeddings, jaccard, language, licences, mixing, oracles, packing, periodic, quality, radix, sharding, urls
 from .common import tables
 
 
@@ -78,6 +78,15 @@ def op10_embedding_dedup(spark, sf_dir):
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def op11_exact_dedup(spark, sf_dir):
+    found = radix.exact_duplicates(tables(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(tables(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     """All documents; one in ten, chosen by its id, is read with a repeated tail."""
     return periodic.periodic_runs(tables(spark, sf_dir, "documents"), plant=True)
@@ -86,11 +95,13 @@ def op13_periodic_runs(spark, sf_dir):
 QUERIES = {"op1_mixing": op1_mixing, "op2_url_filter": op2_url_filter, "op3_license_scan": op3_license_scan, "op4_language_id": op4_language_id, "op4_language_id_pages": op4_language_id_pages,
            "op5_ngram_jaccard_join": op5_ngram_jaccard_join, "op6_quality_rules": op6_quality_rules, "op7_packing": op7_packing,
            "op8_chat_format": op8_chat_format, "op9_sharding": op9_sharding, "op10_embedding_dedup": op10_embedding_dedup,
-           "op13_periodic_runs": op13_periodic_runs}
+           "op11_exact_dedup": op11_exact_dedup, "op12_source_divergence": op12_source_divergence, "op13_periodic_runs": op13_periodic_runs}
 ORACLES = {
     "op1_mixing": oracles.OP1,
     "op2_url_filter": oracles.op2(URL_RULES),
     "op3_license_scan": oracles.op3(),
+    "op11_exact_dedup": oracles.OP11,
+    "op12_source_divergence": oracles.OP12,
     "op10_embedding_dedup": r"""
         with recursive units as (
             select vec_id, cast(embedding as double[]) as v from embeddings where embedding is not null and len(embedding) > 0

@@ -99,3 +99,32 @@ def op3() -> str:
     found as (select n, string_agg(distinct licence, ',' order by licence) as notices, count(*) as n_notices from lines join known using (digest) where digest <> md5('') group by n)
     select doc_id, d.digest, k.licence, coalesce(notices, '') as notices, coalesce(n_notices, 0) as n_notices
     from docs d left join found using (n) left join known k on k.digest = d.digest and d.digest <> md5('')"""
+
+
+OP11 = r"""
+    with plain as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
+    select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = min(doc_id) over same as kept, sha256(t) as text_sha256
+    from plain window same as (partition by t)"""
+
+
+OP12 = r"""
+    with docs as (select row_number() over () as n, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words from documents),
+    counts as (select n, lang, source, term, count(*) as c from (select n, lang, source, unnest(words) as term from docs) group by all),
+    kept as (select lang, term, sum(c) as c from counts group by 1, 2 having count(*) >= 30),
+    cells as (select lang, source, term, sum(c) as c from counts join kept using (lang, term) group by all),
+    langs as (select lang, count(*) as v, sum(c) as n from kept group by 1),
+    groups as (select lang, source, coalesce(v, 0) as v, coalesce((select sum(c) from cells x where x.lang = g.lang and x.source = g.source), 0) as n
+        from (select distinct lang, source from docs) g left join langs using (lang)),
+    shares as (select g.lang, g.source, k.term, coalesce(x.c, 0) as c,
+        1 + (1000000000 * cast(coalesce(x.c, 0) + 5 as hugeint)) // cast(g.n + 5 * g.v as hugeint) as p,
+        1 + (1000000000 * cast(k.c + 5 as hugeint)) // cast(l.n + 5 * l.v as hugeint) as q
+        from groups g join kept k on k.lang = g.lang join langs l on l.lang = g.lang left join cells x on x.lang = g.lang and x.source = g.source and x.term = k.term),
+    pairs as (select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(f.value, 0) as bigint) as value
+        from groups a join groups b on a.lang = b.lang and a.source <> b.source
+        left join (select x.lang, x.source as s1, y.source as s2, sum(abs(x.p - y.p)) as value from shares x join shares y using (lang, term) group by all) f
+            on f.lang = a.lang and f.s1 = a.source and f.s2 = b.source),
+    terms as (select lang, source, 'term' as part, term as item, cast(p - q as bigint) as value from shares where c > 0 and p > q)
+    select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank from pairs
+    union all (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank from terms
+        qualify rank <= 50)"""
