@@ -112,7 +112,7 @@ OP12 = r"""
         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words from documents),
     counts as (select n, lang, source, term, count(*) as c from (select n, lang, source, unnest(words) as term from docs) group by all),
     kept as (select lang, term, sum(c) as c from counts group by 1, 2 having count(*) >= 30),
-    cells as (select lang, source, term, sum(c) as c from counts join kept using (lang, term) group by all),
+    cells as (select x.lang, x.source, x.term, sum(x.c) as c from counts x join kept using (lang, term) group by all),
     langs as (select lang, count(*) as v, sum(c) as n from kept group by 1),
     groups as (select lang, source, coalesce(v, 0) as v, coalesce((select sum(c) from cells x where x.lang = g.lang and x.source = g.source), 0) as n
         from (select distinct lang, source from docs) g left join langs using (lang)),
