@@ -6,13 +6,15 @@ import codecs
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 from pyspark.sql.types import ArrayType, StructField, StructType, VariantType
 
 from certweave import schema as S
 from certweave.functions import text as X
+from certweave.sources import order as O
 
-# ``_record_seq`` grows in file order inside every file: splits of a file keep
-# their order when files are packed into partitions. It is unique over all files.
+# ``_record_seq`` is the place of a record in its files (see ``order``): it grows from file to
+# file by path and inside a file from byte to byte, is unique, and is the same for any splits and cores.
 _SEQ = "_record_seq"
 _FILE = "_source_file"
 
@@ -27,29 +29,20 @@ STRAY_AMPERSAND = "&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 DECLARED_ENCODING = "^\\W{0,3}<\\?xml[^>]*?encoding\\s*=\\s*[\"']([A-Za-z0-9._\\-]+)"
 
 
-def declared_encodings(parts: DataFrame) -> DataFrame:
-    """(file, encoding) of every file whose XML declaration names an encoding; parts: (file, start, value) of a scan.
-
-    A narrow pass over the scan; a row per file that has a declaration at its beginning.
-    """
+def declared_encoding() -> Column:
+    """By file split, the encoding that the XML declaration names; null without one. An aggregate over the rows of a split, ``_at`` their order."""
     name = F.lower(F.regexp_extract("value", DECLARED_ENCODING, 1))
-    found = parts.where("start = 0").select("file", name.alias("encoding"), F.monotonically_increasing_id().alias("at")).where("encoding <> ''")
-    return found.groupBy("file").agg(F.min_by("encoding", "at").alias("encoding"))
-
-
-def _decoded_by_file(parts: DataFrame) -> DataFrame:
-    """parts with the value of each row decoded by what its own file declares; UTF-8 without a declaration."""
-    declared = declared_encodings(parts)
-    names = sorted(r[0] for r in declared.select("encoding").distinct().collect())  # a row per encoding
-    others = [n for n in names if not _is_utf8(n)]
-    if not others:
-        return parts
-    # a row per file: small beside the texts, which must not be dealt by file
-    rows = parts.join(F.broadcast(declared.where(F.col("encoding").isin(others))), "file", "left")
+    declares = (F.col("start") == 0) & (name != "")
+    return F.min_by(F.when(declares, name), F.when(declares, F.col("_at")))
+
+
+def _decoded_by_file(parts: DataFrame, names: list[str]) -> DataFrame:
+    """parts with the value of each row decoded by ``encoding``, one of the names; UTF-8 where it is null."""
     value = F.col("value")
-    for n in others:
-        value = F.when(F.col("encoding") == n, _decoded(F.col("value"), n)).otherwise(value)
-    return rows.withColumn("value", value)
+    for n in names:
+        if not _is_utf8(n):
+            value = F.when(F.col("encoding") == n, _decoded(F.col("value"), n)).otherwise(value)
+    return parts.withColumn("value", value)
 
 
 def _is_utf8(encoding: str) -> bool:
@@ -92,7 +85,11 @@ def read_elements(spark: SparkSession, path: str | list[str], encoding: str | No
     close = f"</{ELEMENT}>"
     parts = spark.read.option("lineSep", close).text(path)
     parts = parts.select("value", F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    parts = parts.withColumn("value", _decoded(F.col("value"), encoding)) if encoding else _decoded_by_file(parts)
+    found = O.splits(parts, len(close), encoding=F.lit(encoding).cast("string") if encoding else declared_encoding())
+    if not encoding:  # the split at a file's beginning speaks for all of them
+        found = found.withColumn("encoding", F.max(F.when(F.col("start") == 0, F.col("encoding"))).over(W.partitionBy("file")))
+    names = sorted(r[0] for r in found.select("encoding").distinct().where("encoding is not null").collect())  # a row per encoding
+    parts = _decoded_by_file(O.positioned(parts, len(close), found), names)
     plain = F.when(F.col("value").contains("<!"), F.regexp_replace(_without_cdata(F.col("value")), COMMENT, "")).otherwise(F.col("value"))
     pieces = F.regexp_extract_all("plain", F.lit(f"(?s){OPENING}.*?(?={OPENING}|$)"), F.lit(0))
 
@@ -100,9 +97,10 @@ def read_elements(spark: SparkSession, path: str | list[str], encoding: str | No
         empty = F.regexp_extract(x, EMPTY_ELEMENT, 0)
         return F.when(empty != "", empty).when(i == F.size("pieces") - 1, F.concat(x, F.lit(close))).otherwise(x)
 
-    rows = parts.where(F.col("value").rlike(OPENING)).select(plain.alias("plain"), _FILE)
-    rows = rows.withColumn("pieces", pieces).select(F.explode(F.transform("pieces", whole)).alias("value"), _FILE)
-    return rows.select("value", _FILE, F.monotonically_increasing_id().alias(_SEQ))
+    rows = parts.where(F.col("value").rlike(OPENING)).select(plain.alias("plain"), _FILE, O.POSITION)
+    # pieces of a line are fewer than its bytes, so their numbers never reach the next line's position
+    rows = rows.withColumn("pieces", pieces).select(F.posexplode(F.transform("pieces", whole)).alias("_piece", "value"), _FILE, O.POSITION)
+    return rows.select("value", _FILE, (F.col(O.POSITION) + F.col("_piece")).alias(_SEQ))
 
 
 def _unwrap(row: Column) -> list[Column]:
@@ -145,8 +143,9 @@ def element_tags(elements: DataFrame) -> DataFrame:
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text lines (value, _source_file, _record_seq)."""
-    return spark.read.text(path).select(
-        "value", F.col("_metadata.file_name").alias(_FILE), F.monotonically_increasing_id().alias(_SEQ))
+    parts = spark.read.text(path).select(
+        "value", F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    return O.positioned(parts, 1, O.splits(parts, 1)).select("value", _FILE, F.col(O.POSITION).alias(_SEQ))
 
 
 def line_kind(c: Column) -> Column:
