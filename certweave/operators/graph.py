@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from certweave import schema as S
 from certweave.functions import nested as N
 from certweave.functions import text as X
+from certweave.session import scratch_path
 
+HUB_BLOCK = 50_000  # edges of a hub that are dealt out together
+MOST_HUBS = 100_000  # of them are sent to every task, some 10 MB
 NAMESPACE = "urn:accred:v1:"
 
 # Node kinds with the relations a viewer follows from / to them, and label texts.
@@ -176,6 +179,8 @@ def merge_nodes(nodes: DataFrame, order: list[str]) -> DataFrame:
     repeated very often costs no more than any other.
     """
     props = [c for c in nodes.columns if c not in ("uri", *order)]
+    if not props:
+        return nodes.select("uri").distinct()
     when = F.struct(*order)
     return nodes.groupBy("uri").agg(*[F.max_by(F.col(p), F.when(F.col(p).isNotNull(), when)).alias(p) for p in props])
 
@@ -337,29 +342,49 @@ def facet_options(nodes: DataFrame, field: str, region: str = "", level: str = "
     return values if most is None else values.limit(most)
 
 
-def expand_nodes(nodes: DataFrame, edge_rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The nodes in ``wanted`` (column ``uri``) and their neighbours: (uri, direction, predicate, edge_label, neighbor, kind, label).
+def hubs(edge_rows: DataFrame, block: int = HUB_BLOCK) -> DataFrame:
+    """(uri, blocks) of the nodes that more than ``block`` edges end at; written, as it is read several times. One row per ``block`` edge ends at most."""
+    ends = edge_rows.select(F.explode(F.array("src", "dst")).alias("uri")).groupBy("uri").agg(F.count(F.lit(1)).alias("n"))
+    found = ends.where(F.col("n") > block).select("uri", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    path = scratch_path(edge_rows.sparkSession, "hubs")
+    found.write.parquet(path)
+    found = edge_rows.sparkSession.read.schema(found.schema).parquet(path)
+    return F.broadcast(found) if found.count() <= MOST_HUBS else found
 
-    The node itself has direction ``self`` and no predicate. Only the relations listed for a node's kind are followed. A hub such as a
-    region joins as the many side and is split by AQE when it is large.
+
+def _salted(rows: DataFrame, key: str, spread_by: str, side: DataFrame, hub_rows: DataFrame) -> DataFrame:
+    """rows joined with ``side`` (uri, ..) on ``key``: a hub's rows are cut into blocks, and its row of the side stands in each of them."""
+    blocks = F.coalesce("blocks", F.lit(1))
+    cut = rows.join(hub_rows.withColumnRenamed("uri", key), key, "left").withColumn("_block", F.pmod(F.xxhash64(spread_by), blocks).cast("int")).drop("blocks")
+    copies = side.join(hub_rows, "uri", "left").withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("blocks")
+    return cut.join(copies.withColumnRenamed("uri", key), [key, "_block"]).drop("_block")
+
+
+def expand_nodes(nodes: DataFrame, edge_rows: DataFrame, wanted: DataFrame | None = None, block: int = HUB_BLOCK) -> DataFrame:
+    """The nodes in ``wanted`` (column ``uri``; all without it) and their neighbours: (uri, direction, predicate, edge_label, neighbor, kind, label).
+
+    The node itself has direction ``self`` and no predicate. Only the relations listed for a node's kind are
+    followed. nodes and edge_rows are stored tables, read several times. Edges of a hub, such as a region, are dealt
+    out in blocks of about ``block`` rows, so no task gets them all.
     """
-    base = wanted.select("uri").distinct().join(nodes.select("uri", "kind", "label"), "uri")
-    start = base.select("uri", "kind")
+    nodes = nodes.select("uri", "kind", "label")
+    base = nodes if wanted is None else nodes.join(wanted.select("uri").distinct(), "uri", "left_semi")
+    hub_rows = hubs(edge_rows, block)
+    relations = [(kind, p, "out", "src", "dst") for kind, ps in OUTGOING.items() for p in ps] + [(kind, p, "in", "dst", "src") for kind, ps in INCOMING.items() for p in ps]
 
-    def follow(topology: dict[str, list[str]], own: str, other: str, direction: str) -> DataFrame:
+    def follow(direction: str, own: str, other: str) -> DataFrame:
         allowed = F.lit(False)
-        for kind, predicates in topology.items():
-            if predicates:
-                allowed = allowed | ((F.col("kind") == kind) & F.col("predicate").isin(predicates))
-        return (
-            edge_rows.join(start.withColumnRenamed("uri", own), own).where(allowed)
-            .select(F.col(own).alias("uri"), F.lit(direction).alias("direction"), "predicate", F.col(other).alias("neighbor"))
-        )
-
-    steps = follow(OUTGOING, "src", "dst", "out").unionByName(follow(INCOMING, "dst", "src", "in"))
+        for kind, predicate, to, *_ in relations:
+            if to == direction:
+                allowed = allowed | ((F.col("_kind") == kind) & (F.col("predicate") == predicate))
+        start = base.select("uri", F.col("kind").alias("_kind"))
+        return _salted(edge_rows, own, other, start, hub_rows).where(allowed).select(
+            F.col(own).alias("uri"), F.lit(direction).alias("direction"), "predicate", F.col(other).alias("neighbor"))
+
+    steps = follow("out", "src", "dst").unionByName(follow("in", "dst", "src"))
     labels = F.create_map(*[F.lit(x) for kv in EDGE_LABELS.items() for x in kv])
-    around = steps.join(nodes.select(F.col("uri").alias("neighbor"), "kind", "label"), "neighbor").select(
-        "uri", "direction", "predicate", F.try_element_at(labels, F.col("predicate")).alias("edge_label"), "neighbor", "kind", "label")
+    around = _salted(steps.withColumnRenamed("uri", "_own"), "neighbor", "_own", nodes, hub_rows).select(
+        F.col("_own").alias("uri"), "direction", "predicate", F.try_element_at(labels, F.col("predicate")).alias("edge_label"), "neighbor", "kind", "label")
     none = F.lit(None).cast("string")
     own = base.select("uri", F.lit("self").alias("direction"), none.alias("predicate"), none.alias("edge_label"), F.col("uri").alias("neighbor"), "kind", "label")
     return around.unionByName(own)

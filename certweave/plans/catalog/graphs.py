@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from certweave import schema as S
 from certweave.functions.nested import settled
 from certweave.operators import graph as G
-from certweave.operators import projection, repair
+from certweave.operators import graph_store as G_store
+from certweave.operators import projection, repair, search_index
 from certweave.plans import register_view as V
 from certweave.plans.catalog.global_pass import ORACLES as PROJECTED
 from certweave.plans.catalog.sqltext import blank, nb
+from certweave.session import scratch_path
 
 
 def _records(spark, sf):
@@ -92,11 +94,43 @@ def facet_control_organ(spark, sf):
 
 
 def expand_node(spark, sf):
-    """Regions, levels and every node with a seven in its label: nodes of all kinds, with relations in both directions."""
+    """Every node with its neighbours, from stored node and edge tables."""
     records = V.stored_records(spark, sf)
-    nodes = G.labelled_nodes(records)
-    start = nodes.where("kind in ('Region', 'EducationalLevel') or label like '%7%'")
-    return G.expand_nodes(nodes, G.edges(records), start)
+    path = scratch_path(spark, "graph")
+    G.labelled_nodes(records).write.parquet(f"{path}/nodes")
+    G.edges(records).write.parquet(f"{path}/edges")
+    return G.expand_nodes(spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges"))
+
+
+def import_snapshots(spark, sf):
+    """Two overlapping parts of the records imported one after the other, and the second once more: the tables of one import of all."""
+    records = V.stored_records(spark, sf)
+    path = scratch_path(spark, "store")
+    early, late = records.where("_record_seq % 30000 < 20000"), records.where("_record_seq % 30000 >= 10000")
+    for part in (early, late, late):
+        G_store.import_snapshot(spark, path, part)
+    tables = G_store.read_store(spark, path)
+    out = None
+    for name, table in tables.items():
+        values = [c for c in table.columns if c not in ("uri", "predicate", "src", "dst")]
+        key = F.concat_ws("|", "predicate", "src", "dst") if name == G_store.EDGES else F.col("uri")
+        part = table.select(F.lit(name).alias("table_name"), key.alias("key"), F.concat_ws("|", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in sorted(values)]).alias("found"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# texts of 1 to 20 characters, some in the middle of a word, some in no name, one a whole number
+SEARCHED = ["ш", "№ ", "«", "шко", "школа", "лицей", "ое бюджетн", "AUTOMOBILE", "university", "ниверситет", "государственный унив", "Customer#00000001", "zzz", "1026700630615", "10267006306", "а", "ц", "МБОУ «Школа № 7», филиал"]
+
+
+def search_by_postings(spark, sf):
+    path = scratch_path(spark, "search")
+    search_index.build(_search_nodes(spark, sf), path)
+    out = None
+    for q in SEARCHED:
+        hits = search_index.search(spark, path, q, limit=None).select(F.lit(q).alias("q"), "uri")
+        out = hits if out is None else out.unionByName(hits)
+    return out
 
 
 def node_label(spark, sf):
@@ -141,7 +175,7 @@ def path_supplements_by_inn(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     nodes_certificate, nodes_supplement, nodes_program, nodes_level, nodes_region, nodes_decision, nodes_org, merge_nodes, edges_counts,
-    graph_filter_fields, search_certificates, facet_region, facet_level, facet_control_organ, expand_node, node_label, node_label_programs,
+    graph_filter_fields, search_certificates, facet_region, facet_level, facet_control_organ, expand_node, import_snapshots, search_by_postings, node_label, node_label_programs,
     edges_without_node, list_regions,
     list_levels, path_certificates_in_region, path_levels_offered, path_supplements_by_inn)}
 QUERIES |= {f"edges_{p}": _edges(p) for p in G.PREDICATES}
@@ -209,8 +243,13 @@ _FOUND = _SEARCH + ", m as (" + _merged("n", ["EduOrgFullName", "EduOrgOGRN", "E
 _LABELS = "case predicate " + " ".join(f"when '{k}' then '{v}'" for k, v in G.EDGE_LABELS.items()) + " end"
 
 
-def _allowed(topology) -> str:
-    return " or ".join(f"(a.kind = '{kind}' and e.predicate in ({', '.join(repr(p) for p in ps)}))" for kind, ps in topology.items() if ps)
+_RELATIONS = ", ".join(f"('{kind}', '{p}', '{to}')" for to, topology in (("out", G.OUTGOING), ("in", G.INCOMING)) for kind, ps in topology.items() for p in ps)
+_ONCE = _VIEWS.replace("\ned as (", "\ned as materialized (").replace("\nlabels as (", "\nlabels as materialized (")
+
+
+def _stored(name: str, source: str, fields) -> str:
+    text = ", ".join(f"'{f}='||cast({f} as varchar)" for f in sorted(fields))
+    return f"select '{name}' as table_name, uri as key, concat_ws('|', {text}) as found from {source}"
 
 
 ORACLES = {
@@ -229,11 +268,18 @@ ORACLES = {
     "facet_region": _FOUND + "select distinct g_region as option from m where list_contains(string_split(g_edu_levels, '|'), 'Общее образование') and g_control_organ_short = 'Минобр Брянской'",
     "facet_level": _FOUND + "select distinct option from (select unnest(string_split(g_edu_levels, '|')) as option from m where g_region = 'Республика NATION_1') where option <> ''",
     "facet_control_organ": _FOUND + "select distinct g_control_organ_short as option from m where g_region = 'г. NATION_2' and g_control_organ_short is not null",
-    "expand_node": _VIEWS + f""", st as (select * from labels where kind in ('Region', 'EducationalLevel') or label like '%7%'),
-        x as (select a.uri, 'out' as direction, e.predicate, e.dst as neighbor from st a join ed e on e.src = a.uri where {_allowed(G.OUTGOING)}
-          union all select a.uri, 'in', e.predicate, e.src from st a join ed e on e.dst = a.uri where {_allowed(G.INCOMING)})
+    "expand_node": _ONCE + f""", relations(kind, predicate, direction) as (values {_RELATIONS}),
+        a as materialized (select l.uri, r.predicate, r.direction from labels l join relations r using (kind)),
+        x as (select a.uri, 'out' as direction, e.predicate, e.dst as neighbor from ed e join a on a.direction = 'out' and a.predicate = e.predicate and a.uri = e.src
+          union all select a.uri, 'in', e.predicate, e.src from ed e join a on a.direction = 'in' and a.predicate = e.predicate and a.uri = e.dst)
         select x.uri, direction, predicate, {_LABELS} as edge_label, neighbor, l.kind, l.label from x join labels l on l.uri = x.neighbor
-        union all select uri, 'self', null, null, uri, kind, label from st""",
+        union all select uri, 'self', null, null, uri, kind, label from labels""",
+    "import_snapshots": _VIEWS + " union all ".join([
+        _stored("Certificate", "mc", _CF), _stored("Supplement", "ms", _SF), _stored("EducationalProgram", "mp", _PF), _stored("Decision", "md", _DF),
+        _stored("ActualEducationOrganization", "mo", _OF), _stored("EducationalLevel", "nl", ["name"]), _stored("Region", "nr", ["name"]),
+        "select 'edges', predicate||'|'||src||'|'||dst, '' from ed"]),
+    "search_by_postings": _FOUND + f""", wanted as (select unnest([{', '.join(f"'{q}'" for q in SEARCHED)}]) as q)
+        select q, uri from wanted join m on contains(lower(coalesce(EduOrgFullName, '')), lower(q)) or contains(lower(coalesce(g_display_name, '')), lower(q)) or EduOrgOGRN = q or EduOrgINN = q""",
     "node_label_programs": _VIEWS + "select * from labels where kind = 'EducationalProgram'",
     "edges_without_node": _VIEWS + "select predicate, count(*) as n from (select predicate, src as uri from ed union all select predicate, dst from ed) where uri not in (select uri from labels) group by 1",
     "node_label": _VIEWS + "select * from labels",
