@@ -9,6 +9,7 @@ from certweave.operators import audit as A
 from certweave.operators import sampling as P
 from certweave.functions import nested as N
 from certweave.plans import register_view as V
+from certweave.plans.catalog.jsonsql import as_is, record_json
 from certweave.plans.catalog.repairs import seq
 from certweave.plans.catalog.sqltext import DIFFERENT, SAME, blank, digits, label, nb, tok
 from certweave.sources import sinks
@@ -221,9 +222,7 @@ def sample_names(spark, sf):
 
 def write_records(spark, sf):
     """The compact JSON text of every record."""
-    return sinks.json_lines(_R(spark, sf)).select(F.col("_record_seq").alias("k"), F.get_json_object("value", "$.EduOrgINN").alias("inn"),
-                                                 F.get_json_object("value", "$.Supplements[0].Id").alias("first_sup"),
-                                                 F.array_size(F.json_object_keys("value")).alias("n_keys"))
+    return sinks.json_lines(_R(spark, sf)).select(seq(), "value")
 
 
 QUERIES = {f.__name__: f for f in (
@@ -394,5 +393,4 @@ ORACLES = {
     "sample_names": "select name from (select distinct p_name as name from part) t order by md5('3|'||name), name limit 25",
 }
 _KEYS = _score(S.CERTIFICATE_FIELDS, "c.")
-ORACLES["write_records"] = _VIEWS + f"""select c.k, case when not {blank('c.EduOrgINN')} then c.EduOrgINN end as inn, s.Id as first_sup,
-    cast({_KEYS} + cast(has_root as integer) + cast(c.k % 4 > 0 as integer) + cast(c.k % 3 > 0 as integer) as integer) as n_keys from cert c left join (select * from sup where i = 0) s on s.k = c.k"""
+ORACLES["write_records"] = _VIEWS + record_json(as_is) + " select k, value from whole"

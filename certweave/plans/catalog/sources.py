@@ -8,6 +8,7 @@ from certweave import schema as S
 from certweave.operators import audit, clean, filters, relational, repair
 from certweave.plans import register_view as V
 from certweave.plans.catalog.audits import ORACLES as _AUDITED
+from certweave.plans.catalog.jsonsql import as_is, cleaned, record_json
 from certweave.plans.catalog.repairs import seq
 from certweave.plans.catalog.sqltext import blank
 from certweave.session import scratch_path
@@ -15,22 +16,39 @@ from certweave.sources import dims, links, readers, sinks
 
 
 def _xml_text(records):
-    """Records as XML lines of one element each, with one supplement wrapper; enough to read them back."""
-    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), F.coalesce(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("")), F.lit(f"</{name}>"))
-    sup = lambda s: F.concat(F.lit("<Supplement>"), tag("Id", s["Id"]), tag("StatusName", s["StatusName"]),
-                             tag("IsForBranch", s["IsForBranch"].cast("string")), F.lit("</Supplement>"))
-    return records.select(F.concat(
-        F.lit("<Certificate>"), *[tag(f, F.col(f)) for f in ("Id", "StatusName", "RegionName", "IssueDate", "EduOrgINN", "EduOrgOGRN")],
-        tag("IsFederal", F.col("IsFederal").cast("string")), F.lit("<Supplements>"), F.array_join(F.transform("Supplements", sup), ""),
-        F.lit("</Supplements></Certificate>")).alias("value"))
+    """Records as XML, one element a line, with all fields of every level; nulls are empty elements, absent cards and lists have none."""
+    def escaped(c):
+        for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            c = F.replace(c, F.lit(char), F.lit(name))
+        return F.coalesce(c, F.lit(""))
+
+    tag = lambda name, inner: F.concat(F.lit(f"<{name}>"), inner, F.lit(f"</{name}>"))
+    cells = lambda names, of: [tag(n, escaped(of(n).cast("string"))) for n in names]
+    card = lambda c: F.when(c.isNotNull(), tag(S.ORGANIZATION, F.concat(*cells(S.ORGANIZATION_FIELDS, lambda n: c[n])))).otherwise("")
+    each = lambda wrapper, items, build: F.when(F.size(items) > 0, tag(wrapper, F.array_join(F.transform(items, lambda x: tag(S.WRAPPERS[wrapper], build(x))), ""))).otherwise("")
+    programme = lambda p: F.concat(*cells(S.PROGRAM_FIELDS, lambda n: p[n]))
+    sup = lambda s: F.concat(*cells(S.SUPPLEMENT_FIELDS, lambda n: s[n]), card(s[S.ORGANIZATION]), each("EducationalPrograms", s["EducationalPrograms"], programme))
+    decision = lambda d: F.concat(*cells(S.DECISION_FIELDS, lambda n: d[n]))
+    return records.select(tag(readers.ELEMENT, F.concat(
+        *cells(S.CERTIFICATE_FIELDS, F.col), card(F.col(S.ORGANIZATION)), each("Supplements", F.col("Supplements"), sup), each("Decisions", F.col("Decisions"), decision))).alias("value"))
 
 
 def scan_xml(spark, sf):
+    """Whole records through XML: written with every field, read, cleaned; the JSON text of what comes back."""
     path = scratch_path(spark, "xml")
     _xml_text(V.records(spark, sf)).write.text(path)
-    df = clean.clean_records(readers.read_xml(spark, path))
-    return df.select("Id", "StatusName", "IsFederal", "IssueDate", "EduOrgINN", "EduOrgOGRN", F.size("Supplements").alias("supplements"),
-                     F.array_join(F.transform("Supplements", lambda s: F.coalesce(s["StatusName"], F.lit("-"))), "|").alias("statuses"))
+    raw = readers.read_xml(spark, path)
+    stored = scratch_path(spark, "read")
+    clean.clean_records(raw).write.parquet(stored)
+    return sinks.json_lines(spark.read.parquet(stored).select(*[f.name for f in S.record_type().fields])).select("value")
+
+
+def scan_order(spark, sf):
+    """Lines written to files in the order of k, and the places that a scan gives them."""
+    path = scratch_path(spark, "ordered")
+    rows = V.order_rows(spark, sf).select("k", F.expr(f"case when k % 3 = 0 then 'é' || k else {_LINE} end").alias("value"))
+    rows.repartitionByRange("k").sortWithinPartitions("k").select("value").write.text(path)
+    return readers.read_lines(spark, path).select("value", F.col("_record_seq").alias("position"))
 
 
 _LINE = ("case k % 7 when 0 then '' when 1 then '  ' when 2 then '{\"Id\":' when 3 then '[1]' when 4 then 'null' "
@@ -136,25 +154,19 @@ def skip_broken(spark, sf):
 
 
 def omit_empty(spark, sf):
-    """Compact JSON of repaired records: which members are left."""
-    df = repair.mark_branches(V.records(spark, sf))
-    text = sinks.json_lines(df)
-    return text.select(seq(), F.array_join(F.array_sort(F.json_object_keys("value")), "|").alias("keys"))
+    """Compact JSON of records with branch marks: every member that is left, at any depth."""
+    return sinks.json_lines(repair.mark_branches(V.records(spark, sf))).select(seq(), "value")
 
 
 QUERIES = {f.__name__: f for f in (
-    scan_xml, scan_jsonl, line_kinds, limit_input, limit_parsed, merge_inputs, load_override_dim, load_level_dim, extract_links,
+    scan_xml, scan_order, scan_jsonl, line_kinds, limit_input, limit_parsed, merge_inputs, load_override_dim, load_level_dim, extract_links,
     latest_snapshot, write_parquet_tables, write_jdbc_tables, split_by_class, skip_broken, omit_empty)}
 
 _VIEWS = V.oracle_views("cert", "sup", "prog", "dec")
-_CELL = lambda x: f"(case when lower(trim({x})) not in ('', '-', '—', '–', 'н/д', 'нд', 'нет данных', 'null', 'none') then trim({x}) end)"
-_DIG = lambda x: f"(case when regexp_matches(regexp_replace({x}, '[\\s\\-]', '', 'g'), '^[0-9]+$') then regexp_replace({x}, '[\\s\\-]', '', 'g') end)"
-_KEYS = ", ".join([f"case when {f} is not null then '{f}' end" if f in S.BOOL_FIELDS else f"case when not {blank(f)} then '{f}' end" for f in S.CERTIFICATE_FIELDS]
-                  + ["case when has_root then 'ActualEducationOrganization' end", "case when k % 4 > 0 then 'Supplements' end", "case when k % 3 > 0 then 'Decisions' end", "'_derived'"])
 ORACLES = {
-    "scan_xml": _VIEWS + f""", st as (select k, string_agg(coalesce({_CELL('StatusName')}, '-'), '|' order by i) as statuses, cast(count(*) as integer) as supplements from sup group by k)
-        select Id, {_CELL('StatusName')} as StatusName, IsFederal, IssueDate, {_DIG('EduOrgINN')} as EduOrgINN, {_DIG('EduOrgOGRN')} as EduOrgOGRN, coalesce(supplements, 0) as supplements,
-        coalesce(statuses, '') as statuses from cert left join st using (k)""",
+    "scan_xml": _VIEWS + record_json(cleaned) + " select value from whole",
+    "scan_order": V.oracle_views() + f""", lines as (select k, case when k % 3 = 0 then 'é' || k else {_LINE} end as value from base)
+        select value, cast(coalesce(sum(strlen(value) + 1) over (order by k rows between unbounded preceding and 1 preceding), 0) as bigint) as position from lines""",
     "scan_jsonl": V.oracle_views() + " select 'c'||k as Id, true as IsFederal, seg as RegNumber, cast(0 as integer) as supplements from base where k % 7 > 4",
     "line_kinds": V.oracle_views() + " select case when k % 7 < 2 then 'blank' when k % 7 = 2 then 'bad_json' when k % 7 < 5 then 'not_object' else 'object' end as kind, count(*) as n from base group by 1",
     "limit_input": V.oracle_views() + f" select k, {_LINE} as value from base where k % 7 > 1 order by k limit 50",
@@ -180,6 +192,7 @@ ORACLES = {
         good as (select *, row_number() over (partition by Id order by k) as rn from cert where Id is not null and k not in (select k from bad))
         select Id as certificate_id, cast(IsFederal as integer) as is_federal, IssueDate as issue_date from good where rn = 1""",
     "skip_broken": V.oracle_views() + " select k % 10 = 3 as broken, count(*) as n from base group by 1",
-    "omit_empty": _VIEWS + f", t as (select k, unnest([{_KEYS}]) as key from cert) select k, string_agg(key, '|' order by key) as keys from t where key is not null group by k",
+    "omit_empty": _VIEWS + """, marked as (select s.*, coalesce(s.IsForBranch, false) or (c.r_Id is not null and s.has_card and s.a_Id is distinct from c.r_Id) as is_branch from sup s join cert c using (k))"""
+        + record_json(as_is, branches=True) + " select k, value from whole",
 }
 ORACLES["split_by_class"] = f"select certificate_class, count(*) as n from ({_AUDITED['classify_certificates']}) t group by 1"
