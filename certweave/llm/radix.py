@@ -33,8 +33,9 @@ def _split(rows: DataFrame, width: int) -> DataFrame:
     cut = rows.select("group", F.substring("rest", 1, width).alias("block"), "doc_id", "sha", F.expr(f"substring(rest, {width + 1})").alias("rest"))
     many = cut.groupBy("group", "block").agg(F.count("*").alias("n")).where("n > 1")
     many = stored(many.select("group", "block", F.monotonically_increasing_id().alias("next")), "radix-groups")
-    # the groups' side is the smaller one; a group of a third of all rows is split by the adaptive join, as nothing above needs its rows together
-    parted = cut.join(many, ["group", "block"], "left")
+    # always by shuffle, so that the need grows in proportion; a group of a third of all rows is split by the adaptive
+    # join, as nothing above needs its rows together
+    parted = cut.join(many.hint("merge"), ["group", "block"], "left")
     return stored(parted.select(F.col("next").alias("group"), F.monotonically_increasing_id().alias("row"), "doc_id", "sha",
                                 F.when(F.col("next").isNotNull(), F.col("rest")).alias("rest")), "radix-rows")
 
