@@ -26,7 +26,7 @@ from .common import numbered, ship, stored
 
 SIDE, LEAF = 256, 16
 LEAST_DOCS, ADDED, UNIT, TOP = 30, 5, 1_000_000_000, 50
-HELD = 200_000  # terms a task counts before it hands on what it has
+HELD = 400_000  # terms a task counts before it hands on what it has
 # A term is a run of ASCII letters and code points from U+0080 on; only A-Z are lower-cased.
 FOLDED = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -44,10 +44,12 @@ def term_counts(docs: DataFrame) -> DataFrame:
         total, once, held = {}, {}, 0
 
         def handed_on():
-            rows = [(lang, source, t, n, once[lang, source][t]) for (lang, source), c in total.items() for t, n in c.items()]
-            for at in range(0, len(rows), 20_000):
-                cols = list(zip(*rows[at:at + 20_000]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()))], names)
+            for (lang, source), c in total.items():
+                found, n, docs_ = list(c), list(c.values()), list(map(once[lang, source].__getitem__, c))
+                for at in range(0, len(found), 50_000):
+                    part = slice(at, at + 50_000)
+                    yield pa.RecordBatch.from_arrays([*(pa.repeat(pa.scalar(x, pa.string()), len(found[part])) for x in (lang, source)),
+                                                      pa.array(found[part], pa.binary()), pa.array(n[part], pa.int64()), pa.array(docs_[part], pa.int64())], names)
 
         for batch in batches:
             for lang, source, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
@@ -131,17 +133,10 @@ def corrections(a: Tree, b: Tree, same: bool) -> np.ndarray:
     return out.transpose(0, 2, 1, 3).reshape(n * leaf, n * leaf)
 
 
-def _tree(cells, base: np.ndarray) -> Tree:
-    flat = np.array([(c["row"], c["column"], c["p"]) for c in cells or ()], np.int64).reshape(-1, 3)
-    return Tree(flat[:, 0], flat[:, 1], flat[:, 2], base)
-
-
-def _base(rows) -> tuple[np.ndarray, int]:
-    """The shares of a block's groups in order, padded, and how many there are."""
-    out = np.zeros(SIDE, np.int64)
-    for r in rows:
-        out[r["row"]] = r["p"]
-    return out, len(rows)
+def _fields(structs, at: int, *names: str) -> list[np.ndarray]:
+    """The named fields of the structs that list column ``structs`` has in row ``at``; none for null."""
+    values = structs[at].values
+    return [np.zeros(0, np.int64) if values is None else values.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names]
 
 
 def _walk(batches):
@@ -153,22 +148,29 @@ def _walk(batches):
 
     names = ["lang", "a", "b", "value"]
     for batch in batches:
-        for r in (x for at in range(batch.num_rows) for x in batch.slice(at, 1).to_pylist()):
-            (base_a, n_a), (base_b, n_b) = _base(r["low_groups"]), _base(r["high_groups"])
-            same = r["low"] == r["high"]
-            if r["tile"] is None:
-                value = r["kinds"] * np.abs(base_a[:, None] - base_b[None])
+        lang, low, high, tile, kinds = (batch.column(c).to_pylist() for c in ("lang", "low", "high", "tile", "kinds"))
+        for at in range(batch.num_rows):
+            same = low[at] == high[at]
+            base, count, trees = [], [], []
+            for side in ("low", "high"):
+                row, p = _fields(batch.column(f"{side}_groups"), at, "row", "p")
+                padded = np.zeros(SIDE, np.int64)
+                padded[row] = p
+                base.append(padded)
+                count.append(len(row))
+            if tile[at] is None:
+                value = kinds[at] * np.abs(base[0][:, None] - base[1][None])
                 emit = np.ones_like(value, bool)
             else:
-                a = _tree(r["low_cells"], base_a)
-                value = corrections(a, a if same else _tree(r["high_cells"], base_b), same)
+                trees = [Tree(*_fields(batch.column(f"{side}_cells"), at, "row", "column", "p"), b) for side, b in zip(("low", "high"), base)]
+                value = corrections(trees[0], trees[0] if same else trees[1], same)
                 emit = value != 0
-            emit = emit[:n_a, :n_b]
+            emit = emit[:count[0], :count[1]]
             if same:
                 emit = np.triu(emit, 1)
             x, y = np.nonzero(emit)
             if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array([r["lang"]] * len(x), pa.string()), pa.array(SIDE * r["low"] + x), pa.array(SIDE * r["high"] + y), pa.array(value[x, y])], names)
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang[at], pa.string()), len(x)), pa.array(SIDE * low[at] + x), pa.array(SIDE * high[at] + y), pa.array(value[x, y])], names)
 
 
 def pair_distances(groups: DataFrame, cells: DataFrame) -> DataFrame:
