@@ -279,7 +279,7 @@ ORACLES = {
         _stored("ActualEducationOrganization", "mo", _OF), _stored("EducationalLevel", "nl", ["name"]), _stored("Region", "nr", ["name"]),
         "select 'edges', predicate||'|'||src||'|'||dst, '' from ed"]),
     "search_by_postings": _FOUND + f""", wanted as (select unnest([{', '.join(f"'{q}'" for q in SEARCHED)}]) as q)
-        select q, uri from wanted join m on contains(lower(coalesce(EduOrgFullName, '')), lower(q)) or contains(lower(coalesce(g_display_name, '')), lower(q)) or EduOrgOGRN = q or EduOrgINN = q""",
+        select q, uri from wanted join m on contains(lower(coalesce(EduOrgFullName, '')), lower(trim(q))) or contains(lower(coalesce(g_display_name, '')), lower(trim(q))) or EduOrgOGRN = trim(q) or EduOrgINN = trim(q)""",
     "node_label_programs": _VIEWS + "select * from labels where kind = 'EducationalProgram'",
     "edges_without_node": _VIEWS + "select predicate, count(*) as n from (select predicate, src as uri from ed union all select predicate, dst from ed) where uri not in (select uri from labels) group by 1",
     "node_label": _VIEWS + "select * from labels",
