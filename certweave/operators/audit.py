@@ -438,40 +438,65 @@ def placeholder_totals(hits: DataFrame, min_count: int = 1) -> DataFrame:
         F.min_by("literal", F.struct(-F.col("n"), F.col("literal"))).alias("example"))
 
 
-def scan_json_placeholders(lines: DataFrame, min_count: int = 1) -> DataFrame:
-    """Like :func:`scan_placeholders` for JSON text of unknown shape (column ``value``).
+# Tokens of JSON text whose escaped quotes and backslashes are marked, so that a quote ends a text.
+_MARK = "\uE000"
+_MARKED = [(_MARK, _MARK + "e"), ("\\\\", _MARK + "b"), ('\\"', _MARK + "q")]
+_TOKEN = r'"[^"]*+"|[\[\]{},:]|[^\s\[\]{},:"]++'
+
+
+def _marked(json: Column) -> Column:
+    for text, mark in _MARKED:
+        json = F.replace(json, F.lit(text), F.lit(mark))
+    return json
+
+
+def _json_text(token: Column) -> Column:
+    """The text that a text token stands for."""
+    plain = token
+    for text, mark in reversed(_MARKED):
+        plain = F.replace(plain, F.lit(mark), F.lit(text))
+    inside = F.substring(token, 2, 1 << 30)
+    odd = token.contains("\\") | token.contains(_MARK)
+    return F.when(odd, F.try_variant_get(F.try_parse_json(plain), "$", "string")).otherwise(F.substr(inside, F.lit(1), F.length(inside) - 1))
 
-    Nested values are taken apart level by level until no line has a deeper one.
+
+def _json_walk(json: Column) -> Column:
+    """(cls, path, literal) of every placeholder in a JSON object, in one pass over its tokens.
+
+    The state is the open brackets, each with the path of its value, and the last key. Keys that begin with an
+    underscore hide what they hold.
     """
-    rows = lines.select(F.try_parse_json("value").alias("v"), F.lit("").alias("path")).where(F.expr("schema_of_variant(v) like 'OBJECT%'"))
-    found, level, deepest = None, 0, _json_depth(lines)
-    while level <= deepest:
-        kind = F.expr("schema_of_variant(v)")
-        text = F.expr("try_variant_get(v, '$', 'string')")
-        here = rows.where(kind == "STRING").select(X.classify_placeholder(text).alias("cls"), "path", text.alias("literal"))
-        nested = rows.where(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
-        found = here if found is None else found.unionByName(here)
-        rows, level = _explode_variant(nested), level + 1
-    return placeholder_totals(found.where("cls is not null"), min_count)
-
-
-def _json_depth(lines: DataFrame) -> int:
-    """How many brackets are open at once in any line at most, those inside texts left out."""
-    bare = F.regexp_replace(F.regexp_replace("value", r"\\.", ""), r'"[^"]*"', "")
-    steps = F.regexp_extract_all(bare, F.lit(r"[\[{\]}]"), F.lit(0))
-    deep = F.aggregate(steps, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda a, x: F.struct(
-        (a["now"] + F.when(x.isin("[", "{"), 1).otherwise(-1)).alias("now"),
-        F.greatest(a["most"], a["now"] + F.when(x.isin("[", "{"), 1).otherwise(-1)).alias("most")), lambda a: a["most"])
-    return lines.agg(F.max(deep)).first()[0] or 0
-
-
-def _explode_variant(rows: DataFrame) -> DataFrame:
-    """Members of objects and items of arrays, one row each, with the path extended."""
-    inner = rows.select("path", F.expr("schema_of_variant(v) like 'ARRAY%'").alias("is_list"), "v")
-    out = rows.sparkSession.sql(
-        "select t.path || case when t.is_list then '/*' else '/' || e.key end as path, e.value as v "
-        "from {rows} t, lateral variant_explode(t.v) e where t.is_list or e.key not like '\\\\_%'", rows=inner)
-    return out.select("v", "path")
+    frame = "array<struct<path:string,is_list:boolean,hidden:boolean>>"
+    nothing = "array<struct<cls:string,path:string,literal:string>>"
+    start = F.struct(F.array().cast(frame).alias("open"), F.lit("").alias("key"), F.lit(False).alias("wants_key"), F.array().cast(nothing).alias("found"))
+
+    def step(state: Column, token: Column) -> Column:
+        top = F.element_at(state["open"], -1)
+        depth = F.size(state["open"])
+        hides = F.when(depth == 0, False).otherwise(top["hidden"] | (~top["is_list"] & state["key"].startswith("_")))
+        path = F.when(depth == 0, "").when(top["is_list"], F.concat(top["path"], F.lit("/*"))).otherwise(F.concat(top["path"], F.lit("/"), state["key"]))
+        opens, closes, comma = token.isin("{", "["), token.isin("}", "]"), token == ","
+        text = token.startswith('"')
+        is_key = text & state["wants_key"]
+        inner = F.struct(path.alias("path"), (token == "[").alias("is_list"), hides.alias("hidden"))
+        pushed = F.when(opens, F.concat(state["open"], F.array(inner))).when(closes, F.slice(state["open"], 1, F.greatest(depth - 1, F.lit(0)))).otherwise(state["open"])
+        value = _json_text(token)
+        cls = F.when(text & ~is_key & ~hides, X.classify_placeholder(value))
+        return F.struct(
+            pushed.cast(frame).alias("open"), F.when(is_key, value).otherwise(state["key"]).alias("key"),
+            F.when(token == "{", True).when(comma, ~top["is_list"]).when(text, False).otherwise(state["wants_key"]).alias("wants_key"),
+            F.when(cls.isNotNull(), F.concat(state["found"], F.array(F.struct(cls.alias("cls"), path.alias("path"), value.alias("literal"))))).otherwise(state["found"]).cast(nothing).alias("found"))
+
+    tokens = F.regexp_extract_all(_marked(json), F.lit(_TOKEN), F.lit(0))
+    return F.aggregate(tokens, start.cast(f"struct<open:{frame},key:string,wants_key:boolean,found:{nothing}>"), lambda a, t: step(a, t).cast(
+        f"struct<open:{frame},key:string,wants_key:boolean,found:{nothing}>"), lambda a: a["found"])
+
+
+def scan_json_placeholders(lines: DataFrame, min_count: int = 1) -> DataFrame:
+    """Like :func:`scan_placeholders` for JSON text of unknown shape (column ``value``) and any depth; one pass, one plan."""
+    objects = lines.where(F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False)))
+    rows = objects.select(F.explode(_json_walk(F.col("value"))).alias("x")).select("x.cls", "x.path", "x.literal")
+    return placeholder_totals(rows, min_count)
 
 
 def compare_card_ids(records: DataFrame) -> DataFrame:

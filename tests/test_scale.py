@@ -107,6 +107,16 @@ def test_json_of_any_depth(spark):
     assert full == {("dash_only", "/a/b/c"): 1, ("only_zeros", "/l/*"): 1, ("empty_marker", "/l/*/*"): 1, ("dash_only", "/e"): 1, ("dash_only", "/f" * 9): 1}
 
 
+def test_placeholders_thirty_levels_down(spark):
+    """The plan is the same for any depth; texts with quotes, brackets and escapes are texts."""
+    deep = '{"k":[' * 30 + '"-"' + "]}" * 30
+    odd = r'{"a\"b":"-","c":"x\"},[\\","d":["\u002d",{"_h":{"z":"-"},"z":"000"}],"e":"' + "\ue000" + r'q","f\\":"н/д","g":["[","-"]}'
+    lines = spark.createDataFrame([(deep,), (odd,), ("[1]",), ("{",), (None,), ('{"l":"' + "x" * 100_000 + '","m":"-"}',), ('{"n":"' + r"\n" * 20_000 + '","o":"—"}',)], "value string")
+    full = {(r.cls, r.path): r.total for r in audit.scan_json_placeholders(lines).collect()}
+    assert full == {("dash_only", "/k/*" * 30): 1, ("dash_only", '/a"b'): 1, ("dash_only", "/d/*"): 1, ("only_zeros", "/d/*/z"): 1,
+                    ("empty_marker", "/f\\"): 1, ("dash_only", "/g/*"): 1, ("dash_only", "/m"): 1, ("dash_only", "/o"): 1}
+
+
 def test_odd_json_items_cost_themselves_only(spark):
     line = '{"Id":"1","Supplements":["x",{"Id":"s","EducationalPrograms":[null,5,{"Id":"p","ProgrammCode":"380301"}]},null],"Decisions":[7,{"Id":"d"}]}'
     records = readers.parse_records(spark.createDataFrame([(line, 1)], "value string, _record_seq long"))
