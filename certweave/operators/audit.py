@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from certweave import schema as S
 from certweave.functions import nested as N
 from certweave.functions import text as X
+from certweave.sources import readers
 from certweave.operators.filters import OUTSIDE_REGION
 
 # Fixed values of the register.
@@ -535,6 +536,12 @@ def unknown_tags(keys: DataFrame) -> DataFrame:
     return keys.select("tag").distinct().join(known, "tag", "left_anti")
 
 
+def unknown_xml_tags(elements: DataFrame) -> DataFrame:
+    """(tag, path): tag names of XML elements outside the schema, each once, with the first place it stands at."""
+    rows = readers.element_paths(elements, S.SCHEMA_TAGS)
+    return rows.groupBy("tag").agg(F.min_by("path", F.struct("_record_seq", "place")).alias("path"))
+
+
 def json_keys(lines: DataFrame) -> DataFrame:
     """Top-level key names of JSON lines (column ``value``) as ``tag`` rows."""
     return lines.select(F.explode(F.json_object_keys("value")).alias("tag"))

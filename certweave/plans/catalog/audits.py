@@ -12,7 +12,8 @@ from certweave.plans import register_view as V
 from certweave.plans.catalog.jsonsql import as_is, record_json
 from certweave.plans.catalog.repairs import seq
 from certweave.plans.catalog.sqltext import DIFFERENT, SAME, blank, digits, label, nb, tok
-from certweave.sources import sinks
+from certweave.session import scratch_path
+from certweave.sources import readers, sinks
 
 _R = V.records
 
@@ -174,6 +175,17 @@ def unknown_tags(spark, sf):
     return A.unknown_tags(A.json_keys(lines))
 
 
+def unknown_xml_tags(spark, sf):
+    """Elements written in the order of k, some with tags that the schema lacks, at several levels."""
+    path = scratch_path(spark, "tags")
+    rows = V.order_rows(spark, sf).repartitionByRange("k").sortWithinPartitions("k")
+    rows.select(F.expr(_TAGGED).alias("value")).write.text(path)
+    return A.unknown_xml_tags(readers.read_elements(spark, path))
+
+
+_TAGGED = ("'<Certificate><Id>c' || k || '</Id><Supplements><Supplement><Id/>' || case when k % 7 = 2 then '<x:Odd' || (k % 5) || ' a=\"1\">1</x:Odd' || (k % 5) || '>' else '' end || "
+           "'<EducationalPrograms><EducationalProgram>' || case when k % 11 = 3 then '<Deep/>' else '<Id>p</Id>' end || '</EducationalProgram></EducationalPrograms></Supplement></Supplements>' || "
+           "case when k % 13 = 4 then '<Odd1/><Last><Id>1</Id><Inner/></Last>' else '' end || '</Certificate>'")
 _CONFORM = ("case k % 10 when 0 then '{\"Id\":\"c' || k || '\",\"IsFederal\":true,\"Supplements\":[{\"Id\":\"s\"}]}' when 1 then '[1,2]' when 2 then '{\"IsFederal\":true}' "
             "when 3 then '{\"Id\":\"c\",\"IsFederal\":\"да\"}' when 4 then '{\"Id\":\"c\",\"Supplements\":[1]}' when 5 then 'not json' "
             "when 8 then '{\"Id\":\"c\",\"Supplements\":[{\"Id\":7,\"IsForBranch\":true,\"EducationalPrograms\":[{\"Id\":\"p\",\"ProgrammCode\":[1]},3],\"ActualEducationOrganization\":{\"INN\":5}},{\"Id\":8}]}' "
@@ -230,7 +242,7 @@ QUERIES = {f.__name__: f for f in (
     identity_samples, identity_borrowable, identity_issue_ids, audit_branches, branch_hits, branch_flags, branch_inn_gap,
     branch_inn_gap_without_filial, audit_inn_gap, inn_gap_flags, level_histogram, school_subtotal, classify_certificates,
     empty_level_programs, level_vocab, programs_dictionary, programs_dictionary_qualified, code_sort_key, dictionary_invariant,
-    scan_placeholders, scan_json_placeholders, compare_card_ids, differing_card_ids, differing_card_samples, unknown_tags, schema_conformance, sample_n,
+    scan_placeholders, scan_json_placeholders, compare_card_ids, differing_card_ids, differing_card_samples, unknown_tags, unknown_xml_tags, schema_conformance, sample_n,
     sample_sizes, sample_per_level, sample_per_level_uniform, fill_score, first_program_of_level, sample_names, write_records)}
 
 _VIEWS = V.oracle_views("cert", "sup", "prog", "dec")
@@ -394,3 +406,8 @@ ORACLES = {
 }
 _KEYS = _score(S.CERTIFICATE_FIELDS, "c.")
 ORACLES["write_records"] = _VIEWS + record_json(as_is) + " select k, value from whole"
+
+ORACLES["unknown_xml_tags"] = V.oracle_views() + """, t as (select k, 1 as place, 'Odd'||(k % 5) as tag, 'Certificate/Supplements/Supplement/Odd'||(k % 5) as path from base where k % 7 = 2
+    union all select k, 2, 'Deep', 'Certificate/Supplements/Supplement/EducationalPrograms/EducationalProgram/Deep' from base where k % 11 = 3
+    union all select k, 3, unnest(['Odd1', 'Last', 'Inner']), unnest(['Certificate/Odd1', 'Certificate/Last', 'Certificate/Last/Inner']) from base where k % 13 = 4)
+    select tag, arg_min(path, k * 10 + place) as path from t group by tag"""

@@ -15,6 +15,8 @@ from pyspark.sql.window import Window as W
 from certweave.session import scratch_path
 
 POSITION = "_position"
+MOST_SORTED = 100_000  # rows that every task may hold as its own first ones
+CELLS = 4096
 MOST_BROADCAST = 1_000_000  # rows of about 100 bytes, one per split
 
 
@@ -74,3 +76,39 @@ def positioned(parts: DataFrame, separator: int, offsets: DataFrame) -> DataFram
     # a split that the narrow pass has not seen: files changed between both reads
     offset = F.coalesce("offset", F.raise_error(F.lit("files changed while they were read")).cast("long"))
     return rows.withColumn(POSITION, offset + F.col("_before")).drop("_before", "offset", "_file", "_start")
+
+
+def nth_smallest(values: DataFrame, n: int) -> int | None:
+    """The n-th smallest of the whole numbers in the only column, from 1 on, repeats counted; null if there are fewer.
+
+    The range is cut into cells that are counted, and the cell of the n-th into cells again, until it
+    holds one number. A pass brings ``CELLS`` counts to the driver, never values.
+    """
+    name = values.columns[0]
+    v = F.col(name).cast("decimal(20,0)")
+    low, high, rows = values.agg(F.min(v), F.max(v), F.count(name)).first()
+    if rows < n or n < 1:
+        return None
+    low, high = int(low), int(high)
+    while low < high:
+        width = -(-(high - low + 1) // CELLS)
+        cell = F.call_function("div", v - F.lit(low).cast("decimal(20,0)"), F.lit(width).cast("decimal(20,0)"))
+        counts = values.where((v >= low) & (v <= high)).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in sorted(counts, key=lambda r: r.cell):
+            if n <= r.n:
+                break
+            n -= r.n
+        low, high = low + r.cell * width, min(high, low + (r.cell + 1) * width - 1)
+    return low
+
+
+def first_rows(rows: DataFrame, n: int, key: str, most: int = MOST_SORTED) -> DataFrame:
+    """The n rows with the smallest ``key``, a whole number that no two rows share.
+
+    Up to ``most`` rows every task sorts its own and hands on its first n. A larger n is met by a bound on
+    the key, found by counting: no task gets more rows than it had.
+    """
+    if n <= most:
+        return rows.orderBy(key).limit(n)
+    bound = nth_smallest(rows.select(key), n)
+    return rows if bound is None else rows.where(F.col(key) <= bound)

@@ -141,6 +141,30 @@ def element_tags(elements: DataFrame) -> DataFrame:
     return elements.select(F.explode(names).alias("tag"))
 
 
+def element_paths(elements: DataFrame, known: list[str]) -> DataFrame:
+    """(tag, path, place, _record_seq) of the tags inside the elements whose names are not ``known``; names without their prefixes.
+
+    path: the tags around it and itself, from the record's element down, joined by slashes; place: the
+    number of the tag in its element. One pass over the tags of an element with the open ones as state; a closing tag ends the innermost open
+    one of its name, and what was left open in between.
+    """
+    shape = "struct<open:array<string>,place:int,found:array<struct<tag:string,path:string,place:int>>>"
+    start = F.struct(F.array().cast("array<string>").alias("open"), F.lit(0).alias("place"), F.array().cast("array<struct<tag:string,path:string,place:int>>").alias("found"))
+
+    def step(state: Column, token: Column) -> Column:
+        name = F.regexp_extract(token, r"^</?(?:[^\s/>:]*:)?([^\s/>:]+)", 1)
+        closes, empty = token.startswith("</"), token.endswith("/>")
+        here = F.concat(state["open"], F.array(name))
+        last = F.size(state["open"]) - F.array_position(F.reverse(state["open"]), name).cast("int")  # how many stay open
+        left = F.when(closes, F.when(last < F.size(state["open"]), F.slice(state["open"], 1, last)).otherwise(state["open"])).when(empty, state["open"]).otherwise(here)
+        new = F.struct(name.alias("tag"), F.array_join(here, "/").alias("path"), state["place"].alias("place"))
+        found = F.when(~closes & ~name.isin(known), F.concat(state["found"], F.array(new))).otherwise(state["found"])
+        return F.struct(left.alias("open"), (state["place"] + 1).alias("place"), found.alias("found")).cast(shape)
+
+    tags = F.regexp_extract_all("value", F.lit(r"</?[A-Za-z_][^<>]*>"), F.lit(0))
+    return elements.select(_SEQ, F.explode(F.aggregate(tags, start.cast(shape), step, lambda a: a["found"])).alias("x")).select("x.*", _SEQ)
+
+
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text lines (value, _source_file, _record_seq)."""
     parts = spark.read.text(path).select(
@@ -159,12 +183,12 @@ def line_kind(c: Column) -> Column:
 
 def limit_lines(lines: DataFrame, n: int) -> DataFrame:
     """The first ``n`` non-blank lines, whether they parse or not."""
-    return lines.where(~X.is_blank(F.col("value"))).orderBy(_FILE, _SEQ).limit(n)
+    return O.first_rows(lines.where(~X.is_blank(F.col("value"))), n, _SEQ)
 
 
 def limit_parsed(lines: DataFrame, n: int) -> DataFrame:
     """The first ``n`` lines that are JSON; unreadable ones use up nothing."""
-    return lines.where(line_kind(F.col("value")).isin("object", "not_object")).orderBy(_FILE, _SEQ).limit(n)
+    return O.first_rows(lines.where(line_kind(F.col("value")).isin("object", "not_object")), n, _SEQ)
 
 
 def _record_schema() -> StructType:

@@ -2,7 +2,9 @@
 
 import pytest
 
+from certweave.operators import audit
 from certweave.sources import readers
+from certweave.sources.order import first_rows, nth_smallest
 
 LAYOUTS = [("128m", "4m"), ("37", "1"), ("200", "1"), ("1k", "8k")]
 
@@ -61,3 +63,19 @@ def test_first_lines_are_the_files_first(spark, tmp_path, each_layout):
     (tmp_path / "a.jsonl").write_text("".join(f"{n}\n\n" for n in range(200)))
     for got in each_layout(lambda: [r.value for r in readers.limit_lines(readers.read_lines(spark, str(tmp_path / "a.jsonl")), 30).collect()]):
         assert got == [str(n) for n in range(30)]
+
+
+def test_many_first_rows_by_counting(spark):
+    rows = spark.range(5000).selectExpr("(id * 7919) % 5003 * 1000000007 as at")
+    want = sorted(r.at for r in rows.collect())
+    for n in (1, 2, 4999, 5000):
+        assert nth_smallest(rows, n) == want[n - 1]
+        assert sorted(r.at for r in first_rows(rows, n, "at", most=0).collect()) == want[:n]
+    assert nth_smallest(rows, 5001) is None and first_rows(rows, 6000, "at", most=0).count() == 5000
+    assert nth_smallest(rows.limit(0), 1) is None and nth_smallest(spark.createDataFrame([(-(1 << 63),), ((1 << 63) - 1,), (5,), (5,)], "v long"), 3) == 5
+
+
+def test_unknown_tags_of_elements(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<O><Certificate><Id>1</Id><n:New><Id/><Sub x='1'/></n:New><Open><Id>2</Id></Certificate><Certificate><Sub/><New/></Certificate></O>")
+    got = audit.unknown_xml_tags(readers.read_elements(spark, str(tmp_path / "a.xml")))
+    assert sorted(map(tuple, got.collect())) == [("New", "Certificate/New"), ("Open", "Certificate/Open"), ("Sub", "Certificate/New/Sub")]
