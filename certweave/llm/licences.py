@@ -126,25 +126,45 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _running(values: Column) -> Column:
+    """Sums up to and with each value. Blocks of a root of their number are summed first, so that no long array grows item by item."""
+    def in_order(x: Column) -> Column:
+        return F.aggregate(x, F.array().cast("array<long>"), lambda acc, v: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + v)))
+
+    width = F.greatest(F.ceil(F.sqrt(F.size(values))), F.lit(1)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / width).cast("int")), lambda b: in_order(F.slice(values, b * width + 1, width)))
+    before = lambda sums: in_order(F.transform(sums, lambda x: F.element_at(x, -1)))
+    placed = lambda sums: _let(before(sums), lambda ends: F.flatten(F.transform(
+        sums, lambda x, b: F.transform(x, lambda v: v + F.when(b == 0, F.lit(0)).otherwise(F.get(ends, b - 1))))))
+    return _let(blocks, placed)
+
+
 def _runs(texts: Column, lengths: Column) -> Column:
     """Digests of the runs of two and more lines that begin with a known text's first word and have as many letters; texts: canonical lines, none empty.
 
-    Letters do not depend on where words are split, so a run is found by a sum.
+    Letters do not depend on where words are split, so a run is found by a sum. Sums grow by the
+    letters of the shortest line at least, so a text of n letters can end in so many lines only: the work
+    grows with the lines, not with their square.
     """
-    def ends(e: Column) -> Column:
+    letters = F.transform(texts, lambda t: F.length(F.replace(t, F.lit(" "), F.lit(""))).cast("long"))
+
+    def ends(e: Column, least: Column) -> Column:
         def at(t: Column, i: Column) -> Column:
-            before = F.when(i == 0, F.lit(0)).otherwise(e[i - 1])
-            run = lambda n: F.array_position(e, before + n).cast("int")  # noqa: E731  the place of its last line from 1 on; 0: none
-            of = F.coalesce(F.element_at(lengths, F.substring_index(t, " ", 1)), F.array().cast("array<int>"))
-            found = F.filter(F.transform(of, run), lambda k: k > i + 1)
-            return F.transform(found, lambda k: F.md5(_spelled(F.array_join(F.slice(texts, i + 1, k - i), " "))))
+            before = F.when(i == 0, F.lit(0)).otherwise(F.get(e, i - 1))
+
+            def found(of: Column) -> Column:
+                near = F.slice(e, i + 1, (F.floor(F.array_max(of) / least) + 1).cast("int"))
+                return _let(near, lambda x: F.transform(F.array_intersect(x, F.transform(of, lambda n: before + n)), lambda v: F.array_position(x, v).cast("int")))
+
+            of = F.element_at(lengths, F.substring_index(t, " ", 1))
+            counts = F.when(of.isNotNull(), _let(of, found)).otherwise(F.array().cast("array<int>"))  # of lines in each run
+            return F.transform(F.filter(counts, lambda k: k > 1), lambda k: F.md5(_spelled(F.array_join(F.slice(texts, i + 1, k), " "))))
 
         return F.flatten(F.transform(texts, at))
 
-    sums = F.aggregate(texts, F.array().cast("array<int>"), lambda acc, t: F.concat(
-        acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + F.length(F.replace(t, F.lit(" "), F.lit(""))))))
     begins = F.exists(texts, lambda t: F.element_at(lengths, F.substring_index(t, " ", 1)).isNotNull())
-    return F.when(begins & (F.size(texts) > 1), _let(sums, ends)).otherwise(F.array().cast("array<string>"))
+    runs = _let(letters, lambda n: _let(F.array_min(n), lambda least: _let(_running(n), lambda e: ends(e, least))))
+    return F.when(begins & (F.size(texts) > 1), runs).otherwise(F.array().cast("array<string>"))
 
 
 def scan(docs: DataFrame, known: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -162,8 +182,9 @@ def scan(docs: DataFrame, known: DataFrame, *, doc_id: str = "doc_id", text: str
     parts = F.flatten(F.transform(F.split("text", "\n"), lambda x: F.when(x.rlike(COPYRIGHT_START), F.split(x, SENTENCE_END)).otherwise(F.array(x))))
     # a row per first word of the known texts
     firsts = known.where("first <> ''").groupBy("first").agg(F.sort_array(F.collect_set("letters")).alias("letters")).orderBy("first").collect()
-    lengths = F.from_json(F.lit(json.dumps({r[0]: r[1] for r in firsts})), "map<string,array<int>>")
-    lines = _let(F.filter(F.transform(parts, canonical), lambda t: t != ""), lambda t: F.concat(F.transform(t, F.md5), F.filter(_runs(t, lengths), lambda d: d != canonical_digest(F.col("text")))))
+    lengths = F.from_json(F.lit(json.dumps({r[0]: r[1] for r in firsts})), "map<string,array<bigint>>")
+    runs = lambda t: _let(canonical_digest(F.col("text")), lambda whole: F.filter(_runs(t, lengths), lambda d: d != whole))  # noqa: E731  the whole text is digested once
+    lines = _let(F.filter(F.transform(parts, canonical), lambda t: t != ""), lambda t: F.concat(F.transform(t, F.md5), runs(t)))
     wholes = known.select(F.col("digest").alias("of"), "licence").where(F.col("of") != empty)
     # equal texts find the same: what is found is kept once per text and joined back by the text's own digest
     units = rows.select(F.monotonically_increasing_id().alias("row"), F.md5("text").alias("raw"), lines.alias("lines")).select("row", "raw", F.explode("lines").alias("of"))
