@@ -1,14 +1,16 @@
 """Join of documents whose word 5-grams have a Jaccard similarity of at least 0.8.
 
-Candidates come from banded MinHash LSH in the place of a MinHash LSH forest: each of ``trees``
-bands labels a document with a row of minima, and documents with the same row in some band meet.
-Nothing is sorted and no prefix is shortened on data: the length of a row is worked out
-from the threshold and the target probability alone, the longest at which a pair at the
-threshold meets with at least that probability. Candidates are verified on their whole shingle sets.
+Candidates come from a MinHash LSH forest. Each tree labels a document with a row of minima; the labels of a
+tree are a prefix trie, held as tables of its nodes, one level per prefix length, each summed from the level
+below. A document starts with its longest prefix in every tree and shortens it tree by tree, those
+first where the shorter prefix meets the fewest more documents (none, in most trees), until a pair at the
+threshold is found with the target probability. So a crowded branch of one tree is left alone as long as the others make up for it.
+Where a document stops, the node of its prefix is judged: all pairs below it are candidates. Candidates are
+verified on their whole shingle sets.
 
 Documents with equal shingle sets are one item from the start: copies are counted, never
 paired. Links between different items are counted in blocks (see ``links``), each pair in
-the first tree that joins it.
+the first tree in which a judged node holds both.
 """
 
 from __future__ import annotations
@@ -16,13 +18,14 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, stored
 from .links import chunked, components, linked, per_block
 
 TREES, LONGEST = 24, 8
+STEPS = 1  # by which the longest prefix is longer than the one that reaches the target in all trees
 CHUNK = 512
 WORDS, LEAST = 5, 0.8
 TARGET = 0.9995
@@ -111,18 +114,79 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return both
 
 
-def _candidates(rows: list, trees: int, depth: int) -> np.ndarray:
-    """Which pairs of a block this block has to judge: rows (key, low, high, tree, own, id, label, ...)."""
+def depths(sizes: np.ndarray, shortest: int, least: float, trees: int, target: float) -> np.ndarray:
+    """How long a document's prefix is in each of the trees where it shares its shortest one with others.
+
+    sizes: a row per such tree, how many documents share the prefix of the longest length, the next
+    shorter one and so on to ``shortest``. In all other trees the shortest prefix meets nobody and is taken. Level by
+    level, prefixes are shortened in the order of what that adds, ties by place, until the target is reached.
+    """
+    matched, levels = sizes.shape
+    missed = lambda depth: np.log1p(-least ** np.asarray(depth, np.float64))
+    out = np.full(matched, shortest + levels - 1)
+    left = (trees - matched) * float(missed(shortest)) + float(missed(out).sum()) - np.log1p(-target)
+    for level in range(1, levels):
+        shorter = shortest + levels - 1 - level
+        gain = float(missed(shorter) - missed(shorter + 1))
+        for place in np.argsort(sizes[:, level] - sizes[:, level - 1], kind="stable"):
+            if left <= 0:
+                return out
+            out[place] = shorter
+            left += gain
+    return out
+
+
+def _prefix(label: str, depth: int) -> Column:
+    return F.substring(label, 1, BYTES * depth)
+
+
+def judged_nodes(reps: DataFrame, *, trees: int, shortest: int, longest: int, least: float, target: float) -> DataFrame:
+    """(id, tree, key) of the judged nodes that hold an item with others, at most one per tree; reps: (id, label)."""
+    wide = BYTES * longest
+    forest = reps.select("id", F.posexplode(F.array(*[F.substring("label", t * wide + 1, wide) for t in range(trees)])).alias("tree", "label"))
+    leaves = stored(forest.groupBy("tree", "label").agg(F.count("*").alias("n")), "jaccard-leaves")
+    level = lambda d: leaves.groupBy("tree", _prefix("label", d).alias("prefix")).agg(F.sum("n").alias(f"n{d}"))
+    sizes = leaves.withColumnRenamed("n", f"n{longest}")
+    for d in range(shortest, longest):
+        nodes = level(d).where(F.col(f"n{d}") > 1) if d == shortest else level(d)  # branches without company go with the shortest prefix
+        sizes = sizes.withColumn("prefix", _prefix("label", d)).join(nodes, ["tree", "prefix"]).drop("prefix")
+    sizes = sizes.where(F.col(f"n{shortest}") > 1)
+    rows = F.array(*[F.col(f"n{d}") for d in range(longest, shortest - 1, -1)])
+    places = forest.join(stored(sizes.select("tree", "label", rows.alias("sizes")), "jaccard-sizes"), ["tree", "label"])
+    by_item = places.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("tree", "label", "sizes"))).alias("places"))  # a place per tree at most
+
+    def shorten(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            places = batch.column("places")
+            flat, ends = places.flatten(), places.value_lengths().to_numpy().cumsum()
+            each = np.array(flat.field("sizes").to_pylist(), np.int64).reshape(len(flat), -1)
+            chosen = [depths(each[low:high], shortest, least, trees, target) for low, high in zip([0, *ends[:-1]], ends)]
+            ids = np.repeat(batch.column("id").to_numpy(), places.value_lengths().to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(ids), flat.field("tree"), flat.field("label"), pa.array(np.concatenate(chosen) if chosen else np.zeros(0), pa.int32())], ["id", "tree", "label", "depth"])
+
+    chosen = stored(by_item.mapInArrow(shorten, "id long, tree int, label binary, depth int"), "jaccard-depths")
+    # a node is judged if a document stops there; of several above a document the one with the shortest prefix
+    out = chosen.withColumn("at", F.lit(longest))
+    for d in range(longest - 1, shortest - 1, -1):
+        stops = chosen.where(F.col("depth") <= d).select("tree", _prefix("label", d).alias("prefix")).distinct().withColumn("stops", F.lit(True))
+        out = out.withColumn("prefix", _prefix("label", d)).join(stops, ["tree", "prefix"], "left")
+        out = out.withColumn("at", F.when(F.col("stops"), d).otherwise(F.col("at"))).drop("prefix", "stops")
+    return out.select("id", "tree", F.xxhash64("tree", "at", F.expr(f"substring(label, 1, {BYTES} * at)")).alias("key"))
+
+
+def _candidates(rows: list) -> np.ndarray:
+    """Which pairs of a block this block has to judge: rows (key, low, high, tree, own, id, nodes, ...), nodes by tree, 0 for none."""
     tree, low, high = rows[0][3], rows[0][1], rows[0][2]
-    labels = np.frombuffer(b"".join(r[6] for r in rows), f"<u{BYTES}").reshape(len(rows), trees, depth)
     own = np.array([r[4] for r in rows])
     todo = ~np.eye(len(rows), dtype=bool)
     if low != high:
         todo &= own[:, None] != own[None, :]
+    nodes = np.array([r[6] for r in rows], np.int64)
     for earlier in range(tree):
-        prefix = np.ascontiguousarray(labels[:, earlier]).view(f"V{BYTES * depth}").ravel()
-        _, code = np.unique(prefix, return_inverse=True)
-        todo &= code[:, None] != code[None, :]
+        at = nodes[:, earlier]
+        todo &= (at[:, None] != at[None, :]) | (at == 0)[None, :]
     return todo
 
 
@@ -168,44 +232,47 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", word
     import pyarrow as pa
 
     ship(docs.sparkSession)
-    depth = prefix_length(least, trees, target)
-    rows = stored(items(docs, doc_id=doc_id, text=text, words=words, trees=trees, depth=depth), "jaccard-rows")
+    shortest = prefix_length(least, trees, target)
+    longest = shortest + STEPS
+    rows = stored(items(docs, doc_id=doc_id, text=text, words=words, trees=trees, depth=longest), "jaccard-rows")
     reps = rows.where("digest is not null").groupBy("digest").agg(
         F.count("*").alias("size"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first"), F.max("label").alias("label"))
     reps = stored(reps.select(F.monotonically_increasing_id().alias("id"), "digest", "size", F.col("first.doc_id").alias("doc_id"),
                               F.col("first.text_hash").alias("text_hash"), "label"), "jaccard-items")
-    prefix = lambda t: F.substring("label", t * BYTES * depth + 1, BYTES * depth)
-    forest = reps.select("id", F.posexplode(F.array(*[prefix(t) for t in range(trees)])).alias("tree", "prefix"))
-    forest = forest.select("id", "tree", F.xxhash64("tree", "prefix").alias("key"))
-    shared = stored(forest.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "jaccard-shared")
-    blocks = chunked(forest, shared, "key", "id", chunk).join(reps.select("id", "label"), "id")
+    found = judged_nodes(reps.select("id", "label"), trees=trees, shortest=shortest, longest=longest, least=least, target=target)
+    found = stored(found, "jaccard-nodes")
+    shared = stored(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "jaccard-shared")
+    of = F.map_from_entries(F.collect_list(F.struct("tree", "key")))  # an entry per tree at most
+    nodes = found.groupBy("id").agg(of.alias("by_tree"))
+    nodes = stored(nodes.select("id", F.array(*[F.coalesce(F.try_element_at("by_tree", F.lit(t)), F.lit(0).cast("long")) for t in range(trees)]).alias("nodes")), "jaccard-item-nodes")
+    blocks = chunked(found, shared, "key", "id", chunk).join(nodes, "id")
 
     def judge_labels(block):
-        todo = _candidates(block, trees, depth).any(axis=1)
+        todo = _candidates(block).any(axis=1)
         return [(r[0], r[1], r[2], r[3], r[4], r[5]) for r, needed in zip(block, todo) if needed]
 
     keys = ["key", "low", "high"]
     shape = "key long, low int, high int, tree int, own int, id long"
-    needed = per_block(blocks.select(*keys, "tree", "own", "id", "label"), keys, judge_labels, shape,
+    needed = per_block(blocks.select(*keys, "tree", "own", "id", "nodes"), keys, judge_labels, shape,
                        [("key", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("tree", pa.int32()), ("own", pa.int32()), ("id", pa.int64())])
     needed = stored(needed, "jaccard-blocks")
     wanted = reps.join(needed.select("id").distinct(), "id").select("id", F.col("doc_id").alias("of"), F.col("text_hash").alias("hash"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     texts = texts.join(wanted, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("of"))).select("id", "text")
     sets = stored(_sets(texts, words).dropDuplicates(["id"]), "jaccard-sets")
-    full = needed.join(sets, "id").join(reps.select("id", "label", "size"), "id").select(*keys, "tree", "own", "id", "label", "size", "shingles")
+    full = needed.join(sets, "id").join(nodes, "id").join(reps.select("id", "size"), "id").select(*keys, "tree", "own", "id", "nodes", "size", "shingles")
 
     def judge(block):
-        todo = _candidates(block, trees, depth)
+        todo = _candidates(block)
         sets_ = [np.frombuffer(r[8], np.uint64) for r in block]
         length = np.array([len(s) for s in sets_], np.float64)
         both = _overlaps(sets_).astype(np.float64)
         similar = todo & (both >= least * (length[:, None] + length[None, :] - both) - 1e-9)
         return linked(np.array([r[5] for r in block], np.int64), np.array([r[7] for r in block], np.int64), similar)
 
-    found = stored(per_block(full, keys, judge, "id long, root long, n long", [("id", pa.int64()), ("root", pa.int64()), ("n", pa.int64())]), "jaccard-links")
-    roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    counts = found.groupBy("id").agg(F.sum("n").alias("links"))
+    links = stored(per_block(full, keys, judge, "id long, root long, n long", [("id", pa.int64()), ("root", pa.int64()), ("n", pa.int64())]), "jaccard-links")
+    roots = components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    counts = links.groupBy("id").agg(F.sum("n").alias("links"))
     out = reps.drop("label").join(counts, "id", "left").join(roots, "id", "left")
     out = out.select("digest", "size", F.coalesce("root", "id").alias("root"), "doc_id", "text_hash", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
     return rows.select("doc_id", "text_hash", "digest"), stored(out, "jaccard-classes")

@@ -81,3 +81,39 @@ def test_odd_rows(odd, nothing, documents):
     kept = [(r.doc_id, r.text) for r in jaccard.without_near_duplicates(odd).collect()]
     assert len(kept) == 8 and kept.count((5, "same same same")) == 1 and (6, "same same same") not in kept
     assert jaccard.near_duplicates(nothing).count() == 0 and jaccard.without_near_duplicates(nothing).count() == 0
+
+
+def test_prefixes_are_shortened_where_that_adds_least():
+    few, target = 24, jaccard.TARGET
+    found = lambda d: 1 - np.prod(1 - 0.8 ** np.asarray(d, float))
+    r = np.random.default_rng(3)
+    for matched in (0, 1, 7, 24):
+        for shortest, levels in ((5, 2), (4, 4), (5, 1)):
+            sizes = np.cumsum(r.integers(1, 50, (matched, levels)), axis=1)
+            d = jaccard.depths(sizes, shortest, 0.8, few, target)
+            assert found([*d, *[shortest] * (few - matched)]) >= target and len(d) == matched
+            assert (d >= shortest).all() and (d < shortest + levels).all()
+            if levels == 2 and matched == 24:
+                growth = sizes[:, 1] - sizes[:, 0]
+                short, long = growth[d == 5], growth[d == 6]
+                assert len(long) and short.max() <= long.min()
+                assert found([*d[d == 5][1:], *d[d == 6], 6]) < target  # no prefix is shorter than it has to be
+
+
+def test_judged_nodes_hold_what_the_prefixes_meet(spark):
+    """Every document meets all others that share the prefix it stopped at, and blocks split by trees count a pair once."""
+    r = np.random.default_rng(1)
+    trees, shortest, longest = 3, 2, 4
+    labels = {n: r.integers(0, 3, (trees, longest)).astype("<u2") for n in range(120)}
+    reps = spark.createDataFrame([(n, bytearray(x.tobytes())) for n, x in labels.items()], "id long, label binary")
+    got = {(x.id, x.tree): x.key for x in jaccard.judged_nodes(reps, trees=trees, shortest=shortest, longest=longest, least=0.8, target=0.9).collect()}
+    prefix = lambda n, t, d: tuple(labels[n][t, :d])
+    size = lambda n, t, d: sum(prefix(m, t, d) == prefix(n, t, d) for m in labels)
+    for n in labels:
+        mine = [t for t in range(trees) if size(n, t, shortest) > 1]
+        depth = jaccard.depths(np.array([[size(n, t, d) for d in (4, 3, 2)] for t in mine]).reshape(-1, 3), shortest, 0.8, trees, 0.9)
+        assert {t for x, t in got if x == n} == set(mine)
+        for t, d in zip(mine, depth):
+            assert all(got[m, t] == got[n, t] for m in labels if prefix(m, t, d) == prefix(n, t, d))
+    for (n, t), key in got.items():  # and a node is one prefix
+        assert all(prefix(m, t, shortest) == prefix(n, t, shortest) for (m, u), k in got.items() if u == t and k == key)
