@@ -64,3 +64,15 @@ def test_odd_rows(odd, nothing):
     got, _ = whole(rows)
     assert sum(r.length for r in rows if r.doc_id in (1, 2, 3)) == 3 and len(got[5]) == 2 and got[None]
     assert packing.pack(nothing, PATH).count() == 0
+
+
+def test_any_tokenizer_gives_its_own_ids(spark, small):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").limit(30).collect()] + packing.PROBES + ["", "Mixed CASE here.\n\n  indented"]
+    for name, by_word in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        path = public_tokenizers.path(name)
+        words, plain = packing.WordTokens(path), Tokenizer.from_file(path)
+        assert words.by_word == by_word
+        assert words.encode(texts) == [b"".join(n.to_bytes(4, "little") for n in plain.encode(t, add_special_tokens=False).ids) for t in texts]
