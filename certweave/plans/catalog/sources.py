@@ -11,6 +11,7 @@ from certweave.plans.catalog.audits import ORACLES as _AUDITED
 from certweave.plans.catalog.jsonsql import as_is, cleaned, record_json
 from certweave.plans.catalog.repairs import seq
 from certweave.plans.catalog.sqltext import blank
+from certweave.plans.catalog.tables import GOOD, TABLES
 from certweave.session import scratch_path
 from certweave.sources import dims, links, readers, sinks
 
@@ -131,11 +132,40 @@ def write_parquet_tables(spark, sf):
     return out
 
 
+def _loadable_tables(spark, sf):
+    path = scratch_path(spark, "loadable")
+    relational.loadable_records(V.stored_records(spark, sf)).write.parquet(path)
+    return relational.tables(spark.read.parquet(path))
+
+
 def write_jdbc_tables(spark, sf):
-    """What a relational sink receives: the tables of the records that load, with the sink's integer booleans."""
-    good = relational.loadable_records(V.records(spark, sf))
-    df = relational.tables(good)["certificates"]
-    return df.select("certificate_id", relational.adapt_scalar(F.col("is_federal"), "boolean", "BOOLEAN", integer_booleans=True).alias("is_federal"), "issue_date")
+    """What a relational sink receives: all columns of all tables of the records that load, with the sink's integer booleans."""
+    out = None
+    for name, table in _loadable_tables(spark, sf).items():
+        cell = lambda f: relational.adapt_scalar(F.col(f.name), f.dataType.simpleString(), "BOOLEAN" if f.dataType.simpleString() == "boolean" else "TEXT", integer_booleans=True)
+        cells = [F.concat(F.lit(f"{f.name}="), cell(f).cast("string")) for f in sorted(table.schema.fields, key=lambda f: f.name)]
+        part = table.select(F.lit(name).alias("table_name"), F.concat_ws("|", *cells).alias("cells"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def load_records(spark, sf):
+    """Records loaded one transaction each into a store that refuses some programmes: what became of every record."""
+    class Store:
+        def begin(self):
+            self.rows = []
+
+        def insert(self, table, row):
+            if table == "educational_programs" and row["program_slot"] == 2 and row["program_id"] == "p3":
+                raise ValueError("refused")
+            self.rows.append((table, row))
+
+        def commit(self):
+            self.rows = []
+
+        rollback = close = commit
+
+    return sinks.load_records(_loadable_tables(spark, sf), Store)
 
 
 def split_by_class(spark, sf):
@@ -160,9 +190,23 @@ def omit_empty(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     scan_xml, scan_order, scan_jsonl, line_kinds, limit_input, limit_parsed, merge_inputs, load_override_dim, load_level_dim, extract_links,
-    latest_snapshot, write_parquet_tables, write_jdbc_tables, split_by_class, skip_broken, omit_empty)}
+    latest_snapshot, write_parquet_tables, write_jdbc_tables, load_records, split_by_class, skip_broken, omit_empty)}
 
 _VIEWS = V.oracle_views("cert", "sup", "prog", "dec")
+_LOADED = _VIEWS + GOOD + ", certg as (select cert.* from cert join good using (k) where rn = 1)" + TABLES.replace("from cert", "from certg").replace("join cert c", "join certg c")
+TABLE_VIEWS = {"certificates": "t1", "supplements": "t2", "decisions": "t3", "educational_programs": "t4", "actual_education_organizations": "t5"}
+
+
+def _cells(name: str, view: str) -> str:
+    """Every cell of a table's view as text, in the order of the column names."""
+    keys = {"t1": ["certificate_id"], "t2": ["certificate_id", "supplement_id"], "t3": ["certificate_id", "decision_id"], "t4": ["certificate_id", "supplement_id", "program_slot", "program_id"],
+            "t5": ["certificate_id", "ae_scope", "supplement_id", "aeo_id"]}[view]
+    fields = {"t1": S.CERTIFICATE_FIELDS, "t2": S.SUPPLEMENT_FIELDS, "t3": S.DECISION_FIELDS, "t4": S.PROGRAM_FIELDS, "t5": S.ORGANIZATION_FIELDS}[view]
+    columns = {k: k for k in keys} | {relational.column_name(f): f"cast({relational.column_name(f)} as integer)" if f in S.BOOL_FIELDS else relational.column_name(f) for f in fields if f != "Id"}
+    cells = ", ".join(f"'{c}='||cast({columns[c]} as varchar)" for c in sorted(columns))
+    return f"select '{name}' as table_name, concat_ws('|', {cells}) as cells from {view}"
+
+
 ORACLES = {
     "scan_xml": _VIEWS + record_json(cleaned) + " select value from whole",
     "scan_order": V.oracle_views() + f""", lines as (select k, case when k % 3 = 0 then 'é' || k else {_LINE} end as value from base)
@@ -187,10 +231,11 @@ ORACLES = {
     "write_parquet_tables": _VIEWS + f"""select 'certificates' as table_name, count(*) as n from cert union all select 'supplements', count(*) from sup union all select 'decisions', count(*) from dec where not {blank('Id')}
         union all select 'educational_programs', count(*) from prog union all select 'actual_education_organizations', (select count(*) from cert where Id is not null and r_Id is not null)
         + (select count(*) from sup s join cert c using (k) where c.Id is not null and s.Id is not null and s.a_Id is not null)""",
-    "write_jdbc_tables": _VIEWS + f""", bad as (select k from sup group by k having count(*) filter (where Id is null) > 0 or count(distinct Id) < count(*)
-        union select k from dec where not {blank('Id')} group by k having count(distinct Id) < count(*)),
-        good as (select *, row_number() over (partition by Id order by k) as rn from cert where Id is not null and k not in (select k from bad))
-        select Id as certificate_id, cast(IsFederal as integer) as is_federal, IssueDate as issue_date from good where rn = 1""",
+    "write_jdbc_tables": _LOADED + " union all ".join(_cells(name, t) for name, t in TABLE_VIEWS.items()),
+    "load_records": _LOADED + """, n as (select certificate_id, sum(n) as n from (""" + " union all ".join(f"select certificate_id, count(*) as n from {t} group by 1" for t in TABLE_VIEWS.values()) + """) group by 1),
+        refused as (select distinct certificate_id from t4 where program_slot = 2 and program_id = 'p3')
+        select n.certificate_id, cast(case when r.certificate_id is null then n else 0 end as bigint) as rows, case when r.certificate_id is not null then 'educational_programs: refused' end as error
+        from n left join refused r using (certificate_id)""",
     "skip_broken": V.oracle_views() + " select k % 10 = 3 as broken, count(*) as n from base group by 1",
     "omit_empty": _VIEWS + """, marked as (select s.*, coalesce(s.IsForBranch, false) or (c.r_Id is not null and s.has_card and s.a_Id is distinct from c.r_Id) as is_branch from sup s join cert c using (k))"""
         + record_json(as_is, branches=True) + " select k, value from whole",

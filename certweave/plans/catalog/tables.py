@@ -66,7 +66,7 @@ def _cols(fields, prefix="", table="") -> str:
 
 
 _VIEWS = V.oracle_views("cert", "sup", "prog", "dec")
-_TABLES = f""",
+TABLES = f""",
 t1 as (select Id as certificate_id, {_cols(S.CERTIFICATE_FIELDS)} from cert),
 t2 as (select c.Id as certificate_id, s.Id as supplement_id, {_cols(S.SUPPLEMENT_FIELDS, table='s.')} from sup s join cert c using (k)),
 t3 as (select c.Id as certificate_id, d.Id as decision_id, {_cols(S.DECISION_FIELDS, table='d.')} from dec d join cert c using (k) where not {blank('d.Id')}),
@@ -97,20 +97,20 @@ def _violations() -> str:
     return " union all ".join(parts)
 
 
-_GOOD = f""", bad as (select k from sup group by k having count(*) filter (where Id is null) > 0 or count(distinct Id) < count(*)
+GOOD = f""", bad as (select k from sup group by k having count(*) filter (where Id is null) > 0 or count(distinct Id) < count(*)
   union select k from dec where not {blank('Id')} group by k having count(distinct Id) < count(*)),
 good as (select k, Id, row_number() over (partition by Id order by k) as rn from cert where Id is not null and k not in (select k from bad))
 """
 ORACLES = {
-    "tbl_certificates": _VIEWS + _TABLES + "select * from t1",
-    "tbl_supplements": _VIEWS + _TABLES + "select * from t2",
-    "tbl_decisions": _VIEWS + _TABLES + "select * from t3",
-    "tbl_programs": _VIEWS + _TABLES + "select * from t4",
-    "tbl_organizations": _VIEWS + _TABLES + "select * from t5",
+    "tbl_certificates": _VIEWS + TABLES + "select * from t1",
+    "tbl_supplements": _VIEWS + TABLES + "select * from t2",
+    "tbl_decisions": _VIEWS + TABLES + "select * from t3",
+    "tbl_programs": _VIEWS + TABLES + "select * from t4",
+    "tbl_organizations": _VIEWS + TABLES + "select * from t5",
     "adapt_scalar": V.oracle_views() + """ select k, case when k % 5 = 0 then true when k % 5 = 1 then false end as from_text,
         case k % 3 when 1 then true when 0 then false end as from_number, cast(k % 2 = 0 as integer) as as_int,
         '{"a":'||k||',"b":"'||d||'"}' as nested, d as day from base""",
-    "check_keys": _VIEWS + _TABLES + _violations(),
-    "reject_record": _VIEWS + _GOOD + "select k, Id from good where rn = 1",
+    "check_keys": _VIEWS + TABLES + _violations(),
+    "reject_record": _VIEWS + GOOD + "select k, Id from good where rn = 1",
 }
 ORACLES["check_keys_after_reject"] = f"select table_name, violation, cast(0 as bigint) as n from ({ORACLES['check_keys']}) v"
