@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from certweave.plans.catalog import audits, global_pass, graphs, names, repairs, scalars, sources, tables
+from certweave.plans.catalog import audits, damaged, global_pass, graphs, names, repairs, scalars, sources, tables
 
-MODULES = [scalars, repairs, global_pass, tables, graphs, audits, names, sources]
+MODULES = [scalars, repairs, global_pass, tables, graphs, audits, names, sources, damaged]
 
 
 def all_queries() -> dict:
