@@ -37,3 +37,15 @@ def test_stages(spark, small, tmp_path):
 
 def test_names():
     assert [f.__module__ for _, f in pipeline.STAGES] == ["corpus_pipeline"] * 5 and all(m for m in (language, mixing, packing, quality))
+
+
+def test_stages_take_odd_rows_and_none(spark, odd, nothing, small, tmp_path):
+    """Nulls in every column, blank and long texts, repeated rows, extra columns with clashing names, no rows."""
+    for which, docs in (("odd", odd), ("nothing", nothing)):
+        columns = docs.columns
+        for name, stage in pipeline.STAGES:
+            stage(spark, docs, small).write.parquet(str(tmp_path / which / name))
+            docs = spark.read.parquet(str(tmp_path / which / name))
+            assert name == "pack_sequences" or docs.columns == columns
+        ids = {r.doc_id for r in docs.collect()}
+        assert ids <= {4, 7} and (7 in ids) == (which == "odd")
