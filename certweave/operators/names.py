@@ -1,8 +1,8 @@
 """Organisation names across records, and dictionaries of suggested names.
 
-Name rules are costly per text and names repeat a lot, so they run on distinct
-names and are joined back on the name. The name is the join key; a name that is
-a large part of all rows is one row on the rule side, and AQE splits the other.
+Name rules are costly per text and names repeat a lot, so they run on a dictionary of the
+distinct names. Rows find theirs by the name's code, a digest of 32 bytes; names themselves are
+not joined. A name that is a large part of all rows is one row of the dictionary.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from certweave.functions import nested as N
 from certweave.functions import orgnames as O
 from certweave.functions import text as X
+from certweave.operators import lookup as L
 
 
 def name_fields(records: DataFrame) -> DataFrame:
@@ -32,12 +33,19 @@ def name_fields(records: DataFrame) -> DataFrame:
         "Id", "_record_seq", "pos", "x.field", "x.name")
 
 
+def name_code(name: Column) -> Column:
+    """The code of a name in a dictionary: its SHA-256 digest."""
+    return F.unhex(F.sha2(name, 256))
+
+
 def normalized_names(names: DataFrame) -> DataFrame:
     """Distinct names with their display form, fingerprint and whether anything changed."""
     distinct = names.select("name").where("name is not null").distinct()
-    # much work per small row: keep the configured number of tasks, which size-based coalescing would not
-    distinct = distinct.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name")
-    shown = distinct.withColumn("display_name", O.normalize_display_name(F.col("name")))
+    # much work per small row: the configured number of tasks. Dealt by another key than the names', or the
+    # planner would take the shuffle of distinct() for it, which is coalesced by size.
+    distinct = distinct.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("name"))
+    # a filter on the display form stays above it, so the rules run once per name
+    shown = N.with_computed(distinct, "display_name", O.normalize_display_name(F.col("name")))
     return shown.withColumns({
         "fingerprint": O.fingerprint_of_display(F.col("display_name")),
         "changed": O.name_changed(F.col("name"), F.col("display_name")),
@@ -46,38 +54,53 @@ def normalized_names(names: DataFrame) -> DataFrame:
 
 def normalize_names(fields: DataFrame) -> DataFrame:
     """Rows of :func:`name_fields` with the display form of each name."""
-    return fields.join(normalized_names(fields), "name", "left")
+    shown = normalized_names(fields).withColumn("_code", name_code(F.col("name"))).drop("name")
+    return fields.withColumn("_code", name_code(F.col("name"))).join(shown, "_code", "left").drop("_code")
 
 
 def change_counts(fields: DataFrame) -> DataFrame:
     """(field, n): how many values of each field get another text.
 
-    Names are counted per field before the join, so the join sees each
-    (field, name) once.
+    Names are counted per field, and a name's counts (one per field) stand in its row of the
+    dictionary, so the rows of the fields are read once and joined with nothing.
     """
-    counted = fields.groupBy("field", "name").agg(F.count(F.lit(1)).alias("_n"))
-    shown = counted.join(normalized_names(counted), "name")
-    return shown.where(F.col("display_name") != F.col("name")).groupBy("field").agg(F.sum("_n").cast("bigint").alias("n"))
+    counted = fields.where("name is not null").groupBy("field", "name").agg(F.count(F.lit(1)).alias("n"))
+    by_name = counted.groupBy("name").agg(F.collect_list(F.struct("field", "n")).alias("counts"))
+    by_name = by_name.repartition(int(fields.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("name"))
+    shown = N.with_computed(by_name, "display_name", O.normalize_display_name(F.col("name")))
+    rows = shown.where("display_name <> name").select(F.inline("counts"))
+    return rows.groupBy("field").agg(F.sum("n").cast("bigint").alias("n"))
 
 
-def normalize_in_records(records: DataFrame) -> DataFrame:
+def normalize_in_records(records: DataFrame, *, most: int = L.MOST_HELD) -> DataFrame:
     """Records with the six name fields rewritten in place.
 
-    The rules run once per distinct name; a record gets its own names' display forms as one
-    small map and is looked up in it.
+    The rules run once per distinct name. The dictionary of those that change is counted: up to ``most`` rows
+    it goes to every task and records stay where they are (see ``lookup``); a larger one is joined with
+    narrow rows of codes, and records with what was found for them.
     """
-    fields = name_fields(records)
-    shown = normalized_names(fields).select("name", "display_name")
-    own = fields.select("_record_seq", "name").distinct().join(shown, "name").groupBy("_record_seq").agg(
-        F.map_from_entries(F.collect_list(F.struct("name", "display_name"))).alias("_names"))
-    put = lambda c: F.coalesce(F.try_element_at(F.col("_names"), c), c)
-    card = lambda a: a.withField("FullName", put(a["FullName"])).withField("ShortName", put(a["ShortName"]))
-    return records.join(own, "_record_seq", "left").withColumns({
-        "EduOrgFullName": put(F.col("EduOrgFullName")),
-        "EduOrgShortName": put(F.col("EduOrgShortName")),
-        N.ROOT: card(F.col(N.ROOT)),
-        N.SUPPLEMENTS: F.transform(N.supplements(), lambda s: s.withField(N.ROOT, card(s[N.ROOT]))),
-    }).drop("_names")
+    shown = normalized_names(name_fields(records)).where("display_name <> name")
+    shown, rows = L.written(shown.select(name_code(F.col("name")).alias("key"), F.col("display_name").alias("value")))
+    root = F.col(N.ROOT)
+    own = F.array("EduOrgFullName", "EduOrgShortName", root["FullName"], root["ShortName"])
+    names = F.concat(own, F.flatten(F.transform(N.supplements(), lambda s: F.array(s[N.ROOT]["FullName"], s[N.ROOT]["ShortName"]))))
+    if rows <= most:
+        value = lambda name: N.let(name_code(name), lambda k: L.found(k, rows))
+        held = L.with_held(records, shown, rows)
+        done = held.withColumn("_shown", F.transform(names, lambda name: F.coalesce(value(name), name))).drop(L.HELD)
+    else:
+        codes = records.select("_record_seq", F.posexplode(F.transform(names, name_code)).alias("at", "key")).where("key is not null")
+        found = codes.join(shown, "key").groupBy("_record_seq").agg(F.map_from_entries(F.collect_list(F.struct("at", "value"))).alias("_names"))
+        put = lambda name, i: F.coalesce(F.try_element_at(F.col("_names"), i), name)
+        done = records.join(found, "_record_seq", "left").withColumn("_shown", F.transform(names, put)).drop("_names")
+    at = lambda i: F.get("_shown", i)
+    card = lambda a, i: a.withField("FullName", at(i)).withField("ShortName", at(i + 1))
+    return done.withColumns({
+        "EduOrgFullName": at(F.lit(0)),
+        "EduOrgShortName": at(F.lit(1)),
+        N.ROOT: card(root, F.lit(2)),
+        N.SUPPLEMENTS: F.transform(N.supplements(), lambda s, i: s.withField(N.ROOT, card(s[N.ROOT], i * 2 + 4))),
+    }).drop("_shown")
 
 
 NAME_KINDS = {"all": ["FullName", "ShortName"], "full": ["FullName"], "short": ["ShortName"]}
