@@ -50,7 +50,7 @@ def _running(parts: DataFrame, separator: int) -> DataFrame:
     return plain.mapInArrow(add, f"{shape}, _before long").withColumn("value", F.col("value").cast("string"))
 
 
-def splits(parts: DataFrame, separator: int, **about: Column) -> DataFrame:
+def splits(parts: DataFrame, separator: int | Column, **about: Column) -> DataFrame:
     """(file, start, offset, ..), a row per split: the bytes of all lines before it. ``about``: further aggregates by split.
 
     parts: (value, file, start) of a scan; ``_at`` orders the rows of a split for the aggregates.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,30 @@ STRAY_AMPERSAND = "&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 DECLARED_ENCODING = "^\\W{0,3}<\\?xml[^>]*?encoding\\s*=\\s*[\"']([A-Za-z0-9._\\-]+)"
 
 
+# How a file in UTF-16 begins, with a byte order mark or with the first sign of its markup.
+WIDE_HEADS = {"fffe": "utf-16-le", "3c00": "utf-16-le", "feff": "utf-16-be", "003c": "utf-16-be"}
+
+
+def _wide_encoding() -> Column:
+    """The UTF-16 form of a file by its first two bytes; null for another file."""
+    head = F.lower(F.hex(F.substring(F.col("value").cast("binary"), 1, 2)))
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in WIDE_HEADS.items() for x in pair]), head)
+
+
+def wide_files(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """The files in UTF-16 by their encoding: one pass over all files in short pieces, of which the first of each file is looked at.
+
+    The driver gets the paths of these files.
+    """
+    pieces = spark.read.option("lineSep", ">").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    pieces = pieces.withColumn("_at", F.monotonically_increasing_id()).where("start = 0")
+    first = pieces.groupBy("file").agg(F.min_by(_wide_encoding(), F.col("_at")).alias("encoding"))
+    found = {}
+    for r in first.where("encoding is not null").orderBy("file").collect():
+        found.setdefault(r.encoding, []).append(r.file)
+    return found
+
+
 def declared_encoding() -> Column:
     """By file split, the encoding that the XML declaration names; null without one. An aggregate over the rows of a split, ``_at`` their order."""
     name = F.lower(F.regexp_extract("value", DECLARED_ENCODING, 1))
@@ -36,6 +61,12 @@ def declared_encoding() -> Column:
     return F.min_by(F.when(declares, name), F.when(declares, F.col("_at")))
 
 
+def _refused() -> Column:
+    """By file split, an error where a file in UTF-16 is read without having been looked for. Lines of such a file begin with other bytes than its head."""
+    wide = F.when(F.col("start") == 0, F.min_by(_wide_encoding(), F.col("_at")))
+    return F.when(wide.isNotNull(), F.raise_error(F.concat(F.lit("a file in UTF-16, to be read with wide=True: "), F.col("file"))))
+
+
 def _decoded_by_file(parts: DataFrame, names: list[str]) -> DataFrame:
     """parts with the value of each row decoded by ``encoding``, one of the names; UTF-8 where it is null."""
     value = F.col("value")
@@ -50,10 +81,13 @@ def _is_utf8(encoding: str) -> bool:
 
 
 def _decoded(value: Column, encoding: str) -> Column:
-    """Text of a line that the text scan took as UTF-8 whatever its bytes are. Encodings of one byte per character, and UTF-8."""
+    """Text of a line that the text scan took as UTF-8 whatever its bytes are. Encodings of one byte per character, UTF-8 and UTF-16 of a known byte order."""
     if _is_utf8(encoding):
         return value
     name = codecs.lookup(encoding).name
+    if name in WIDE_HEADS.values():  # half a sign at the end of a cut file goes
+        whole = F.expr("octet_length(value) - octet_length(value) % 2")
+        return F.decode(F.substr(value.cast("binary"), F.lit(1), whole), name.upper().replace("-LE", "LE").replace("-BE", "BE"))
     upper = [bytes([b]).decode(name, "replace") for b in range(128, 256)]
     if any(len(c) != 1 for c in upper) or bytes(range(128)).decode(name, "replace") != bytes(range(128)).decode("ascii"):
         raise ValueError(f"encoding {encoding} is not one byte per character")
@@ -72,7 +106,7 @@ def _without_cdata(value: Column) -> Column:
     return F.array_join(F.transform(F.split(value, r"<!\[CDATA\["), part), "")
 
 
-def read_elements(spark: SparkSession, path: str | list[str], encoding: str | None = None) -> DataFrame:
+def read_elements(spark: SparkSession, path: str | list[str], encoding: str | None = None, *, wide: bool = False) -> DataFrame:
     """The text of every record element (value, _source_file, _record_seq).
 
     The closing tag is the line separator of a text scan, so one large snapshot
@@ -81,15 +115,36 @@ def read_elements(spark: SparkSession, path: str | list[str], encoding: str | No
     and costs itself only, an empty element is one of its own. Comments go
     (one that holds several closing tags hides the first of its records only).
     Without an ``encoding`` the one that each file declares counts for its own rows.
+
+    ``wide`` looks for files in UTF-16 first, by one pass more; these are split at the bytes of the closing tag in
+    their encoding. Without it such a file is an error, as its tags would not be seen. The signs of a file in UTF-16 must be valid.
     """
     close = f"</{ELEMENT}>"
-    parts = spark.read.option("lineSep", close).text(path)
-    parts = parts.select("value", F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    found = O.splits(parts, len(close), encoding=F.lit(encoding).cast("string") if encoding else declared_encoding())
+    file = F.col("_metadata.file_path")
+    known = [encoding] if encoding and codecs.lookup(encoding).name in WIDE_HEADS.values() else []
+    found_wide = {} if encoding else wide_files(spark, path) if wide else {}
+
+    def scan(name: str | None) -> tuple[DataFrame, int]:
+        separator = close.encode(name).decode("ascii") if name else close  # the tag's bytes in UTF-16 are ASCII signs and zeros
+        parts = spark.read.option("lineSep", separator).text(path)
+        if name in found_wide:
+            parts = parts.where(file.isin(found_wide[name]))
+        elif found_wide:
+            parts = parts.where(~file.isin([f for fs in found_wide.values() for f in fs]))
+        parts = parts.select("value", F.col("_metadata.file_name").alias(_FILE), file.alias("file"), F.col("_metadata.file_block_start").alias("start"))
+        return parts.withColumns({"_separator": F.lit(len(separator)), "_wide": F.lit(name).cast("string")}), len(separator)
+
+    scans = [scan(codecs.lookup(n).name) for n in known] or [scan(None), *[scan(n) for n in found_wide]]
+    every = reduce(DataFrame.unionAll, [s[0] for s in scans])
+    about = F.lit(encoding).cast("string") if encoding else F.coalesce(F.max("_wide"), declared_encoding())
+    if not encoding and not wide:
+        about = F.coalesce(_refused(), about)
+    found = O.splits(every, F.col("_separator"), encoding=about)
     if not encoding:  # the split at a file's beginning speaks for all of them
         found = found.withColumn("encoding", F.max(F.when(F.col("start") == 0, F.col("encoding"))).over(W.partitionBy("file")))
     names = sorted(r[0] for r in found.select("encoding").distinct().where("encoding is not null").collect())  # a row per encoding
-    parts = _decoded_by_file(O.positioned(parts, len(close), found), names)
+    placed = [O.positioned(s.drop("_separator", "_wide"), n, found) for s, n in scans]
+    parts = _decoded_by_file(reduce(DataFrame.unionAll, placed), names)
     plain = F.when(F.col("value").contains("<!"), F.regexp_replace(_without_cdata(F.col("value")), COMMENT, "")).otherwise(F.col("value"))
     pieces = F.regexp_extract_all("plain", F.lit(f"(?s){OPENING}.*?(?={OPENING}|$)"), F.lit(0))
 
@@ -131,8 +186,8 @@ def parse_elements(elements: DataFrame, *, strict: bool = False) -> DataFrame:
     return rows.select(*_unwrap(r), r["_corrupt_record"].alias("_corrupt_record"), _FILE, _SEQ)
 
 
-def read_xml(spark: SparkSession, path: str | list[str], *, strict: bool = False, encoding: str | None = None) -> DataFrame:
-    return parse_elements(read_elements(spark, path, encoding), strict=strict)
+def read_xml(spark: SparkSession, path: str | list[str], *, strict: bool = False, encoding: str | None = None, wide: bool = False) -> DataFrame:
+    return parse_elements(read_elements(spark, path, encoding, wide=wide), strict=strict)
 
 
 def element_tags(elements: DataFrame) -> DataFrame:

@@ -79,3 +79,29 @@ def test_unknown_tags_of_elements(spark, tmp_path):
     (tmp_path / "a.xml").write_text("<O><Certificate><Id>1</Id><n:New><Id/><Sub x='1'/></n:New><Open><Id>2</Id></Certificate><Certificate><Sub/><New/></Certificate></O>")
     got = audit.unknown_xml_tags(readers.read_elements(spark, str(tmp_path / "a.xml")))
     assert sorted(map(tuple, got.collect())) == [("New", "Certificate/New"), ("Open", "Certificate/Open"), ("Sub", "Certificate/New/Sub")]
+
+
+def test_utf16_files_beside_others_in_one_scan(spark, tmp_path):
+    kinds = {"1": "windows-1251", "2": "utf-16-le", "3": "utf-8", "4": "utf-16-be", "5": "utf-16-le", "6": "koi8-r"}
+    want = []
+    for name, encoding in kinds.items():
+        ids = [f"Ж{name}-{i}" for i in range(40)]
+        body = "".join(f"<Certificate><Id>{x}</Id><StatusName>Действующее № ы{'Ы' * 60}</StatusName></Certificate>\n" for x in ids)
+        mark = "\ufeff" if name in "24" else ""
+        declared = "utf-16" if encoding.startswith("utf-16") else encoding
+        text = f'{mark}<?xml version="1.0" encoding="{declared}"?><OpenData>{body}</OpenData>'.replace("№", "N" if name == "6" else "№")
+        (tmp_path / f"{name}.xml").write_bytes(text.encode(encoding) + (b"\n" if name == "5" else b""))  # half a sign at the end
+        want += ids
+    answers = []
+    for most in ("128m", "2k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        try:
+            answers.append([(r.Id, r._record_seq, r.StatusName) for r in readers.read_xml(spark, str(tmp_path), wide=True).orderBy("_record_seq").collect()])
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [a[0] for a in answers[0]] == want and answers[0] == answers[1]
+    assert {a[2].replace("№", "N") for a in answers[0]} == {"Действующее N ы" + "Ы" * 60}
+    with pytest.raises(Exception, match="UTF-16"):
+        readers.read_xml(spark, str(tmp_path)).collect()
+    given = readers.read_xml(spark, str(tmp_path / "5.xml"), encoding="UTF-16LE")
+    assert [r.Id for r in given.orderBy("_record_seq").collect()] == want[160:200]
