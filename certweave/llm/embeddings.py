@@ -6,7 +6,9 @@ far. How many of them are visited is measured, not guessed: for query vectors ap
 codebooks' points all links are found by brute force against every row, and cells are added
 until the visited ones hold the target share of these links, each query item and each group of
 links weighing the same. Too few links are no measurement: queries are drawn until enough are
-seen or every item was one. Candidates are then verified in double precision.
+seen, every item was one or a bound on their number is met. In the last case partners are planted:
+vectors at the threshold and above it around the queries, in several directions, and cells are added until the target share
+of these is met too. Candidates are then verified in double precision.
 
 Equal vectors are one item from the start. Pairs are counted in blocks (see ``links``), each
 once.
@@ -29,6 +31,8 @@ from .links import components, linked, per_block
 
 SAMPLE, QUERIES, ENOUGH = 20_000, 1024, 300
 MOST_QUERIES, DRAW_BYTES = 8192, 64 << 20  # in one draw
+MEASURED = 16_384  # queries after which partners are planted
+PROBES = 2048  # of each direction
 PLACES = 1 << 30
 CHUNK = TILE = 1024
 TARGET = 0.999
@@ -138,6 +142,35 @@ def _reaches(owners: np.ndarray, cells: np.ndarray, a: np.ndarray, b: np.ndarray
     return out[back]
 
 
+def planted_reaches(index: Index, vectors: np.ndarray, least: float, seed: int = 1) -> dict[str, np.ndarray]:
+    """By direction, from how many visited cells on each vector and a partner planted for it meet.
+
+    A partner's cosine is ``least`` for every second vector, that of the others lies evenly between it and 1. It is off
+    in a random direction, in one that lies in one half of the vector (the other half of the index hardly helps then
+    or hardly hurts), or towards another of the vectors, as the data spread.
+    """
+    r = np.random.default_rng(seed)
+    n, half = len(vectors), index.first.shape[1]
+    anywhere = r.standard_normal(vectors.shape)
+    one_half = r.standard_normal(vectors.shape)
+    one_half[::2, :half] = 0
+    one_half[1::2, half:] = 0
+    cosine = np.where(r.random(n) < 0.5, least, r.uniform(least, 1, n))[:, None]
+    a, b = index.distances(vectors)
+    homes = a.argmin(axis=1) * b.shape[1] + b.argmin(axis=1)
+    out = {}
+    for name, way in (("anywhere", anywhere), ("one half", one_half), ("towards others", np.roll(vectors, 1, axis=0))):
+        way = way - (way * vectors).sum(axis=1)[:, None] * vectors
+        length = np.sqrt((way ** 2).sum(axis=1))
+        of = np.flatnonzero(length > 1e-9)  # no direction is left for some
+        partners = cosine[of] * vectors[of] + np.sqrt(np.maximum(1 - cosine[of] ** 2, 0)) * way[of] / length[of, None]
+        pa, pb = index.distances(partners)
+        partner_homes = pa.argmin(axis=1) * pb.shape[1] + pb.argmin(axis=1)
+        if len(of):
+            out[name] = np.minimum(_reaches(of, partner_homes, a, b), _reaches(np.arange(len(of)), homes[of], pa, pb))
+    return out
+
+
 def query_links(reps: DataFrame, index: Index, queries: list, least: float) -> DataFrame:
     """(query, at, n): the number of links of each query that are met from the at-th visited cell of either end on.
 
@@ -177,23 +210,25 @@ def query_links(reps: DataFrame, index: Index, queries: list, least: float) -> D
     return reps.select("id", "vector").mapInArrow(count, "query long, at int, n long").groupBy("query", "at").agg(F.sum("n").alias("n"))
 
 
-def cells_to_visit(reps: DataFrame, place: Column, cut: int, n: int, index: Index, least: float, target: float, n_queries: int, enough: int) -> dict:
+def cells_to_visit(reps: DataFrame, place: Column, cut: int, n: int, index: Index, least: float, target: float, n_queries: int, enough: int, measured: int | None) -> dict:
     """How many cells an item has to visit, and how that was found out.
 
     Queries are drawn by hash, first those apart from the codebooks' points (place below
     ``cut``), in growing draws until their links belong to ``enough`` groups (an item with d
-    links counts as 1 / (d + 1) of a group) or all items were drawn. Few links never
-    count as a measurement: where links are rare, all of them get known. Every query weighs the
+    links counts as 1 / (d + 1) of a group), all items were drawn or ``measured`` queries were. Every query weighs the
     same in the recall by items and every group the same in the recall by groups; both have
-    to reach the target. When all items were queries no known link is given up.
+    to reach the target. When all items were queries no known link is given up. When the bound
+    ended the draws, links are rare and few are known: then the target share of planted partners
+    has to be met too, in each direction (see ``planted_reaches``). Without a bound all links get known, by n x n comparisons.
     """
     turned = F.pmod(place - F.lit(cut), F.lit(PLACES))
     most = max(1, min(MOST_QUERIES, DRAW_BYTES // (8 * index.width)))
-    drawn, low, size, seen, parts = 0, 0, max(1, min(n_queries, most)), 0.0, []
-    while low < PLACES and seen < enough:
+    drawn, low, size, seen, parts, probes = 0, 0, max(1, min(n_queries, most)), 0.0, [], []
+    while low < PLACES and seen < enough and (measured is None or drawn < measured):
         high = min(PLACES, low + max(1, math.ceil(PLACES * size / n)))
         queries = reps.where((turned >= low) & (turned < high)).select("id", "vector").orderBy("id").collect()  # about most at most
         low, size, drawn = high, min(2 * size, most), drawn + len(queries)
+        probes += queries[:max(0, min(PROBES, most) - len(probes))]
         if queries:
             links = stored(query_links(reps, index, queries, least), "vector-queries")
             total = links.groupBy("query").agg(F.sum("n").alias("total"))
@@ -211,7 +246,13 @@ def cells_to_visit(reps: DataFrame, place: Column, cut: int, n: int, index: Inde
         by_group += math.fsum(r[2] for r in parts if r[0] == at)
         if not every and by_item >= target * items - 1e-9 and by_group >= target * groups - 1e-9:
             break
-    return {"items": n, "queries": drawn, "every_item_a_query": every, "linked_queries": round(items), "groups": groups, "cells": cells,
+    planted = {}
+    if not every and seen < enough:
+        for name, at in planted_reaches(index, _vectors([q[1] for q in probes]), least).items():
+            cells = max(cells, int(np.sort(at)[math.ceil(target * len(at)) - 1]))
+            planted[name] = at
+    planted = {name: float((at <= cells).mean()) for name, at in planted.items()}
+    return {"items": n, "queries": drawn, "planted_recall": planted, "every_item_a_query": every, "linked_queries": round(items), "groups": groups, "cells": cells,
             "recall_by_item": by_item / items if items else 1.0, "recall_by_group": by_group / groups if groups else 1.0}
 
 
@@ -220,7 +261,7 @@ def _log(measure: dict) -> None:
 
 
 def near_duplicates(rows: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.95, target: float = TARGET,
-                    sample: int = SAMPLE, n_queries: int = QUERIES, enough: int = ENOUGH, chunk: int = CHUNK, report: Callable[[dict], None] | None = None) -> DataFrame:
+                    sample: int = SAMPLE, n_queries: int = QUERIES, enough: int = ENOUGH, measured: int | None = MEASURED, chunk: int = CHUNK, report: Callable[[dict], None] | None = None) -> DataFrame:
     """(vec_id, n_links, component_id), a row per row.
 
     n_links: the other rows whose cosine is at least ``least``, copies each counted;
@@ -229,7 +270,8 @@ def near_duplicates(rows: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     indexed apart and do not link. Repeated rows link with each other; null ids take part, a
     component without any other id has none. The codebooks are fitted on about ``sample`` items at
     most, chosen by hash; the number of cells is measured on about ``n_queries`` others and
-    on more until ``enough`` groups of links are seen, on all items if need be. Every item
+    on more until ``enough`` groups of links are seen. Where links are so rare that ``measured`` queries do not show
+    enough, planted partners are the measure; with None the draws go on to the last item, n x n comparisons. Every item
     is indexed. ``report`` gets the measure of each width (see ``cells_to_visit``), with the
     recall reached; without one it is logged. Other columns are ignored.
     """
@@ -240,7 +282,7 @@ def near_duplicates(rows: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     reps = stored(reps.withColumn("id", F.monotonically_increasing_id()), "vector-items")
     found = None
     for width, n in sorted((r[0], r[1]) for r in reps.groupBy("width").count().collect()):  # a row per width
-        part = _found(reps.where(F.col("width") == width), n, least, target, sample, n_queries, enough, chunk, report or _log)
+        part = _found(reps.where(F.col("width") == width), n, least, target, sample, n_queries, enough, measured, chunk, report or _log)
         found = part if found is None else found.unionByName(part)
     alone = all_rows.where("digest is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if found is None:
@@ -255,7 +297,7 @@ def near_duplicates(rows: DataFrame, *, vec_id: str = "vec_id", embedding: str =
     return named.select("vec_id", "digest").join(result, "digest").select("vec_id", "n_links", "component_id").unionByName(alone)
 
 
-def _found(reps: DataFrame, n: int, least: float, target: float, sample: int, n_queries: int, enough: int, chunk: int, report: Callable[[dict], None]) -> DataFrame:
+def _found(reps: DataFrame, n: int, least: float, target: float, sample: int, n_queries: int, enough: int, measured: int | None, chunk: int, report: Callable[[dict], None]) -> DataFrame:
     """(id, root, n) of the links among the items of one width."""
     import pyarrow as pa
 
@@ -269,7 +311,7 @@ def _found(reps: DataFrame, n: int, least: float, target: float, sample: int, n_
     half = points.shape[1] // 2
     size = max(1, min(len(points) // 8, round(math.sqrt(n / PER_CELL))))
     index = Index(codebook(points[:, :half], size), codebook(points[:, half:], size))
-    measure = cells_to_visit(reps, place, cut, n, index, least, target, n_queries, enough)
+    measure = cells_to_visit(reps, place, cut, n, index, least, target, n_queries, enough, measured)
     cells = measure["cells"]
     report(measure)
 

@@ -88,3 +88,25 @@ def test_a_hot_cluster_does_not_hide_pairs(spark):
     assert planted(spark, r, 4000, 200, cluster, enough=20, n_queries=500, report=found.append) >= 190
     assert len(found) == 1 and found[0]["recall_by_group"] >= 0.999 and found[0]["recall_by_item"] >= 0.999 and found[0]["groups"] >= 20
     assert found[0]["queries"] < found[0]["items"] and not found[0]["every_item_a_query"]
+
+
+def test_planted_partners_stand_for_rare_links(spark):
+    found = []
+    r = np.random.default_rng(8)
+    assert planted(spark, r, 6000, 60, n_queries=256, measured=500, report=found.append) >= 58
+    assert found[0]["queries"] < 2000 and not found[0]["every_item_a_query"] and min(found[0]["planted_recall"].values()) >= 0.999
+    assert len(found[0]["planted_recall"]) == 3 and 1 < found[0]["cells"] < 100
+
+
+def test_planted_reaches_foresee_the_recall():
+    r = np.random.default_rng(9)
+    x = r.normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = embeddings.Index(embeddings.codebook(x[:3000, :16], 30), embeddings.codebook(x[:3000, 16:], 30))
+    reach = embeddings.planted_reaches(index, x[3000:4000], 0.95)
+    cells = max(int(np.sort(at)[int(0.99 * len(at))]) for at in reach.values())
+    own, partners = x[4000:], near(r, x[4000:], 0.95)
+    visits, homes = (index.visits(v, k) for v, k in ((own, cells), (partners, 1)))
+    assert np.mean([h[0] in v for v, h in zip(visits, homes)]) >= 0.95
+    # equal vectors have no direction towards each other
+    assert set(embeddings.planted_reaches(index, np.repeat(x[:1], 5, axis=0), 0.95)) == {"anywhere", "one half"}
