@@ -1,13 +1,15 @@
 """Quality rules: base counts of a text, and a hashed n-gram log-likelihood ratio.
 
-Two multinomials over hashed word unigrams and bigrams are counted: one over the trusted
-documents, one over every document of the corpus. A document's score is the mean over its
+Two multinomials over hashed word unigrams and bigrams are counted: one over every trusted
+document, one over every document of the corpus. A document's score is the mean over its
 grams of log trusted share minus log raw share; it stays if the score reaches a threshold that
-comes from the scores of trusted documents that the model was not counted on. Nothing is drawn at random.
+comes from the scores of every trusted document, each under a model that its own fold of the
+trusted ones was not counted on. Nothing is drawn at random and no label is left out.
 
 Weights are whole millionths, so that a sum does not depend on its order. There are as
-many as buckets, whatever the corpus; scoring looks them up in a constant array and moves no
-rows.
+many as buckets, for all and without each fold, whatever the corpus; scoring looks them up in a
+constant array and moves no rows. Only trusted texts are shuffled, once, to meet their labels: a bitmap
+keeps most others back. They are stored for the two uses of them.
 """
 
 from __future__ import annotations
@@ -19,10 +21,12 @@ from pyspark.sql import functions as F
 
 from certweave.functions.nested import settled
 
-from .common import SPACES, words
+from .common import SPACES, stored, words
 
 BUCKETS = 1 << 15
-SAMPLE = 20_000
+FOLDS = 5
+BIN = 12
+SLOTS = 1 << 26
 UNIT = 1_000_000
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -73,58 +77,115 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def labelled_sample(labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """(doc_id, trusted, held): about ``most`` of the labelled ids at most, chosen by hash, each once.
-
-    One in five is held out of the model and sets the threshold. Null ids and labels are no labels.
-    """
+def labelled(labels: DataFrame) -> DataFrame:
+    """(doc_id, trusted, fold): every labelled id once; one also called poor is not trusted. Null ids and labels are no labels."""
     ids = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") == 1).alias("trusted"))
-    share = min(1.0, most / max(1, labels.count()))
-    return ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).withColumn(
-        "held", F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) == 0)
-
-
-def fit(docs: DataFrame, sample: DataFrame, *, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> list[int]:
-    """Weight of each bucket, in millionths: trusted share against the share in all documents, each smoothed by one."""
-    marked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id", "left")
-    rows = with_words(marked).select(F.coalesce(F.col("trusted") & ~F.col("held"), F.lit(False)).alias("trusted"), F.explode(grams(F.col("_hashes"), buckets)).alias("bucket"))
-    counts = rows.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum(F.col("trusted").cast("long")).alias("good")).collect()
-    raw, good = [1] * buckets, [1] * buckets
-    for r in counts:  # as many rows as buckets at most
-        raw[r.bucket] += r.raw
-        good[r.bucket] += r.good
+    return ids.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(FOLDS)).cast("int"))
+
+
+def perhaps_labelled(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without most rows whose doc_id is not among ids: a bitmap of hashed ids, 8 MB at most, tells them. No labelled row is lost."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+    bins, at = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
+    maps = ids.groupBy(bins.alias("_bin")).agg(F.bitmap_construct_agg(at).alias("_bits"))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = docs.where("doc_id is not null").withColumn("_bin", bins).join(F.broadcast(maps), "_bin")
+    return found.where(F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1).select(*docs.columns)
+
+
+def labelled_texts(docs: DataFrame, ids: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text and the other columns of ids) of the documents with these ids; repeated rows stay repeated."""
+    # ids grow as documents do: a shuffle at any size
+    typed = F.col(doc_id).try_cast(ids.schema["doc_id"].dataType).alias("doc_id")  # a hash depends on the type
+    return perhaps_labelled(docs.select(typed, F.col(text).alias("text")), ids).join(ids.hint("merge"), "doc_id")
+
+
+def tally(docs: DataFrame, buckets: int, *, text: str = "text", fold: str | None = None) -> list[list[int]]:
+    """How often the grams of all rows fall into each bucket: one list, or one for each fold."""
+    by = [] if fold is None else [F.col(fold).alias("fold")]
+    rows = with_words(docs.select(F.col(text).alias("text"), *by)).select(*by, F.explode(grams(F.col("_hashes"), buckets)).alias("bucket"))
+    sums = [F.count(F.when(F.col("fold") == k, 1)) for k in range(FOLDS)] if by else [F.count("*")]
+    counts = [[0] * buckets for _ in sums]
+    for bucket, *found in rows.groupBy("bucket").agg(*sums).collect():  # as many rows as buckets at most
+        for k, n in enumerate(found):
+            counts[k][bucket] = n
+    return counts
+
+
+def weigh(raw: list[int], good: list[int]) -> list[int]:
+    """Weight of each bucket, in millionths: its share in good against its share in raw, each smoothed by one."""
+    raw, good = [n + 1 for n in raw], [n + 1 for n in good]
     least = math.log(sum(raw)) - math.log(sum(good))
     return [round(UNIT * (math.log(g) - math.log(r) + least)) for g, r in zip(good, raw)]
 
 
-def score(hashes: Column, weights: list[int]) -> Column:
-    """Mean weight of the grams, in millionths (long); null without words."""
+def fit(docs: DataFrame, marked: DataFrame, *, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> list[int]:
+    """Weights of the trusted documents that are not held out, against all. marked: (doc_id, trusted, held), ids once."""
+    good = labelled_texts(docs, marked.where("trusted and not held"), doc_id=doc_id, text=text)
+    return weigh(tally(docs, buckets, text=text)[0], tally(good, buckets)[0])
+
+
+def fit_folds(docs: DataFrame, trusted: DataFrame, *, text: str = "text", buckets: int = BUCKETS) -> tuple[list[int], list[list[int]]]:
+    """Weights of all trusted documents against all, and the weights without each fold. trusted: (text, fold)."""
+    raw, good = tally(docs, buckets, text=text)[0], tally(trusted, buckets, fold="fold")
+    every = [sum(c) for c in zip(*good)]
+    return weigh(raw, every), [weigh(raw, [n - own for n, own in zip(every, one)]) for one in good]
+
+
+def score(hashes: Column, weights: list[int], fold: Column | None = None) -> Column:
+    """Mean weight of the grams, in millionths (long); null without words. With fold, weights holds one list for each after another."""
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")
-    total = F.aggregate(grams(hashes, len(weights)), F.lit(0).cast("long"), lambda a, b: a + F.get(table, b))
+    buckets = len(weights) if fold is None else len(weights) // FOLDS
+    at = (lambda b: b) if fold is None else (lambda b: b + fold * F.lit(buckets))
+    total = F.aggregate(grams(hashes, buckets), F.lit(0).cast("long"), lambda a, b: a + F.get(table, at(b)))
     return F.when(F.size(hashes) > 0, F.floor(total / (2 * F.size(hashes) - 1)).cast("long"))
 
 
-def threshold(docs: DataFrame, sample: DataFrame, weights: list[int], lose: float, *, doc_id: str = "doc_id", text: str = "text") -> int:
-    """Largest score that all but a share ``lose`` of the held-out trusted documents reach; without any, nothing is rejected."""
-    good = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample.where("trusted and held")), "doc_id")
+def ranked(scores: DataFrame, share: float) -> int | None:
+    """The smallest score that at least this share of the rows do not exceed, exactly; null scores do not count.
+
+    Scores are counted in bins, then one by one in the bin of that rank: a score is the mean of weights, which are
+    below 45 in size, so there are at most 22,000 bins, and 4,096 scores in one.
+    """
+    some = scores.where("score is not null")
+    at, found = F.shiftright("score", BIN), None
+    bins = sorted(map(tuple, some.groupBy(at).count().collect()))
+    rank = max(1, math.ceil(share * sum(n for _, n in bins)))
+    for b, n in bins:
+        if rank <= n:
+            found = b
+            break
+        rank -= n
+    if found is None:
+        return None
+    for value, n in sorted(map(tuple, some.where(at == found).groupBy("score").count().collect())):
+        if rank <= n:
+            return value
+        rank -= n
+
+
+def threshold(trusted: DataFrame, without: list[list[int]], lose: float) -> int:
+    """Largest score that all but a share ``lose`` of the trusted documents (text, fold) reach, each under the weights
+    without its fold; without any, nothing is rejected."""
     # a condition, not a filter: a filter would be pushed below the steps above and repeat them
-    scores = base_counts(good).select(F.when(~base_failed(), score(F.col("_hashes"), weights)).alias("score"))
-    found = scores.agg(F.percentile_approx("score", lose, 10_000)).first()[0]
-    return -(1 << 62) if found is None else int(found)
+    weights = [w for one in without for w in one]
+    scores = base_counts(trusted).select(F.when(~base_failed(), score(F.col("_hashes"), weights, F.col("fold"))).alias("score"))
+    found = ranked(stored(scores, "scores"), lose)
+    return -(1 << 62) if found is None else found
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, lose: float = 0.005, most: int = SAMPLE, buckets: int = BUCKETS,
-          doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, *, lose: float = 0.005, buckets: int = BUCKETS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs, all columns kept, with the base counts, base_failed, score (millionths, null without words) and kept.
 
-    labels: (doc_id, quality); quality 1 is trusted. Only about ``most`` labelled rows are
-    looked up; all documents are counted and judged. Null texts have no words and fail the
+    labels: (doc_id, quality); quality 1 is trusted. All labels are looked up and all
+    documents are counted and judged. Null texts have no words and fail the
     base rules; repeated rows are judged alike; documents whose score equals the threshold
     stay. Columns of docs named like an added one are replaced.
     """
-    sample = labelled_sample(labels, most)
-    weights = fit(docs, sample, doc_id=doc_id, text=text, buckets=buckets)
-    least = threshold(docs, sample, weights, lose, doc_id=doc_id, text=text)
+    ids = labelled(labels).where("trusted").drop("trusted")
+    trusted = stored(labelled_texts(docs, ids, doc_id=doc_id, text=text).select("text", "fold"), "trusted")
+    weights, without = fit_folds(docs, trusted, text=text, buckets=buckets)
+    least = threshold(trusted, without, lose)
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     plain = docs.drop(*added)
     out = base_counts(plain, text).withColumn("base_failed", base_failed()).withColumn("score", score(F.col("_hashes"), weights))
