@@ -49,3 +49,15 @@ def test_stages_take_odd_rows_and_none(spark, odd, nothing, small, tmp_path):
             assert name == "pack_sequences" or docs.columns == columns
         ids = {r.doc_id for r in docs.collect()}
         assert ids <= {4, 7} and (7 in ids) == (which == "odd")
+
+
+def test_quality_stage_reads_every_label(spark, documents, tmp_path):
+    """Trusted documents whose ids a draw by hash from 60,000 labels passes over still make the model."""
+    labels = spark.range(60_000).selectExpr("id as doc_id", "pmod(xxhash64(id), 1048576) >= 524288 as late").where("late or doc_id > 500")
+    labels.selectExpr("doc_id", "if(late and doc_id <= 500, 1, 0) as quality").write.parquet(str(tmp_path / "labels.parquet"))
+    trusted = [r.doc_id for r in labels.where("late and doc_id <= 500").limit(40).collect()]
+    good = [(i, " ".join(f"good{(i * (k + 3) + k) % 23}" for k in range(14)), "en", "a") for i in trusted]
+    poor = [(70_000 + n, " ".join(f"poor{(n * (k + 3) + k) % 23}" for k in range(14)), "en", "a") for n in range(10)]
+    kept = {r.doc_id for r in pipeline.quality_rules(spark, documents(good + poor), str(tmp_path)).collect()}
+    passing = {i for i, t, *_ in good if 100 * base(t)[4] <= 20 * base(t)[0]}
+    assert len(passing) > 20 and kept == passing
