@@ -1,8 +1,8 @@
 """Language identification: several kinds of evidence fused by Bayes' rule.
 
-Text: hashed byte trigrams under one multinomial per language, and an even one for
-"other". The mean log-likelihood counts as often as the square root of the number of
-trigrams, as neighbouring trigrams are far from independent. Declared markup language and the
+Text: hashed byte trigrams under one multinomial per language, counted on every row that
+declares it, and an even one for "other". The mean log-likelihood counts as often as the square
+root of the number of trigrams, as neighbouring trigrams are far from independent. Declared markup language and the
 address's suffix are noisy witnesses. Hosts have priors: the share of each language among
 the host's own documents, smoothed towards the registered domain, which is smoothed towards
 all documents; the counts are one grouped aggregate over all documents.
@@ -22,7 +22,6 @@ from certweave.functions.nested import settled
 from .common import ship, stored
 
 BITS = 15
-SAMPLE = 20_000
 OTHER = "other"
 DECLARED_RIGHT, SUFFIX_RIGHT = 0.9, 0.8
 STRENGTH = 20.0  # documents that a smoothing parent counts for
@@ -39,16 +38,13 @@ def trigrams(text: str | None) -> np.ndarray:
     return (code * np.uint32(2654435761)) >> np.uint32(32 - BITS)
 
 
-def fit(docs: DataFrame, languages: list[str], *, text: str, declared: str, sample: int = SAMPLE) -> np.ndarray:
+def fit(docs: DataFrame, languages: list[str], *, text: str, declared: str) -> np.ndarray:
     """Log-likelihood of each bucket (rows) under each language and, last, "other".
 
-    Counted on about ``sample`` rows at most, chosen by hash, that declare one of the
-    languages. A language without rows gets the even model.
+    Counted on every row that declares one of the languages. A language without rows
+    gets the even model.
     """
     labelled = docs.where(F.col(declared).isin(languages) & F.col(text).isNotNull())
-    n = labelled.count()
-    share = min(1.0, sample / max(1, n))
-    chosen = labelled.where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0))
     place = {name: k for k, name in enumerate(languages)}
 
     def count(batches):
@@ -57,11 +53,11 @@ def fit(docs: DataFrame, languages: list[str], *, text: str, declared: str, samp
         sums = np.zeros((len(languages), 1 << BITS), np.int64)
         for batch in batches:
             for whole, name in zip(batch.column(0), batch.column(1).to_pylist()):
-                sums[place[name]] += np.bincount(trigrams(whole.as_py()), minlength=1 << BITS)
+                np.add.at(sums[place[name]], trigrams(whole.as_py()), 1)
         k, bucket = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(bucket, pa.int32()), pa.array(sums[k, bucket])], ["k", "bucket", "n"])
 
-    rows = chosen.select(F.col(text), F.col(declared)).mapInArrow(count, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n")).collect()
+    rows = labelled.select(F.col(text), F.col(declared)).mapInArrow(count, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n")).collect()
     counts = np.full((1 << BITS, len(languages) + 1), 0.5)
     for r in rows:  # languages times buckets at most
         counts[r.bucket, r.k] += r.n
@@ -121,7 +117,7 @@ def host_priors(counted: DataFrame, n: int) -> DataFrame:
 
 
 def identify(docs: DataFrame, languages: list[str], *, text: str = "text", declared: Column, host: Column, suffix: Column | None = None,
-             least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
+             least: float = 0.5) -> DataFrame:
     """docs, all columns kept, with language, confidence and language_kept.
 
     ``declared``, ``host`` and ``suffix`` are columns over docs; null says nothing, and rows
@@ -136,7 +132,7 @@ def identify(docs: DataFrame, languages: list[str], *, text: str = "text", decla
     silent = F.lit(None).cast("string")
     seen = docs.withColumn("_declared", declared.cast("string")).withColumn("_host", F.coalesce(host.cast("string"), F.lit("")))
     seen = seen.withColumn("_suffix", silent if suffix is None else suffix)
-    model = fit(seen.select(F.col(text).alias("text"), "_declared"), languages, text="text", declared="_declared", sample=sample)
+    model = fit(seen.select(F.col(text).alias("text"), "_declared"), languages, text="text", declared="_declared")
     seen = seen.withColumn("_text", text_evidence(F.col(text), model))
     by_text = settled(seen.select("_host", "_text"))
     best = F.array_position("_text", F.array_max("_text"))

@@ -108,3 +108,12 @@ def test_posterior_of_pages_against_plain_python(spark, small):
     held_against_plain(found, [(r.text, r.markup, r.h, r.s) for r in found])
     queried = catalog.op4_language_id_pages(spark, small).collect()
     assert len(queried) == len(found) and {r.page_id for r in queried} == {r.page_id for r in found}
+
+
+def test_model_counts_every_declared_row(spark, documents):
+    """More rows with a language than the 20,000 once drawn: answers as plain Python finds them from all of them."""
+    word = lambda n: "".join(chr(97 + n * k % 26) for k in (1, 5, 7, 11))
+    docs = documents([(n, f"{word(n)} {word(n // 26)} {chr(97 + n % 7)}", [*NAMES, None, "xx"][n % 6], f"h{n % 5}.example.org") for n in range(36_000)])
+    found = language.identify(docs, NAMES, declared=F.col("lang"), host=F.col("source")).collect()
+    assert len({r.language for r in found}) > 2
+    held_against_plain(found, [(r.text, r.lang, r.source, None) for r in found])

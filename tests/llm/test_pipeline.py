@@ -61,3 +61,12 @@ def test_quality_stage_reads_every_label(spark, documents, tmp_path):
     kept = {r.doc_id for r in pipeline.quality_rules(spark, documents(good + poor), str(tmp_path)).collect()}
     passing = {i for i, t, *_ in good if 100 * base(t)[4] <= 20 * base(t)[0]}
     assert len(passing) > 20 and kept == passing
+
+
+def test_language_stage_counts_every_declared_row(spark, documents):
+    """Documents whose texts a draw by hash from 40,000 passes over still make the model of their language."""
+    texts = spark.range(80).selectExpr("id", "concat('le chat et la souris dorment ', id) as text").where("pmod(xxhash64(text), 1048576) >= 524288")
+    rare = [(50_000 + r.id, r.text, "fr", "a") for r in texts.collect()]
+    many = [(n, f"{('gut', 'good', 'bueno', 'bon')[n % 4]} {n}", pipeline.LANGUAGES[n % 4], "b") for n in range(40_000)]
+    kept = {r.doc_id for r in pipeline.language_id(spark, documents(many + rare), "").where("doc_id >= 50000").collect()}
+    assert len(rare) > 20 and kept == {i for i, *_ in rare}
