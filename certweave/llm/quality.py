@@ -32,43 +32,43 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 
 
-def _deleted(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
-
-
 def with_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with ``_words`` and their hashes ``_hashes``."""
     return docs.withColumn("_words", words(F.col(text))).withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
 
 
-def grams(hashes: Column, buckets: int) -> Column:
-    """Bucket of every word and of every pair of neighbours."""
-    ones = F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
-    pairs = F.transform(hashes, lambda h, i: F.pmod(F.xxhash64(h, F.get(hashes, i + 1)), F.lit(buckets)).cast("int"))
-    return F.concat(ones, F.slice(pairs, F.lit(1), F.greatest(F.size(hashes) - 1, F.lit(0))))
+def neighbours(hashes: Column) -> Column:
+    """Hash of every pair of neighbours."""
+    pairs = F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1)))
+    return F.slice(pairs, F.lit(1), F.greatest(F.size(hashes) - 1, F.lit(0)))
+
+
+def bucket_of(hashed: Column, buckets: int) -> Column:
+    return F.pmod(hashed, F.lit(buckets)).cast("int")
 
 
 def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (all long); a null text counts as empty."""
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    h = F.col("_hashes")
-    out = with_words(docs, text)
-    windows = F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + n) for n in range(1, WINDOW)]))
+    h, two = F.col("_hashes"), F.col("_pairs")
+    out = with_words(docs, text).withColumn("_pairs", neighbours(h))
+    # a window of five words is two pairs and a word
+    windows = F.transform(two, lambda x, i: F.xxhash64(x, F.get(two, i + 2), F.get(h, i + 4)))
     out = out.withColumn("_windows", F.slice(windows, F.lit(1), F.greatest(F.size(h) - (WINDOW - 1), F.lit(0)))).withColumn("_lines", lines)
-    # places in the order of their window's hash: equal windows lie side by side
-    placed = F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"),
-                    F.array_sort(F.transform("_windows", lambda x, i: F.struct(x.alias("hash"), i.alias("at")))))
-    out = out.withColumn("_placed", placed)
-    p = F.col("_placed")
-    twice = F.filter(p, lambda x, i: (x["hash"] == F.get(p, i + 1)["hash"]) | ((i > 0) & (x["hash"] == F.get(p, F.greatest(i - 1, F.lit(0)))["hash"])))
+    # places in the order of their window's hash: equal windows lie side by side; sort_array compares in compiled code, array_sort does not
+    some = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    placed = F.sort_array(F.transform("_windows", lambda x, i: F.struct(x.alias("hash"), i.alias("at"))))
+    out = out.withColumn("_placed", F.when(some, placed)).withColumn("_sorted", F.when(some, F.sort_array("_windows")))
+    same = F.col("_sorted")
+    twice = F.filter("_placed", lambda x, i: (x["hash"] == F.get(same, i + 1)) | (x["hash"] == F.get(same, i - 1)))
     out = out.withColumn("_twice", F.sort_array(F.transform(twice, lambda x: x["at"])))
     t = F.col("_twice")
     covered = F.aggregate(F.transform(t, lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get(t, i + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
     return out.select(
-        *docs.columns, "_hashes", F.size("_words").cast("long").alias("n_words"),
-        F.length(_deleted(whole, SPACES)).cast("long").alias("word_chars"),
-        (F.length(whole) - F.length(_deleted(whole, SYMBOLS))).cast("long").alias("n_symbols"),
+        *docs.columns, "_hashes", "_pairs", F.size("_words").cast("long").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.regexp_count(whole, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
@@ -100,11 +100,22 @@ def labelled_texts(docs: DataFrame, ids: DataFrame, *, doc_id: str = "doc_id", t
     return perhaps_labelled(docs.select(typed, F.col(text).alias("text")), ids).join(ids.hint("merge"), "doc_id")
 
 
+def gram_rows(docs: DataFrame, buckets: int, *, text: str = "text", fold: str | None = None) -> DataFrame:
+    """(bucket, with fold that too): a row for every word and every pair of neighbours."""
+    by = [] if fold is None else [F.col(fold).alias("fold")]
+    # rows first, then hashes of pairs: what runs on a row is compiled, what runs on an array's elements is not
+    hashed = with_words(docs.select(F.col(text).alias("text"), *by))
+    after = F.slice("_hashes", F.lit(2), F.size("_hashes"))
+    rows = hashed.select(*by, F.explode(F.arrays_zip(F.col("_hashes").alias("one"), after.alias("next"))).alias("at"))
+    one, after = F.col("at.one"), F.col("at.next")
+    two = F.when(after.isNotNull(), bucket_of(F.xxhash64(one, after), buckets))
+    return rows.select(*by, F.explode(F.array(bucket_of(one, buckets), two)).alias("bucket")).where("bucket is not null")
+
+
 def tally(docs: DataFrame, buckets: int, *, text: str = "text", fold: str | None = None) -> list[list[int]]:
     """How often the grams of all rows fall into each bucket: one list, or one for each fold."""
-    by = [] if fold is None else [F.col(fold).alias("fold")]
-    rows = with_words(docs.select(F.col(text).alias("text"), *by)).select(*by, F.explode(grams(F.col("_hashes"), buckets)).alias("bucket"))
-    sums = [F.count(F.when(F.col("fold") == k, 1)) for k in range(FOLDS)] if by else [F.count("*")]
+    rows = gram_rows(docs, buckets, text=text, fold=fold)
+    sums = [F.count("*")] if fold is None else [F.count(F.when(F.col("fold") == k, 1)) for k in range(FOLDS)]
     counts = [[0] * buckets for _ in sums]
     for bucket, *found in rows.groupBy("bucket").agg(*sums).collect():  # as many rows as buckets at most
         for k, n in enumerate(found):
@@ -132,12 +143,15 @@ def fit_folds(docs: DataFrame, trusted: DataFrame, *, text: str = "text", bucket
     return weigh(raw, every), [weigh(raw, [n - own for n, own in zip(every, one)]) for one in good]
 
 
-def score(hashes: Column, weights: list[int], fold: Column | None = None) -> Column:
-    """Mean weight of the grams, in millionths (long); null without words. With fold, weights holds one list for each after another."""
+def score(hashes: Column, weights: list[int], fold: Column | None = None, pairs: Column | None = None) -> Column:
+    """Mean weight of the grams, in millionths (long); null without words. With fold, weights holds one list for each after another.
+    pairs: neighbours(hashes) where a column has them."""
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")
     buckets = len(weights) if fold is None else len(weights) // FOLDS
-    at = (lambda b: b) if fold is None else (lambda b: b + fold * F.lit(buckets))
-    total = F.aggregate(grams(hashes, buckets), F.lit(0).cast("long"), lambda a, b: a + F.get(table, at(b)))
+    at = (lambda h: bucket_of(h, buckets)) if fold is None else (lambda h: bucket_of(h, buckets) + fold * F.lit(buckets))
+    total = F.lit(0).cast("long")
+    for hashed in (hashes, neighbours(hashes) if pairs is None else pairs):
+        total = F.aggregate(hashed, total, lambda a, h: a + F.get(table, at(h)))
     return F.when(F.size(hashes) > 0, F.floor(total / (2 * F.size(hashes) - 1)).cast("long"))
 
 
@@ -169,7 +183,7 @@ def threshold(trusted: DataFrame, without: list[list[int]], lose: float) -> int:
     without its fold; without any, nothing is rejected."""
     # a condition, not a filter: a filter would be pushed below the steps above and repeat them
     weights = [w for one in without for w in one]
-    scores = base_counts(trusted).select(F.when(~base_failed(), score(F.col("_hashes"), weights, F.col("fold"))).alias("score"))
+    scores = base_counts(trusted).select(F.when(~base_failed(), score(F.col("_hashes"), weights, F.col("fold"), F.col("_pairs"))).alias("score"))
     found = ranked(stored(scores, "scores"), lose)
     return -(1 << 62) if found is None else found
 
@@ -188,6 +202,6 @@ def judge(docs: DataFrame, labels: DataFrame, *, lose: float = 0.005, buckets: i
     least = threshold(trusted, without, lose)
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     plain = docs.drop(*added)
-    out = base_counts(plain, text).withColumn("base_failed", base_failed()).withColumn("score", score(F.col("_hashes"), weights))
+    out = base_counts(plain, text).withColumn("base_failed", base_failed()).withColumn("score", score(F.col("_hashes"), weights, pairs=F.col("_pairs")))
     out = out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("score") >= least, F.lit(False))).select(*plain.columns, *added)
     return settled(out)  # a filter on an added column stays above the steps that made it

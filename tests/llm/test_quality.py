@@ -104,3 +104,18 @@ def test_rank_is_exact(spark):
     for share in (0.0, 0.005, 0.3, 1.0):
         assert quality.ranked(scores, share) == all_of_them[max(1, math.ceil(share * len(all_of_them))) - 1]
     assert quality.ranked(scores.limit(0), 0.005) is None
+
+
+def test_work_on_every_word_is_compiled(documents):
+    """Lambdas run uncompiled, and translate makes a string of every character: they made up most of the CPU time."""
+    texts = ["a b a b a", "one", "", None, " \t", "é # <x>\x0b| 日本 a a"]
+    docs = documents([(n, t, "en", "a") for n, t in enumerate(texts)] + [(0, texts[0], "en", "a")])
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for fold in (None, "fold"):
+        rows = quality.gram_rows(docs.withColumn("fold", quality.F.col("doc_id").cast("int")), 64, fold=fold)
+        assert plan(rows).count("transform(") == 1  # the hashes of the words
+        got = Counter((r.fold if fold else None, r.bucket) for r in rows.collect())
+        assert got == Counter((n if fold else None, b) for n, t in [*enumerate(texts), (0, texts[0])] for b in buckets(t, 64))
+    counts = quality.base_counts(docs)
+    assert "array_sort(" not in plan(counts) and "translate(" not in plan(counts)
+    assert all((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == base(r.text) for r in counts.collect())
