@@ -7,15 +7,18 @@ comes from the scores of every trusted document, each under a model that its own
 trusted ones was not counted on. Nothing is drawn at random and no label is left out.
 
 Weights are whole millionths, so that a sum does not depend on its order. There are as
-many as buckets, for all and without each fold, whatever the corpus; scoring looks them up in a
-constant array and moves no rows. Only trusted texts are shuffled, once, to meet their labels: a bitmap
+many as buckets, for all and without each fold, whatever the corpus; scoring looks them up in an
+array, the value of a scalar subquery, and moves no rows. As a literal the array would be spelt out in the
+text of every plan, which the driver keeps. Only trusted texts are shuffled, once, to meet their labels: a bitmap
 keeps most others back. They are stored for the two uses of them.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,7 @@ SLOTS = 1 << 26
 UNIT = 1_000_000
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
+HELD = ["_weights_of_words", "_weights_of_pairs"]
 
 
 def with_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -143,15 +147,28 @@ def fit_folds(docs: DataFrame, trusted: DataFrame, *, text: str = "text", bucket
     return weigh(raw, every), [weigh(raw, [n - own for n, own in zip(every, one)]) for one in good]
 
 
-def score(hashes: Column, weights: list[int], fold: Column | None = None, pairs: Column | None = None) -> Column:
+def with_weights(docs: DataFrame, weights: list[int]) -> DataFrame:
+    """docs with the weights as the columns ``HELD``, for one :func:`score` each.
+
+    The optimizer puts each subquery into the one expression that reads its column; a second one would make it a copied column.
+    """
+    one_row = docs.sparkSession.createDataFrame(pa.table({"weights": pa.array([weights], pa.list_(pa.int64()))}))
+    return docs.withColumns({name: one_row.scalar() for name in HELD})
+
+
+def _adding(table: Column, at: Callable[[Column], Column]) -> Callable[[Column, Column], Column]:
+    return lambda total, h: total + F.get(table, at(h))
+
+
+def score(hashes: Column, weights: list[int], fold: Column | None = None, pairs: Column | None = None, held: bool = False) -> Column:
     """Mean weight of the grams, in millionths (long); null without words. With fold, weights holds one list for each after another.
-    pairs: neighbours(hashes) where a column has them."""
-    table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")
+    pairs: neighbours(hashes) where a column has them. held: the rows are those of with_weights; else few weights are meant, as they are spelt out."""
+    tables = [F.col(name) for name in HELD] if held else [F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")] * 2
     buckets = len(weights) if fold is None else len(weights) // FOLDS
     at = (lambda h: bucket_of(h, buckets)) if fold is None else (lambda h: bucket_of(h, buckets) + fold * F.lit(buckets))
     total = F.lit(0).cast("long")
-    for hashed in (hashes, neighbours(hashes) if pairs is None else pairs):
-        total = F.aggregate(hashed, total, lambda a, h: a + F.get(table, at(h)))
+    for hashed, table in zip((hashes, neighbours(hashes) if pairs is None else pairs), tables):
+        total = F.aggregate(hashed, total, _adding(table, at))
     return F.when(F.size(hashes) > 0, F.floor(total / (2 * F.size(hashes) - 1)).cast("long"))
 
 
@@ -178,13 +195,19 @@ def ranked(scores: DataFrame, share: float) -> int | None:
         rank -= n
 
 
+def apart_scores(trusted: DataFrame, without: list[list[int]]) -> DataFrame:
+    """(score) of the trusted documents (text, fold), each under the weights without its fold; null where the base rules fail."""
+    # a condition, not a filter: a filter would be pushed below the steps above and repeat them
+    weights = [w for one in without for w in one]
+    counted = with_weights(base_counts(trusted).withColumn("base_failed", base_failed()), weights)
+    apart = score(F.col("_hashes"), weights, F.col("fold"), F.col("_pairs"), held=True)
+    return counted.select(F.when(~F.col("base_failed"), apart).alias("score"))
+
+
 def threshold(trusted: DataFrame, without: list[list[int]], lose: float) -> int:
     """Largest score that all but a share ``lose`` of the trusted documents (text, fold) reach, each under the weights
     without its fold; without any, nothing is rejected."""
-    # a condition, not a filter: a filter would be pushed below the steps above and repeat them
-    weights = [w for one in without for w in one]
-    scores = base_counts(trusted).select(F.when(~base_failed(), score(F.col("_hashes"), weights, F.col("fold"), F.col("_pairs"))).alias("score"))
-    found = ranked(stored(scores, "scores"), lose)
+    found = ranked(stored(apart_scores(trusted, without), "scores"), lose)
     return -(1 << 62) if found is None else found
 
 
@@ -202,6 +225,7 @@ def judge(docs: DataFrame, labels: DataFrame, *, lose: float = 0.005, buckets: i
     least = threshold(trusted, without, lose)
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     plain = docs.drop(*added)
-    out = base_counts(plain, text).withColumn("base_failed", base_failed()).withColumn("score", score(F.col("_hashes"), weights, pairs=F.col("_pairs")))
+    out = with_weights(base_counts(plain, text).withColumn("base_failed", base_failed()), weights)
+    out = out.withColumn("score", score(F.col("_hashes"), weights, pairs=F.col("_pairs"), held=True))
     out = out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("score") >= least, F.lit(False))).select(*plain.columns, *added)
     return settled(out)  # a filter on an added column stays above the steps that made it

@@ -119,3 +119,20 @@ def test_work_on_every_word_is_compiled(documents):
     counts = quality.base_counts(docs)
     assert "array_sort(" not in plan(counts) and "translate(" not in plan(counts)
     assert all((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == base(r.text) for r in counts.collect())
+
+
+def test_weights_are_no_text_of_a_plan(documents):
+    """Spelt out, the weights made megabytes of text of each plan, which the driver keeps; as a copied column they would be in each row."""
+    texts = [" ".join(f"w{(n * n + k * (n % 7 + 1)) % 41}" for k in range(10 + n % 9)) for n in range(20)] + ["few words", "", None]
+    docs = documents([(n, t, "en", "a") for n, t in enumerate(texts)] + [(0, texts[0], "en", "a")])
+    trusted = docs.selectExpr("text", "cast(doc_id % 5 as int) as fold")
+    without = [[(b * 7919 + k * 31) % 2_000_003 - 1_000_000 for b in range(quality.BUCKETS)] for k in range(quality.FOLDS)]
+    apart = quality.apart_scores(trusted, without)
+    score = lambda t, w: sum(w[b] for b in buckets(t, quality.BUCKETS)) // len(buckets(t, quality.BUCKETS))
+    fails = lambda t: base(t)[0] < 10 or 100 * base(t)[4] > 20 * base(t)[0]
+    want = [None if fails(t) else score(t, without[n % 5]) for n, t in [*enumerate(texts), (0, texts[0])]]
+    assert sorted(r.score or 0 for r in apart.collect()) == sorted(w or 0 for w in want) and len({*want}) > 10
+    labels = docs.sparkSession.range(20).selectExpr("id as doc_id", "1 as quality")
+    for df in (apart, quality.judge(docs, labels)):
+        plan = df._jdf.queryExecution()
+        assert len(plan.toString()) < 100_000 and not any(f"AS {name}" in plan.executedPlan().toString() for name in quality.HELD)
