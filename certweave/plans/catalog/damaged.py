@@ -16,7 +16,7 @@ from certweave.plans.catalog.sources import _xml_text
 from certweave.plans.catalog.sqltext import DISPOSITION
 from certweave.plans.catalog.tables import ORACLES as TABLES
 from certweave.session import scratch_path
-from certweave.sources import readers
+from certweave.sources import readers, sinks
 
 
 def with_null_items(records):
@@ -34,8 +34,9 @@ def convert_with_broken(spark, sf):
     path, stored = scratch_path(spark, "broken"), scratch_path(spark, "read")
     lines = _xml_text(V.records(spark, sf))
     number = F.regexp_extract("value", "<RegNumber>РН-([0-9]+)</RegNumber>", 1).cast("long")
-    lines.select(F.when(number % 10 == 3, F.replace("value", F.lit("</RegNumber>"), F.lit("</Wrong>"))).otherwise(F.col("value")).alias("value")).write.text(path)
-    clean.clean_records(readers.read_xml(spark, path)).write.parquet(stored)
+    damaged = lines.select(F.when(number % 10 == 3, F.replace("value", F.lit("</RegNumber>"), F.lit("</Wrong>"))).otherwise(F.col("value")).alias("value"))
+    sinks.packed_text(damaged.write).text(path)
+    clean.clean_records(readers.read_xml(spark, path)).write.option("compression", "zstd").parquet(stored)
     done = convert.convert_records(spark.read.parquet(stored), overrides(spark))
     return done.groupBy("disposition").agg(F.count(F.lit(1)).alias("n"))
 

@@ -106,6 +106,15 @@ def _without_cdata(value: Column) -> Column:
     return F.array_join(F.transform(F.split(value, r"<!\[CDATA\["), part), "")
 
 
+def _pieces(plain: Column) -> Column:
+    """A text split at every opening tag, without what stands before the first. Where the tag's name occurs once, a search of its place does."""
+    name = F.lit(f"<{ELEMENT}")
+    start = F.instr(plain, name)
+    once = (F.locate(f"<{ELEMENT}", F.substr(plain, start + len(ELEMENT) + 1)) == 0) & F.substr(plain, start, F.lit(len(ELEMENT) + 2)).rlike(f"^{OPENING}")
+    several = F.regexp_extract_all(plain, F.lit(f"(?s){OPENING}.*?(?={OPENING}|$)"), F.lit(0))
+    return F.when((start > 0) & once, F.array(F.substr(plain, start))).otherwise(several)
+
+
 def read_elements(spark: SparkSession, path: str | list[str], encoding: str | None = None, *, wide: bool = False) -> DataFrame:
     """The text of every record element (value, _source_file, _record_seq).
 
@@ -146,7 +155,7 @@ def read_elements(spark: SparkSession, path: str | list[str], encoding: str | No
     placed = [O.positioned(s.drop("_separator", "_wide"), n, found) for s, n in scans]
     parts = _decoded_by_file(reduce(DataFrame.unionAll, placed), names)
     plain = F.when(F.col("value").contains("<!"), F.regexp_replace(_without_cdata(F.col("value")), COMMENT, "")).otherwise(F.col("value"))
-    pieces = F.regexp_extract_all("plain", F.lit(f"(?s){OPENING}.*?(?={OPENING}|$)"), F.lit(0))
+    pieces = _pieces(F.col("plain"))
 
     def whole(x: Column, i: Column) -> Column:
         empty = F.regexp_extract(x, EMPTY_ELEMENT, 0)
@@ -180,7 +189,7 @@ def parse_elements(elements: DataFrame, *, strict: bool = False) -> DataFrame:
     """
     options = {"rowTag": ELEMENT, "mode": "FAILFAST" if strict else "PERMISSIVE",
                "columnNameOfCorruptRecord": "_corrupt_record", "ignoreNamespace": "true"}
-    tidy = F.regexp_replace(F.regexp_replace("value", UNKNOWN_REFERENCE, ""), STRAY_AMPERSAND, "")
+    tidy = F.when(F.col("value").contains("&"), F.regexp_replace(F.regexp_replace("value", UNKNOWN_REFERENCE, ""), STRAY_AMPERSAND, "")).otherwise(F.col("value"))
     rows = elements.withColumn("r", F.from_xml(tidy, S.xml_row_type().simpleString(), options))
     r = F.col("r")
     return rows.select(*_unwrap(r), r["_corrupt_record"].alias("_corrupt_record"), _FILE, _SEQ)
