@@ -37,10 +37,10 @@ def _xml_text(records):
 def scan_xml(spark, sf):
     """Whole records through XML: written with every field, read, cleaned; the JSON text of what comes back."""
     path = scratch_path(spark, "xml")
-    _xml_text(V.records(spark, sf)).write.text(path)
+    sinks.packed_text(_xml_text(V.records(spark, sf)).write).text(path)
     raw = readers.read_xml(spark, path)
     stored = scratch_path(spark, "read")
-    clean.clean_records(raw).write.parquet(stored)
+    clean.clean_records(raw).write.option("compression", "zstd").parquet(stored)
     return sinks.json_lines(spark.read.parquet(stored).select(*[f.name for f in S.record_type().fields])).select("value")
 
 
