@@ -83,7 +83,7 @@ def merge_inputs(spark, sf):
     """Separate outputs, one folder per source file, read back together."""
     path = scratch_path(spark, "separate")
     df = V.records(spark, sf).where(filters.disposition() == filters.WRITTEN)
-    sinks.write_records(df, path, merged=False)
+    sinks.write_records(df, path, merged=False, packed=True)
     back = spark.read.text(path)
     return back.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n"), F.count(F.get_json_object("value", "$.EduOrgINN")).alias("with_inn"))
 
