@@ -83,6 +83,28 @@ def test_a_later_import_replaces_only_what_it_has(spark):
     assert got[store.EDGES].count() == 1
 
 
+def test_rows_on_top_of_a_store_are_merged_in_one_step(spark, sf):
+    """Rows of a snapshot, repeated ids among them, give what its merged tables give, and one shuffle of them is enough."""
+    records = V.records(spark, sf).where("_record_seq < 600")
+    stored = store.snapshot(records.where("_record_seq < 400"))
+    late = records.where("_record_seq >= 200")
+    got, want = store.merged(stored, store.rows(late)), store.merged(stored, store.snapshot(late))
+    assert tables(got) == tables(want) == tables(store.snapshot(records))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(got["Certificate"]).count("Aggregate") < plan(want["Certificate"]).count("Aggregate")
+    assert plan(got[store.EDGES]).count("Aggregate") < plan(want[store.EDGES]).count("Aggregate")
+
+
+def test_grams_are_the_places_of_a_text(spark):
+    texts = [None, "", "a", "ab", "abc", "Школа № 7", "a\nb\nc", "x😀yz😀", "aaaaaa", "İstanbul", "e\u0301a"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(F.lower("t").alias("t"), search_index.grams(F.col("t")).alias("g"))
+    for r in rows.collect():
+        t = r.t or ""
+        assert sorted(r.g) == sorted({t[i:i + 3] for i in range(len(t))}), t
+    for line in rows._jdf.queryExecution().optimizedPlan().toString().split("\n"):
+        assert "lambdafunction" not in line
+
+
 def test_an_unfinished_import_is_no_version(spark, sf, tmp_path):
     path = str(tmp_path / "store")
     records = V.records(spark, sf).where("_record_seq < 50")
