@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from certweave.functions import text as X
 from certweave.plans import register_view as V
-from certweave.plans.catalog import damaged, sources
+from certweave.plans.catalog import damaged, global_pass, sources
 from certweave.sources import readers, sinks
 
 
@@ -72,3 +72,12 @@ def test_json_text_with_and_without_control_characters(spark):
         want = [r[0] for r in rows.orderBy("Id").select(whole).collect()]
         got = [r.value for r in sinks.json_lines(rows.orderBy("Id"), compact=compact).collect()]
         assert got == want
+
+
+@pytest.mark.parametrize("query", [global_pass.neighbor_backfill_per_file, global_pass.converted_projection])
+def test_the_level_pass_reads_converted_records_once_written(spark, sf, tmp_path, query):
+    """Neither the majorities nor the result convert the records anew."""
+    df = query(spark, _small(spark, tmp_path, sf))
+    read = [f for f in df.inputFiles() if "/looked-up-" not in f]
+    assert read and all("/written-" in f for f in read)
+    assert df.count() > 10
